@@ -1,6 +1,6 @@
 """Every operator as a query on the sample tables, with the SQL that checks it."""
 
-from . import cleaning
+from . import cleaning, features, vectors
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
