@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -24,6 +25,10 @@ from .evaluation import per_class_scores
 from .splits import class_counts, class_weights
 
 
+# An iterative fit runs a short job per step; fewer rows than this are not worth a task.
+ROWS_PER_TASK = 20_000
+
+
 class Classifier(Protocol):
     """Anything that adds ``prediction`` and a score vector per row."""
 
@@ -36,6 +41,11 @@ def in_threads(spark, task: Callable, items: Sequence, threads: int) -> list:
         return pool.map(inheritable_thread_target(spark)(task), items)
 
 
+def _packed(df: DataFrame, n_rows: int) -> DataFrame:
+    """Merge the partitions of a small table; a large one keeps all it has."""
+    return df.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
+
+
 def fit_naive_bayes(df: DataFrame, features: str = "features", label: str = "label") -> Model:
     """Multinomial naive Bayes; the features must not be negative."""
     return NaiveBayes(
@@ -53,16 +63,17 @@ def fit_logreg(
 ) -> Model:
     """Class-balanced logistic regression; ``c`` is the inverse penalty of the summed loss."""
     counts = class_counts(df, label)
+    n = sum(counts.values())
     return LogisticRegression(
         family=family,
-        regParam=1.0 / (c * sum(counts.values())),
+        regParam=1.0 / (c * n),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
         featuresCol=features,
         labelCol=label,
         weightCol="weight",
-    ).fit(df.withColumn("weight", class_weights(counts, label)))
+    ).fit(_packed(df, n).withColumn("weight", class_weights(counts, label)))
 
 
 @dataclass(frozen=True)
@@ -118,7 +129,7 @@ def fit_linear_svm(
             labelCol="_is",
             weightCol="weight",
         ).fit(
-            df.select(
+            _packed(df, n).select(
                 features,
                 positive.cast("double").alias("_is"),
                 F.when(positive, weight).otherwise(1.0).alias("weight"),

@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import durable
-
 MAX_CLASSES = 10_000
 HASH_BITS = 12
 
@@ -56,48 +54,57 @@ def _cuts(
 ) -> DataFrame:
     """``(label, zeros, cuts)``: the order keys at the given 1-based positions per class.
 
-    ``zeros`` counts the positions that lie before the first row.
+    ``zeros`` counts the positions that lie before the first row. What reaches the driver
+    are classes x cuts rows, and `class_counts` has bounded the classes.
     """
     spark = df.sparkSession
-    keyed = df.select(label, _order_key(id_col, seed).alias("key")).withColumn(
-        "bucket", F.shiftright(F.col("key.h"), 64 - HASH_BITS)
-    )
-    targets = F.broadcast(  # classes x cuts rows, from a checked class table
-        spark.createDataFrame(
-            [(c, i, int(p)) for c, ps in positions.items() for i, p in enumerate(ps)],
-            f"`{label}` {df.schema[label].dataType.simpleString()}, cut int, position bigint",
-        )
+    key = _order_key(id_col, seed)
+    bucket = F.shiftright(F.col("key.h"), 64 - HASH_BITS)
+    keyed = df.select(label, key.alias("key")).withColumn("bucket", bucket)
+    kinds = {f.name: f.dataType.simpleString() for f in keyed.schema}
+
+    def small(rows, schema):
+        return F.broadcast(spark.createDataFrame(rows, f"`{label}` {kinds[label]}, {schema}"))
+
+    targets = small(
+        [(c, int(p)) for c, ps in positions.items() for p in sorted(set(ps)) if p > 0],
+        "position bigint",
     )
     upto = F.sum("n").over(Window.partitionBy(label).orderBy("bucket"))
     histogram = keyed.groupBy(label, "bucket").agg(F.count("*").alias("n"))
-    located = durable(
+    below = F.col("upto") - F.col("n")
+    located = (
         histogram.withColumn("upto", upto)
         .join(targets, label)
-        .where((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
-        .select(label, "cut", "bucket", (F.col("position") - F.col("upto") + F.col("n")).alias("nth"))
+        .where((F.col("position") <= F.col("upto")) & (F.col("position") > below))
+        .select(label, "bucket", (F.col("position") - below).alias("nth"), "position")
+        .collect()
     )
     in_bucket = Window.partitionBy(label, "bucket").orderBy("key")
-    found = (
-        keyed.join(F.broadcast(located.select(label, "bucket").distinct()), [label, "bucket"])
+    buckets = small(sorted({(r[label], r.bucket) for r in located}), "bucket bigint")
+    wanted = small([tuple(r) for r in located], "bucket bigint, nth bigint, position bigint")
+    found = {
+        (r[label], r.position): r.key
+        for r in keyed.join(buckets, [label, "bucket"])
         .withColumn("nth", F.row_number().over(in_bucket))
-        .join(F.broadcast(located), [label, "bucket", "nth"])
-        .groupBy(label)
-        .agg(F.collect_list("key").alias("cuts"))
-    )
-    zeros = targets.groupBy(label).agg(F.count_if(F.col("position") == 0).alias("zeros"))
-    return durable(zeros.join(found, label, "left"))
+        .join(wanted, [label, "bucket", "nth"])
+        .select(label, "position", "key")
+        .collect()
+    }
+    rows = [
+        (c, sum(p <= 0 for p in ps), [found[c, p] for p in ps if p > 0])
+        for c, ps in positions.items()
+    ]
+    return small(rows, f"zeros int, cuts array<{kinds['key']}>")
 
 
 def _ranges(df: DataFrame, label: str, id_col: str, seed: int, positions: dict) -> DataFrame:
     """Add ``_range``: how many of the class's cut points lie before the row."""
-    cuts = _cuts(df, label, id_col, seed, positions)
     key = _order_key(id_col, seed)
-    passed = F.size(F.filter(F.coalesce("cuts", F.array()), lambda c: key > c))
-    # One row per class, and class_counts has bounded the classes.
+    passed = F.size(F.filter("cuts", lambda c: key > c))
     return (
-        df.join(F.broadcast(cuts), label)
+        df.join(_cuts(df, label, id_col, seed, positions), label)
         .withColumn("_range", (F.col("zeros") + passed).cast("int"))
-        .drop("zeros", "cuts")
         .select(*df.columns, "_range")
     )
 

@@ -92,8 +92,10 @@ class Features:
         return [*self.tfidf.terms, *self.settings.engineered]
 
     def train_folds(self) -> DataFrame:
+        """Training rows with their fold, stored: every fit scans finished vectors only."""
         s = self.settings
-        return stratified_folds(self.train, "label", "id", s.folds, s.seed)
+        vectors = self.train.select("id", "label", "tfidf", "features")
+        return durable(stratified_folds(vectors, "label", "id", s.folds, s.seed))
 
     def of(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """``(id, tfidf, .., features)`` of new texts under the fitted models."""
@@ -259,13 +261,13 @@ def engineered_only(
     )
     scaled = standardise(table, settings.engineered).transform(table)
     vectors = assemble(scaled, settings.engineered).select("id", "label", "features")
-    folded = stratified_folds(vectors, "label", "id", settings.folds, settings.seed)
+    folded = durable(stratified_folds(vectors, "label", "id", settings.folds, settings.seed))
     fit = functools.partial(fit_logreg, max_iter=max_iter)
     cv = cross_validate(folded, [Candidate("LogisticRegression", fit)], settings.folds)
     return {
         "cv": cv,
         "top_signals": top_signals_per_class(
-            df.sparkSession, fit(vectors), labels, settings.engineered
+            df.sparkSession, fit(folded), labels, settings.engineered
         ),
     }
 
