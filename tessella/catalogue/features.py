@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions import extract_first_int, text_length, word_count
+from ..functions import clean_text, extract_first_int, text_length, word_count
 from .base import (
     AREA_CODE,
     ECHOES,
@@ -15,6 +15,7 @@ from .base import (
     SPACE,
     TAXONOMY,
     TITLE,
+    clean_sql,
     flags_sql,
     query,
     table,
@@ -191,18 +192,17 @@ flagged AS (SELECT lang, {flags_sql('lower(clean)')} FROM kept)
 
 
 def _rates(spark, sf_dir):
-    from ..functions import clean_text
-
-    cleaned = texts(spark, sf_dir).select(
-        "doc_id", "lang", clean_text(F.col("text")).alias("clean")
+    cleaned = (
+        texts(spark, sf_dir)
+        .select("doc_id", "lang", clean_text(F.col("text")).alias("clean"))
+        .withColumn("n", F.length("clean"))
     )
-    kept = op.dedupe_keep_first(op.min_length_filter(cleaned, "clean"), ["clean"], "doc_id")
+    # Copies share their length; filtered afterwards, every text is cleaned once.
+    kept = op.dedupe_keep_first(cleaned, ["clean"], "doc_id").where("n >= 150")
     return op.rate_by_group(op.tag_flags(kept, ["clean"], TAXONOMY), "lang", FLAGS)
 
 
 def _kept_sql() -> str:
-    from .base import clean_sql
-
     return _KEPT % clean_sql("text")
 
 

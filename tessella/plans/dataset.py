@@ -16,7 +16,7 @@ from ..functions import (
     seniority_band,
     text_length,
 )
-from ..operators.cleaning import dedupe_keep_first, drop_missing, min_length_filter
+from ..operators.cleaning import dedupe_keep_first, drop_missing
 from ..operators.features import flag_names, tag_flags
 from ..operators.labelling import drop_unlabelled
 from ..rules import (
@@ -60,10 +60,12 @@ def tagged_postings(
     return tagged.select(*TAGGED_COLUMNS, *flag_names(skills))
 
 
-def _cleaned(raw: DataFrame, headers: Mapping[str, str], min_chars: int) -> DataFrame:
+def _cleaned(raw: DataFrame, headers: Mapping[str, str]) -> DataFrame:
     present = drop_missing(normalise_columns(raw, headers), ["description_raw", "job_title"])
     cleaned = present.withColumn("description", clean_text(F.col("description_raw")))
-    return min_length_filter(cleaned.drop("description_raw"), "description", min_chars)
+    return cleaned.drop("description_raw").withColumn(
+        "description_length", text_length(F.col("description"))
+    )
 
 
 def labelled_postings(
@@ -77,18 +79,18 @@ def labelled_postings(
     """Clean, drop short and repeated descriptions, then label and drop the unlabelled.
 
     The first copy of a description decides its label, so the dedupe stays in front.
+    Copies share their length, so short ones may go after the dedupe: in front of it the
+    filter would be pushed below the cleaning and clean every text a second time.
     """
-    kept = dedupe_keep_first(_cleaned(raw, headers, min_chars), ["description"], ordinal)
+    copies = dedupe_keep_first(_cleaned(raw, headers), ["description"], ordinal)
+    kept = copies.where(F.col("description_length") >= min_chars)
     title = F.col("job_title")
     labelled = drop_unlabelled(
         kept.withColumn("role_category", label_by_regex(title, roles)), "role_category"
     )
-    return labelled.withColumns(
-        {
-            "seniority": seniority_band(title, seniority),
-            "description_length": text_length(F.col("description")),
-        }
-    ).select(*LABELLED_COLUMNS)
+    return labelled.withColumn("seniority", seniority_band(title, seniority)).select(
+        *LABELLED_COLUMNS
+    )
 
 
 def stage_report(
@@ -100,14 +102,20 @@ def stage_report(
 ) -> DataFrame:
     """``(stage, rows)``: raw, cleaned, deduplicated, labelled; one shuffle of the texts."""
     copies = (
-        _cleaned(raw, headers, min_chars)
+        _cleaned(raw, headers)
         .groupBy(F.xxhash64("description").alias("_hash"), "description")
-        .agg(F.count("*").alias("n"), F.min_by("job_title", ordinal).alias("job_title"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min_by("job_title", ordinal).alias("job_title"),
+            F.max("description_length").alias("length"),
+        )
     )
+    long_enough = F.col("length") >= min_chars
+    label = label_by_regex(F.col("job_title"), roles)
     counts = copies.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("cleaned"),
-        F.count("*").alias("deduplicated"),
-        F.count(label_by_regex(F.col("job_title"), roles)).alias("labelled"),
+        F.coalesce(F.sum(F.when(long_enough, F.col("n"))), F.lit(0)).alias("cleaned"),
+        F.count_if(long_enough).alias("deduplicated"),
+        F.count_if(long_enough & label.isNotNull()).alias("labelled"),
     )
     return (
         raw.agg(F.count("*").alias("rows"))
