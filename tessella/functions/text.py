@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from .regex import FLAGS, SPACE, WORD
+from .regex import FLAGS, NOT_SPACE, SPACE, WORD
 
 TOKEN = f"[{WORD}]{{2,}}"
 
@@ -19,7 +19,7 @@ def clean_text(col: Column) -> Column:
     """
     text = F.coalesce(col, F.lit(""))
     linkless = F.when(
-        text.contains("http"), F.regexp_replace(text, f"http[^{SPACE}]+", " ")
+        text.contains("http"), F.regexp_replace(text, f"http{NOT_SPACE}+", " ")
     ).otherwise(text)
     runs = f"[{SPACE}&&[^ ]][{SPACE}]*| [{SPACE}]+"
     return F.trim(F.regexp_replace(linkless, runs, " "))
@@ -32,7 +32,7 @@ def text_length(col: Column) -> Column:
 
 def word_count(col: Column) -> Column:
     """Number of white-space separated words; 0 for an empty text."""
-    return F.regexp_count(col, F.lit(f"[^{SPACE}]+")).cast("int")
+    return F.regexp_count(col, F.lit(f"{NOT_SPACE}+")).cast("int")
 
 
 def extract_first_int(col: Column, pattern: str, default: int = 0) -> Column:

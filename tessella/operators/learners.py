@@ -58,7 +58,7 @@ def fit_logreg(
     features: str = "features",
     label: str = "label",
     c: float = 1.0,
-    max_iter: int = 100,
+    max_iter: int = 2000,
     family: str = "multinomial",
 ) -> Model:
     """Class-balanced logistic regression; ``c`` is the inverse penalty of the summed loss."""
@@ -107,7 +107,7 @@ def fit_linear_svm(
     features: str = "features",
     label: str = "label",
     c: float = 0.5,
-    max_iter: int = 100,
+    max_iter: int = 5000,
     threads: int = 4,
 ) -> OneVsRestSvm:
     """Class-balanced one-vs-rest linear SVM on hinge loss.

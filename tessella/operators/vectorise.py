@@ -24,7 +24,7 @@ from ..session import scratch_path
 MAX_TERMS = 1 << 20
 # Up to this many rows per group Spark limits groups before the shuffle by itself.
 GROUP_LIMIT = 1000
-SALTS = 64
+MIN_SALTS = 64
 
 
 def tokenize(
@@ -185,7 +185,8 @@ def top_per_group(
     first cut to ``n`` rows within every salt, and only the survivors meet.
     """
     if n > GROUP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+        salts = max(MIN_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (
             salted.withColumn("_rank", F.row_number().over(part))

@@ -77,7 +77,7 @@ def train_role_model(
     text_col: str,
     label_col: str,
     settings: Settings | None = None,
-    max_iter: int = 100,
+    max_iter: int = 5000,
 ) -> RoleModel:
     """Fit on all rows; the honest scores come from `training.train_and_evaluate`."""
     features = build_features(docs, id_col, text_col, label_col, settings, hold_out=False)

@@ -150,13 +150,19 @@ def build_features(
     return Features(_assembled(table, scaler, settings), labels, model, scaler, settings)
 
 
-def published_candidates(trees: int = 200, depth: int = 30, max_iter: int = 100) -> list[Candidate]:
-    """The four learners compared, in their published order and settings."""
+def published_candidates(
+    trees: int = 200, depth: int = 30, max_iter: int | None = None
+) -> list[Candidate]:
+    """The four learners compared, in their published order and settings.
+
+    ``max_iter`` overrides the published limits of logistic regression and SVM.
+    """
+    limit = {} if max_iter is None else {"max_iter": max_iter}
     return [
-        Candidate("MultinomialNB", lambda df: fit_naive_bayes(df, "tfidf")),
-        Candidate("LogisticRegression", lambda df: fit_logreg(df, max_iter=max_iter)),
-        Candidate("LinearSVM", lambda df: fit_linear_svm(df, max_iter=max_iter)),
-        Candidate("RandomForest", lambda df: fit_random_forest(df, trees=trees, depth=depth)),
+        Candidate("MultinomialNB", functools.partial(fit_naive_bayes, features="tfidf")),
+        Candidate("LogisticRegression", functools.partial(fit_logreg, **limit)),
+        Candidate("LinearSVM", functools.partial(fit_linear_svm, **limit)),
+        Candidate("RandomForest", functools.partial(fit_random_forest, trees=trees, depth=depth)),
     ]
 
 
@@ -205,10 +211,12 @@ def train_and_evaluate(
         cross_validate(features.train_folds(), candidates, features.settings.folds)
     )
     best_name = ev.select_best(cv).first()["candidate"]
-    best = next(c for c in candidates if c.name == best_name)
-    _, pred = fit_final_and_score(best, features.train, features.test)
+    by_name = {c.name: c for c in candidates}
+    _, pred = fit_final_and_score(by_name[best_name], features.train, features.test)
     logreg, logreg_pred = fit_final_and_score(
-        Candidate("LogisticRegression", fit_logreg), features.train, features.test
+        by_name.get("LogisticRegression", Candidate("LogisticRegression", fit_logreg)),
+        features.train,
+        features.test,
     )
     logreg_tables = _test_metrics(logreg_pred, features.labels)
     return {
@@ -224,7 +232,7 @@ def train_and_evaluate(
     }
 
 
-def feature_ablation(features: Features, max_iter: int = 100) -> DataFrame:
+def feature_ablation(features: Features, max_iter: int = 5000) -> DataFrame:
     """``(features, mean, std, delta)``: the SVM on text only and on text plus engineered.
 
     ``delta`` is the gain over text only.
@@ -243,7 +251,7 @@ def feature_ablation(features: Features, max_iter: int = 100) -> DataFrame:
 
 def engineered_only(
     df: DataFrame, id_col: str, text_col: str, label_col: str, settings: Settings | None = None,
-    max_iter: int = 100,
+    max_iter: int = 2000,
 ) -> dict[str, DataFrame]:
     """Logistic regression on the engineered columns alone, over all rows.
 
@@ -284,7 +292,7 @@ def echo_robustness(
     label_col: str,
     phrases: Mapping[str, Sequence[str]] = TITLE_ECHOES,
     settings: Settings | None = None,
-    max_iter: int = 100,
+    max_iter: int = 5000,
 ) -> DataFrame:
     """``(text, mean, std, n_changed, n_rows)``: the SVM on full and on echo-stripped texts."""
     settings = settings or Settings()
@@ -312,7 +320,7 @@ def skill_cv(
     seed: int = 42,
     stop_words: Sequence[str] = STOP_WORDS,
     size: int | None = None,
-    max_iter: int = 100,
+    max_iter: int = 1000,
     threads: int = 4,
 ) -> DataFrame:
     """``(flag, id, y, p)``: every row predicted from its title by a model not fitted on it.
