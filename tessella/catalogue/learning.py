@@ -29,9 +29,12 @@ from ..plans import (
 from .base import (
     AREA_CODE,
     ECHOES,
+    EDGE,
     FLAGS,
+    SPACE,
     TAXONOMY,
     TITLE,
+    counts_sql,
     flags_sql,
     posts,
     query,
@@ -59,19 +62,144 @@ def _fitted(spark, sf_dir, position: int) -> DataFrame:
     return pred.select(F.col("id").alias("doc_id"), "label", "prediction")
 
 
-@query()
+# All rows train here, so that SQL can follow: a hash split has no SQL counterpart.
+def _unsplit(spark, sf_dir):
+    return build_features(
+        texts(spark, sf_dir), "doc_id", "text", "lang", SETTINGS, hold_out=False
+    )
+
+
+_WEIGHTED = f"""
+{counts_sql('counts', 'documents', 'doc_id, lang')},
+stats AS (SELECT term, count(*) AS df, sum(tf) AS tf FROM counts GROUP BY term),
+vocab AS (
+  SELECT * FROM stats WHERE df >= 5 AND df <= 0.6 * (SELECT count(*) FROM documents)
+  ORDER BY tf DESC, term LIMIT {SETTINGS.size}),
+raw AS (
+  SELECT doc_id, lang, term,
+    (1 + ln(c.tf)) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
+  FROM counts c JOIN vocab USING (term)),
+weighted AS (
+  SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw)
+"""
+_GROUPS = {
+    g: ["skill_" + e.name for e in TAXONOMY if e.group == g]
+    for g in dict.fromkeys(e.group for e in TAXONOMY)
+}
+_SCALED = " + ".join(
+    f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0)"
+    for c in SETTINGS.engineered
+)
+
+
+@query(rf"""
+WITH {_WEIGHTED},
+flags AS (SELECT doc_id, text, lower(text) AS l, {flags_sql('lower(text)')} FROM documents),
+engineered AS (
+  SELECT *, {' + '.join(FLAGS)} AS n_skills_total,
+    {', '.join(f"{' + '.join(names)} AS group_{g}_count" for g, names in _GROUPS.items())},
+    CAST(regexp_matches(l, 'bachelor|b\.?s{EDGE}|undergraduate degree') AS INTEGER) AS mentions_bachelor,
+    CAST(regexp_matches(l, 'master|m\.?s{EDGE}|msc{EDGE}') AS INTEGER) AS mentions_master,
+    CAST(regexp_matches(l, 'ph\.?d|doctorate') AS INTEGER) AS mentions_phd,
+    coalesce(TRY_CAST(regexp_extract(text, '{AREA_CODE}', 1) AS INTEGER), 0) AS years_experience_required,
+    length(text) AS description_length, len(regexp_extract_all(text, '[^{SPACE}]+')) AS word_count
+  FROM flags),
+scaled AS (SELECT doc_id, {_SCALED} AS s FROM engineered),
+text_sums AS (SELECT doc_id, sum(w) AS s, sum(w * w) AS sq FROM weighted GROUP BY doc_id)
+SELECT doc_id, CAST((SELECT count(*) FROM vocab) + {len(SETTINGS.engineered)} AS INTEGER) AS width,
+  round(coalesce(t.s, 0) + scaled.s, 6) AS total, round(coalesce(t.sq, 0), 6) AS text_norm
+FROM scaled LEFT JOIN text_sums t USING (doc_id)""")
 def assemble(spark, sf_dir):
-    table_ = _features(spark, sf_dir).table
     values = vector_to_array("features")
-    norm = F.aggregate(vector_to_array("tfidf"), F.lit(0.0), lambda acc, w: acc + w * w)
-    return table_.select(
-        F.col("id").alias("doc_id"), F.size(values).alias("width"), F.round(norm, 6).alias("text_norm")
+
+    def total(array, f=lambda w: w):
+        return F.round(F.aggregate(array, F.lit(0.0), lambda acc, w: acc + f(w)), 6)
+
+    return _unsplit(spark, sf_dir).table.select(
+        F.col("id").alias("doc_id"),
+        F.size(values).alias("width"),
+        total(values).alias("total"),
+        total(vector_to_array("tfidf"), lambda w: w * w).alias("text_norm"),
     )
 
 
-@query()
+_NB_SCORES = f"""
+{_WEIGHTED},
+mass AS (SELECT lang, term, sum(w) AS m FROM weighted GROUP BY lang, term),
+totals AS (SELECT lang, sum(m) AS m FROM mass GROUP BY lang),
+langs AS (
+  SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS label,
+    ln(count(*) + 1) - ln((SELECT count(*) + 4 FROM documents)) AS prior
+  FROM documents GROUP BY lang),
+theta AS (
+  SELECT t.lang, v.term, ln((coalesce(m.m, 0) + 1) / (t.m + (SELECT count(*) FROM vocab))) AS th
+  FROM totals t CROSS JOIN vocab v LEFT JOIN mass m ON m.lang = t.lang AND m.term = v.term),
+likelihood AS (
+  SELECT w.doc_id, th.lang, sum(w.w * th.th) AS ll FROM weighted w JOIN theta th USING (term) GROUP BY ALL),
+scores AS (
+  SELECT d.doc_id, l.lang, l.label, prior + coalesce(ll, 0) AS score
+  FROM documents d CROSS JOIN langs l LEFT JOIN likelihood k ON k.doc_id = d.doc_id AND k.lang = l.lang)
+"""
+
+
+@query(f"""
+WITH {_NB_SCORES}
+SELECT d.doc_id, CAST(langs.label AS DOUBLE) AS label, CAST(arg_max(scores.label, score) AS DOUBLE) AS prediction
+FROM documents d JOIN langs USING (lang) JOIN scores ON scores.doc_id = d.doc_id
+GROUP BY d.doc_id, langs.label""")
 def fit_naive_bayes(spark, sf_dir):
-    return _fitted(spark, sf_dir, 0)
+    rows = _unsplit(spark, sf_dir).table
+    pred = op.fit_naive_bayes(rows, "tfidf").transform(rows)
+    return pred.select(F.col("id").alias("doc_id"), "label", "prediction")
+
+
+@query(f"""
+WITH {_NB_SCORES},
+shares AS (
+  SELECT doc_id, lang AS label, exp(score) / sum(exp(score)) OVER (PARTITION BY doc_id) AS share
+  FROM (SELECT doc_id, lang, score - max(score) OVER (PARTITION BY doc_id) AS score FROM scores))
+SELECT doc_id AS id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY share DESC, label) AS INTEGER) AS rank,
+  label, round(share, 6) AS score
+FROM shares""")
+def classify_ranked_naive_bayes(spark, sf_dir):
+    features = _unsplit(spark, sf_dir)
+    model = op.fit_naive_bayes(features.table, "tfidf")
+    ranked = op.classify_ranked(model, features.table, "id", features.labels)
+    return ranked.withColumn("score", F.round("score", 6))
+
+
+@query(f"""
+WITH {_WEIGHTED},
+folds AS (SELECT unnest([0, 1, 2]) AS fold),
+mass AS (
+  SELECT fold, lang, term, sum(w) AS m FROM weighted JOIN folds ON doc_id % 3 <> fold GROUP BY ALL),
+totals AS (SELECT fold, lang, sum(m) AS m FROM mass GROUP BY ALL),
+priors AS (
+  SELECT fold, lang, ln(count(*) + 1) - ln(sum(count(*)) OVER (PARTITION BY fold) + 4) AS prior
+  FROM documents JOIN folds ON doc_id % 3 <> fold GROUP BY fold, lang),
+theta AS (
+  SELECT t.fold, t.lang, v.term,
+    ln((coalesce(m.m, 0) + 1) / (t.m + (SELECT count(*) FROM vocab))) AS th
+  FROM totals t CROSS JOIN vocab v
+  LEFT JOIN mass m ON m.fold = t.fold AND m.lang = t.lang AND m.term = v.term),
+likelihood AS (
+  SELECT w.doc_id, th.lang, sum(w.w * th.th) AS ll
+  FROM weighted w JOIN theta th ON th.term = w.term AND th.fold = w.doc_id % 3 GROUP BY ALL),
+pred AS (
+  SELECT d.doc_id, p.fold, any_value(d.lang) AS y, arg_max(p.lang, prior + coalesce(ll, 0)) AS p
+  FROM documents d JOIN priors p ON p.fold = d.doc_id % 3
+  LEFT JOIN likelihood k ON k.doc_id = d.doc_id AND k.lang = p.lang GROUP BY d.doc_id, p.fold),
+sides AS (
+  SELECT fold, label, count(*) FILTER (y = label AND p = label) AS tp,
+    count(*) FILTER (y = label) + count(*) FILTER (p = label) AS total
+  FROM pred, (SELECT DISTINCT lang AS label FROM documents) GROUP BY fold, label)
+SELECT 'MultinomialNB' AS candidate, 0 AS position, fold, round(avg(2 * tp::DOUBLE / total), 6) AS macro_f1
+FROM sides WHERE total > 0 GROUP BY fold""")
+def cross_validate_naive_bayes(spark, sf_dir):
+    rows = _unsplit(spark, sf_dir).table.select("id", "label", "tfidf")
+    folded = rows.withColumn("fold", F.pmod("id", F.lit(3)).cast("int"))
+    cv = op.cross_validate(folded, _candidates()[:1], 3)
+    return cv.withColumn("macro_f1", F.round("macro_f1", 6))
 
 
 @query()
