@@ -121,18 +121,19 @@ class TfidfModel:
                 F.col("_counts.values"),
                 lambda i, tf: (1 + F.log(tf) if self.sublinear else tf) * F.get(idf, i),
             ),
-        ).withColumn(
-            "_norm", F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, w: acc + w * w))
         )
+        norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, w: acc + w * w))
+        # Named inside a lambda, the norm would be summed again for every weight.
+        norms = F.array_repeat(norm, F.size("_raw"))
         return weighted.withColumn(
             out,
             F.struct(
                 F.lit(0).cast("tinyint").alias("type"),
                 F.lit(len(self.terms)).alias("size"),
                 F.col("_counts.indices").alias("indices"),
-                F.transform("_raw", lambda w: w / F.col("_norm")).alias("values"),
+                F.zip_with("_raw", norms, lambda w, n: w / n).alias("values"),
             ),
-        ).drop("_counts", "_raw", "_norm")
+        ).drop("_counts", "_raw")
 
 
 def fit_tfidf(
