@@ -6,8 +6,6 @@ these queries run on all texts with a smaller vocabulary, fewer folds and fewer
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 

@@ -134,8 +134,12 @@ def retrieve_topk(index: Index, queries: DataFrame, k: int = 20) -> DataFrame:
 def with_documents(
     retrieved: DataFrame, docs: DataFrame, doc: str, cols: Sequence[str]
 ) -> DataFrame:
-    """Attach document columns to retrieved rows; only those documents are kept."""
-    return retrieved.join(docs.select(F.col(doc).alias("doc"), *cols), "doc")
+    """Attach document columns to retrieved rows; only those documents are kept.
+
+    The retrieved ids are stored first: Spark then sees that they are the small side and
+    sends them to the texts, instead of shuffling the texts to them.
+    """
+    return durable(retrieved).join(docs.select(F.col(doc).alias("doc"), *cols), "doc")
 
 
 def answer_top_skills(freq: DataFrame, sizes: DataFrame, n: int = 12) -> DataFrame:
