@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.regex import SPACE
 from ..functions.text import text_length
-from ..rules import CATEGORY_ROLES, STOP_WORDS
+from ..rules import BASE_SOURCE, CATEGORY_ROLES, FRESH_SOURCE, STOP_WORDS
 from ..session import durable
 from .labelling import mapped_category
 from .vectorise import (
@@ -29,8 +29,8 @@ def build_corpus(
     base: DataFrame,
     fresh: DataFrame,
     mapping: Mapping[str, str] = CATEGORY_ROLES,
-    base_source: str = "part3_corpus",
-    fresh_source: str = "live_careers_page_2026",
+    base_source: str = BASE_SOURCE,
+    fresh_source: str = FRESH_SOURCE,
 ) -> DataFrame:
     """Cleaned postings and fresh ones by column name, with their ``source``.
 

@@ -151,6 +151,10 @@ CATEGORY_ROLES = {
     "Data Scientist": "data_scientist",
 }
 
+# Where a corpus row comes from.
+BASE_SOURCE = "part3_corpus"
+FRESH_SOURCE = "live_careers_page_2026"
+
 # Role a question is about; the default role is "data_scientist".
 QUESTION_ROUTES = [
     KeywordRule("ai_ml_engineer", [[
