@@ -1,6 +1,26 @@
 """Operators for preparing training data at scale, and their queries."""
 
-from . import mixing, sharding, urls
+import sys
+
+from pyspark import cloudpickle
+
+from . import decontaminate, html, lines, mixing, near, pii, quality, rules, sharding, urls
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "mixing", "sharding", "urls"]
+# Functions go to the executors whole, so this package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__all__ = [
+    "ORACLES",
+    "QUERIES",
+    "decontaminate",
+    "html",
+    "lines",
+    "mixing",
+    "near",
+    "pii",
+    "quality",
+    "rules",
+    "sharding",
+    "urls",
+]
