@@ -9,17 +9,59 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .registry import query, table
+from .words import windows, word_hashes
 
-BINS = 2048
+#: Term families of a text's vector: (first column, end, weight).
+LETTERS, SHAPES, REPEATS, LENGTHS = (0, 1024, 0.6), (1024, 2048, 1.0), (2048, 2050, 1.0), (2050, 2066, 0.7)
+BINS = LENGTHS[1]
 
+# Letters, capitals and digits are one class each; every mark and blank is its own.
+_CLASS = np.array([97 if b >= 128 or chr(b).islower() else 65 if chr(b).isupper() else 48 if chr(b).isdigit() else b for b in range(256)])
 
-def trigram_counts(text: bytes | None) -> np.ndarray:
-    """Hashed counts of the byte trigrams of a whole text."""
-    data = np.frombuffer(text or b"", np.uint8).astype(np.uint32)
-    if len(data) < 3:
-        return np.zeros(BINS, np.float32)
-    mixed = data[:-2] * np.uint32(0x9E3779B1) + data[1:-1] * np.uint32(0x85EBCA77) + data[2:] * np.uint32(0xC2B2AE3D)
-    return np.bincount(mixed >> np.uint32(21), minlength=BINS).astype(np.float32)
+
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """Hashed counts of the trigrams of a sequence."""
+    if len(codes) < 3:
+        return np.zeros(1024, np.float32)
+    codes = codes.astype(np.uint32)
+    mixed = codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA77) + codes[2:] * np.uint32(0xC2B2AE3D)
+    return np.bincount(mixed >> np.uint32(22), minlength=1024).astype(np.float32)
+
+
+def term_counts(text: bytes | None) -> np.ndarray:
+    """Term counts of a whole text: byte trigrams, trigrams of its shape, repetition and length.
+
+    The shape keeps marks and blanks and one sign for each run of letters, capitals or
+    digits, so it is alike in all languages. Repetition is the share of words in five-word windows
+    found before; length is the logarithm of the number of words, spread over two columns.
+    """
+    data = np.frombuffer(text or b"", np.uint8)
+    out = np.zeros(BINS, np.float32)
+    words = word_hashes(text or b"")
+    if not len(words):
+        return out
+    out[LETTERS[0] : LETTERS[1]] = _hashed(data)
+    kinds = _CLASS[data]
+    keep = np.r_[True, (kinds[1:] != kinds[:-1]) | (kinds[1:] < 48)]
+    out[SHAPES[0] : SHAPES[1]] = _hashed(kinds[keep])
+    found = windows(words, min(5, len(words)))
+    again = 1 - len(np.unique(found)) / len(found)
+    out[REPEATS[0] : REPEATS[1]] = again, 1 - again
+    at = min(np.log2(len(words)), 14.999)
+    out[LENGTHS[0] + int(at)], out[LENGTHS[0] + int(at) + 1] = 1 - at % 1, at % 1
+    return out
+
+
+def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Terms weighted as usual, each family scaled to its weight."""
+    parts = []
+    for first, end, weight in (LETTERS, SHAPES, REPEATS, LENGTHS):
+        part = counts[:, first:end]
+        if end <= len(idf):
+            part = np.log1p(part) * idf[first:end]
+        size = np.linalg.norm(part, axis=1, keepdims=True)
+        parts.append(weight * np.divide(part, size, out=np.zeros_like(part), where=size > 0))
+    return np.concatenate(parts, 1)
 
 
 @dataclass
@@ -32,21 +74,21 @@ class Neighbours:
     labels: np.ndarray
     prior: float
     k: int
+    power: int = 16
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
-        weighted = np.log1p(counts) * self.idf
-        latent = weighted @ self.axes
+        latent = _weighted(counts, self.idf) @ self.axes
         size = np.linalg.norm(latent, axis=1, keepdims=True)
         return np.divide(latent, size, out=np.zeros_like(latent), where=size > 0)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        """Similarity-weighted mean label of the nearest vectors; the prior where none is similar."""
+        """Mean label of the nearest vectors, weighted by a power of the cosine; the prior where none is similar."""
         if not len(self.labels):
             return np.full(len(counts), self.prior)
         cosines = self.embed(counts) @ self.vectors.T
         k = min(self.k, len(self.labels))
         nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(cosines, nearest, 1), 0, None).astype(np.float64)
+        weight = np.clip(np.take_along_axis(cosines, nearest, 1), 0, None).astype(np.float64) ** self.power
         total = weight.sum(1)
         voted = (weight * self.labels[nearest]).sum(1)
         return np.where(total > 0, voted / np.where(total > 0, total, 1), self.prior).clip(0, 1)
@@ -63,7 +105,7 @@ def latent_axes(matrix: np.ndarray, rank: int, rounds: int = 4) -> np.ndarray:
 
 
 def _features(texts: pa.Array) -> pa.Array:
-    return pa.array([trigram_counts(t).tobytes() for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+    return pa.array([term_counts(t).tobytes() for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
 
 
 def held_out(id_col: Column) -> Column:
@@ -79,7 +121,7 @@ def fit_neighbours(
     label_col: str = "quality",
     per_class: int = 2048,
     rank: int = 64,
-    k: int = 31,
+    k: int = 15,
 ) -> Neighbours:
     """Fit on up to ``per_class`` labelled rows of each side, drawn by a hash of the id.
 
@@ -110,12 +152,10 @@ def fit_neighbours(
         .toArrow()
     )
     if not found.num_rows:
-        return Neighbours(np.ones(BINS, np.float32), np.eye(BINS, 1, dtype=np.float32), np.zeros((0, 1), np.float32), np.zeros(0), prior, k)
+        return Neighbours(np.ones(SHAPES[1], np.float32), np.eye(BINS, 1, dtype=np.float32), np.zeros((0, 1), np.float32), np.zeros(0), prior, k)
     counts = np.frombuffer(b"".join(found["counts"].to_pylist()), np.float32).reshape(-1, BINS)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    weighted = np.log1p(counts) * idf
-    size = np.linalg.norm(weighted, axis=1, keepdims=True)
-    axes = latent_axes(weighted / np.where(size > 0, size, 1), rank)
+    idf = (np.log((1 + len(counts)) / (1 + (counts[:, : SHAPES[1]] > 0).sum(0))) + 1).astype(np.float32)
+    axes = latent_axes(_weighted(counts, idf), rank)
     model = Neighbours(idf, axes, np.zeros((0, 1), np.float32), np.asarray(found["label"], float), prior, k)
     model.vectors = model.embed(counts)
     return model
@@ -129,7 +169,7 @@ def score_texts(spark: SparkSession, model: Neighbours, text: Column, block: int
         out, voters = [], Neighbours(**shared.value)
         for at in range(0, len(texts), block):
             part = texts.slice(at, block).cast(pa.binary()).to_pylist()
-            out.append(voters.score(np.stack([trigram_counts(t) for t in part])))
+            out.append(voters.score(np.stack([term_counts(t) for t in part])))
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return F.arrow_udf(score, "double").asNondeterministic()(text)  # so that a filter on the score doesn't compute it twice

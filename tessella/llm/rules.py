@@ -193,7 +193,7 @@ def reject_outliers(
     min_words: int = 10,
     least: int = 120,
     tail: float = 1e-9,
-    slack: float = 2.0,
+    slack: float = 3.0,
 ) -> DataFrame:
     """Counts of every whole text, whether the plain rules fail it, and whether it is kept.
 
