@@ -10,8 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .registry import query, table
-from .words import MARKS, windows, word_hashes
+from .words import MARKS, texts_of, windows, word_hashes
 
+#: A leak is an item of which this share is covered by tiles of this many words or more.
+SHARE, LEAST = 0.5, 5
+BLOCK_MB = 8
 _BITS = 20
 _LEAKS_TYPE = "array<struct<item:int,covered:int,tiles:int>>"
 
@@ -99,13 +102,25 @@ def _leaks_of(shared, share: float):
     def leaks(texts: pa.Array) -> pa.Array:
         seeds = Seeds.__new__(Seeds)
         seeds.__dict__.update(shared.value)
-        found = [seeds.matches(t, share) for t in texts.cast(pa.binary()).to_pylist()]
+        found = [seeds.matches(t, share) for t in texts_of(texts)]
         kind = pa.list_(pa.struct([("item", pa.int32()), ("covered", pa.int32()), ("tiles", pa.int32())]))
         return pa.array([[dict(zip(("item", "covered", "tiles"), m, strict=True)) for m in f] for f in found], kind)
 
     return F.arrow_udf(leaks, _LEAKS_TYPE).asNondeterministic()
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, least: int, block_mb: int):
+    """The benchmark in blocks of about ``block_mb`` MB of text: (ids, seeds) one by one."""
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("text")).where(
+        "text IS NOT NULL"
+    )
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, ceil(total / (block_mb << 20)))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield [r[0] for r in rows], Seeds([r[1].encode() for r in rows], least)
+
+
 def benchmark_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -113,9 +128,9 @@ def benchmark_leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    share: float = 0.5,
-    least: int = 5,
-    block_mb: int = 8,
+    share: float = SHARE,
+    least: int = LEAST,
+    block_mb: int = BLOCK_MB,
 ) -> DataFrame:
     """(doc_id, item_id, covered, item_words, coverage, tiles) of the documents that hold a benchmark item.
 
@@ -130,19 +145,14 @@ def benchmark_leaks(
     items there are no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("text")).where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, ceil(total / (block_mb << 20)))
-    item_type = items.schema["item_id"].dataType
+    item_type = benchmark.schema[item_col].dataType.simpleString()
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     result = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        seeds = Seeds([r[1].encode() for r in rows], least)
+    for item_ids, seeds in _blocks(benchmark, item_col, item_text_col, least, block_mb):
         leaks = _leaks_of(spark.sparkContext.broadcast(vars(seeds)), share)
         ids = spark.createDataFrame(
-            [(i, r[0], n) for i, (r, n) in enumerate(zip(rows, seeds.sizes, strict=True))],
-            f"item int, item_id {item_type.simpleString()}, item_words int",
+            [(i, r, n) for i, (r, n) in enumerate(zip(item_ids, seeds.sizes, strict=True))],
+            f"item int, item_id {item_type}, item_words int",
         )
         part = source.select("doc_id", F.explode(leaks("text")).alias("m")).select("doc_id", "m.*")
         # At most block_mb of items lie behind this side.
@@ -153,6 +163,27 @@ def benchmark_leaks(
     return result
 
 
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    share: float = SHARE,
+    least: int = LEAST,
+    block_mb: int = BLOCK_MB,
+) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item, as ``benchmark_leaks`` finds them.
+
+    Each row is judged where it is read: nothing is shuffled and all columns stay. Null
+    and empty texts stay.
+    """
+    for _, seeds in _blocks(benchmark, item_col, item_text_col, least, block_mb):
+        leaks = _leaks_of(docs.sparkSession.sparkContext.broadcast(vars(seeds)), share)
+        docs = docs.where(F.size(leaks(F.col(f"`{text_col}`"))) == 0)
+    return docs
+
+
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the share of it they hold."""

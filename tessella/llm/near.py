@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import durable
 from .graph import components
 from .registry import partitions, query, table
-from .words import shingles, windows, word_hashes
+from .words import shingles, texts_of, windows, word_hashes
 
 GROUPS = 128
 #: 100 * intersection >= 80 * union, as 9 * intersection >= 4 * (sum of both sizes).
 OVERLAP, SIZES = 9, 4
 _CHUNK = 1 << 22
+#: Buckets of more classes are indexed by R-trees; smaller ones are a leaf each.
+LEAF = 64
 
 
 def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
@@ -31,7 +33,7 @@ def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -
     def count(batches):
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
+            for text in texts_of(batch.column(0)):
                 if text:
                     held.append(windows(word_hashes(text, lower=True), 5))
                     size += len(held[-1])
@@ -42,7 +44,10 @@ def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -
             yield report(held)
 
     def report(held):
-        tokens, n = np.unique(np.concatenate(held), return_counts=True)
+        tokens = np.concatenate(held)
+        cells = tokens >> np.uint64(64 - 22)
+        tokens = tokens[np.bincount(cells.astype(np.int64), minlength=1 << 22)[cells] >= 8]
+        tokens, n = np.unique(tokens, return_counts=True)
         often = n >= 8
         return pa.RecordBatch.from_arrays(
             [pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["token", "n"]
@@ -63,15 +68,19 @@ def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):
 
     def sketch(texts: pa.Array) -> pa.Array:
         tokens, counts = shared.value
+        stands_out = np.zeros(1 << 20, bool)
+        stands_out[tokens >> np.uint64(44)] = True
         n, digests, points, prefixes = [], [], [], []
-        for text in texts.cast(pa.binary()).to_pylist():
+        for text in texts_of(texts):
             found = shingles(text or b"")
             n.append(len(found))
             digests.append(np.frombuffer(blake2b(found.tobytes(), digest_size=16).digest(), np.int64))
             points.append(np.bincount(found & np.uint64(GROUPS - 1), minlength=GROUPS).astype(np.uint32).tobytes())
-            if len(tokens) and len(found):
-                at = np.searchsorted(tokens, found).clip(max=len(tokens) - 1)
-                often = np.where(tokens[at] == found, counts[at], 0)
+            maybe = np.flatnonzero(stands_out[found >> np.uint64(44)])
+            if len(maybe):
+                at = np.searchsorted(tokens, found[maybe]).clip(max=len(tokens) - 1)
+                often = np.zeros(len(found), np.int64)
+                often[maybe] = np.where(tokens[at] == found[maybe], counts[at], 0)
                 found = found[np.argsort(often, kind="stable")]
             # Two sets that link share one of their first shingles, in any order common to all.
             prefixes.append(found[: len(found) - -(-4 * len(found) // 5) + 1])
@@ -137,8 +146,9 @@ def _bucket_pairs(batches):
 
     def pairs(tab):
         key = np.stack([np.asarray(tab[c], np.int64) for c in ("token", "lo", "hi")], 1)
-        ids, sizes, roots, chunks = (np.asarray(tab[c], np.int64) for c in ("rep", "n", "root", "chunk"))
+        ids, roots, chunks = (np.asarray(tab[c], np.int64) for c in ("rep", "root", "chunk"))
         points = np.frombuffer(b"".join(tab["point"].to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+        sizes = points.sum(1)
         edges = np.r_[0, np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1, len(key)]
         found = []
         for s, e in zip(edges[:-1], edges[1:], strict=True):
@@ -161,34 +171,102 @@ def _bucket_pairs(batches):
         yield pairs(rest)
 
 
-def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether the sets of two texts link, by their exact intersection."""
-    out, last, seen = [], None, None
-    for x, y in zip(a.cast(pa.binary()).to_pylist(), b.cast(pa.binary()).to_pylist(), strict=True):
-        if y != last:  # rows come sorted by their second text
-            last, seen = y, shingles(y)
-        found = shingles(x)
-        both = len(np.intersect1d(found, seen, assume_unique=True))
-        out.append(OVERLAP * both >= SIZES * (len(found) + len(seen)))
-    return pa.array(out, pa.bool_())
+def _may_link(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whether the summed coordinate minima of two points allow a link; a point sums to its set's size."""
+    out = []
+    for at in range(0, len(a), 1024):
+        x, y = (
+            np.frombuffer(b"".join(c.slice(at, 1024).to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64) for c in (a, b)
+        )
+        out.append(OVERLAP * np.minimum(x, y).sum(1) >= SIZES * (x.sum(1) + y.sum(1)))
+    return pa.array(np.concatenate(out) if out else np.zeros(0, bool), pa.bool_())
+
 
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The ``pairs(a, b)`` whose points allow a link."""
+    a, b = (points.select(F.col("rep").alias(c), F.col("point").alias(f"point_{c}")) for c in "ab")
+    may = F.arrow_udf(_may_link, "boolean")
+    return pairs.join(a, "a").join(b, "b").where(may("point_a", "point_b")).select("a", "b")
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, small: int = 500_000) -> DataFrame:
+
+def _linked(batches):
+    """Pairs that link, from rows sorted by hub and salt: the hub's text first, then its partners'."""
+    hub, seen = None, None
+    for batch in batches:
+        found = []
+        hubs, salts, partners = (batch.column(i).to_pylist() for i in range(3))
+        for at, text in enumerate(texts_of(batch.column(3))):
+            if partners[at] is None:
+                hub, seen = (hubs[at], salts[at]), shingles(text)
+                continue
+            assert hub == (hubs[at], salts[at])
+            mine = shingles(text)
+            both = len(np.intersect1d(mine, seen, assume_unique=True))
+            if OVERLAP * both >= SIZES * (len(mine) + len(seen)):
+                found.append((partners[at], hub[0]))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, small: int = 500_000, salted: int = 256) -> DataFrame:
     """The ``pairs(a, b)`` whose texts link. Texts are read only for classes in a pair.
 
-    The list of these classes is broadcast if it has at most ``small`` rows (24 bytes
+    Of a pair, the class with more partners is the hub. A hub's text goes once to each
+    task that has some ``salted`` of its partners' texts, and tasks read texts one by one.
+    The list of the classes is broadcast if it has at most ``small`` rows (24 bytes
     each); a longer one is joined by a shuffle.
     """
-    needed = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    needed = durable(classes.select("rep", "doc_id", "text_key").join(needed, "rep"))
+    ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    degrees = durable(ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree")))
+    needed = durable(classes.select("rep", "doc_id", "text_key").join(degrees.select("rep"), "rep"))
     if needed.count() <= small:
         needed = F.broadcast(needed)
     same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.text_key") == F.col("k.text_key"))
-    texts = rows.alias("r").join(needed.alias("k"), same).select("rep", "text").dropDuplicates(["rep"])
-    texts = durable(texts)
-    left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-    return durable(both.sortWithinPartitions("b").where(F.arrow_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b"))
+    texts = durable(rows.alias("r").join(needed.alias("k"), same).select("rep", "text").dropDuplicates(["rep"]))
+    degree = lambda c: degrees.select(F.col("rep").alias(c), F.col("degree").alias(f"d{c}"))
+    swap = F.col("da") > F.col("db")
+    turned = pairs.join(degree("a"), "a").join(degree("b"), "b").select(
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("partner"),
+        F.ceil(F.greatest("da", "db") / salted).alias("parts"),
+    )
+    turned = durable(turned.select("hub", F.pmod(F.xxhash64("partner"), F.col("parts")).alias("salt"), "partner"))
+    heads = turned.select("hub", "salt").distinct().join(texts, F.col("hub") == F.col("rep"))
+    heads = heads.select("hub", "salt", F.lit(None).cast("long").alias("partner"), "text")
+    probes = turned.join(texts, F.col("partner") == F.col("rep")).select("hub", "salt", "partner", "text")
+    dealt = heads.unionByName(probes).repartition(partitions(rows), "hub", "salt")
+    return durable(dealt.sortWithinPartitions("hub", "salt", "partner").mapInArrow(_linked, "a long, b long"))
+
+
+def _leaf_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """Pairs across components in buckets of up to ``leaf`` classes, each looked at once, that the bound lets pass."""
+    small = members.where(F.col("members") <= leaf)
+    a = small.select("token", F.col("rep").alias("a"), F.col("root").alias("root_a"))
+    b = small.select("token", F.col("rep").alias("b"), F.col("root").alias("root_b"))
+    pairs = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
+    return bounded(pairs.select("a", "b").distinct(), points)
+
+
+def _tree_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF, side: int = 512) -> DataFrame:
+    """Pairs across components in larger buckets: tiles of about ``side`` by ``side`` classes, an R-tree in each."""
+    large = members.where(F.col("members") > leaf)
+    tiles = F.ceil(F.col("members") / side).cast("int")
+    dealt = (
+        large.join(points, "rep")
+        .withColumn("chunk", F.pmod(F.xxhash64("rep"), tiles))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .select(
+            "token",
+            F.least("chunk", "other").cast("long").alias("lo"),
+            F.greatest("chunk", "other").cast("long").alias("hi"),
+            "rep",
+            "root",
+            F.col("chunk").cast("long").alias("chunk"),
+            "point",
+        )
+    )
+    sorted_tiles = dealt.repartition(partitions(members), "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    return sorted_tiles.mapInArrow(_bucket_pairs, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,10 +277,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each set and one more, in an order where frequent shingles come last: these deal the
     classes into buckets. In each bucket the first class is compared with those that
     share most with it; classes so joined need no more comparing with each other. Then
-    every bucket that still holds several components indexes its classes' group counts
-    in R-trees, in tiles of bounded size, and all pairs across components whose summed
-    coordinate minima allow a link are verified on their whole sets. No link between
-    components is lost; pairs within one are not listed.
+    every bucket that still holds several components indexes its classes' group counts:
+    a small bucket is one leaf, a larger one has R-trees over tiles of bounded size. All
+    pairs across components whose summed coordinate minima allow a link are verified on
+    their whole sets. No link between components is lost; pairs within one are not listed.
 
     Returns doc_id, text_key (hash of the text), n_shingles, component_id (smallest id reached) and first
     (whether the row's id and text are the component's first). Null, empty and blank texts have
@@ -217,49 +295,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = durable(rows.select("doc_id", "text_key", sketch("text").alias("s")).select("doc_id", "text_key", "s.*"))
     filled = sets.where("n > 0")
     firsts = filled.groupBy("s1", "s2").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n", "point", "prefix")).alias("f")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "point", "prefix")).alias("f")
     )
     classes = durable(
-        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.n", "f.point", "f.prefix")
+        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.point", "f.prefix")
     )
     thin = classes.select("rep", "doc_id", "text_key")
-    dealt = classes.select("rep", "n", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
+    dealt = classes.select("rep", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
     buckets = dealt.groupBy("token").agg(
-        F.min(F.struct("rep", "n")).alias("head"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members")
+        F.min("rep").alias("head"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members")
     )
-    shared = durable(
-        dealt.join(buckets.where("head.rep < last"), "token").select(
-            "token", "rep", "n", F.col("head.rep").alias("head"), F.col("head.n").alias("head_n"), "members"
-        )
-    )
-    fits = (5 * F.least("n", "head_n") >= 4 * F.greatest("n", "head_n")) & (F.col("rep") != F.col("head"))
-    votes = shared.where(fits).groupBy("rep", "head").agg(F.count(F.lit(1)).alias("votes"))
+    shared = durable(dealt.join(buckets.where("head < last"), "token").select("token", "rep", "head", "members"))
+    votes = shared.where("rep <> head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("votes"))
     stars = votes.groupBy("rep").agg(F.max(F.struct("votes", (-F.col("head")).alias("minus"))).alias("best"))
-    stars = durable(stars.select(F.col("rep").alias("a"), (-F.col("best.minus")).alias("b")))
-    links = verified(stars, thin, rows)
+    stars = stars.select(F.col("rep").alias("a"), (-F.col("best.minus")).alias("b"))
+    points = classes.select("rep", "point")
+    links = verified(durable(bounded(stars, points)), thin, rows)
     roots = durable(components(links))
     rooted = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", "n", F.coalesce("root", "rep").alias("root"), "members"
+        "token", "rep", F.coalesce("root", "rep").alias("root"), "members"
     )
     rooted = durable(rooted)
     mixed = rooted.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("token")
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("members") / 512)).cast("int")
-    open_rows = (
-        rooted.join(mixed, "token")
-        .join(classes.select("rep", "point"), "rep")
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), tiles))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .select(
-            "token", F.least("chunk", "other").cast("long").alias("lo"), F.greatest("chunk", "other").cast("long").alias("hi"),
-            "rep", "n", "root", F.col("chunk").cast("long").alias("chunk"), "point",
-        )
-    )
-    crossing = (
-        open_rows.repartition(partitions(docs), "token", "lo", "hi")
-        .sortWithinPartitions("token", "lo", "hi")
-        .mapInArrow(_bucket_pairs, "a long, b long")
-    )
-    more = verified(durable(crossing.distinct()), thin, rows)
+    still = durable(rooted.join(mixed, "token"))
+    more = verified(durable(_leaf_pairs(still, points).unionByName(_tree_pairs(still, points)).distinct()), thin, rows)
     # Links between components, on their roots: the stars are links already.
     root_of = lambda c: F.coalesce(F.col(f"{c}.root"), F.col(f"p.{c}"))
     between = (

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .registry import query, table
-from .words import windows, word_hashes
+from .words import texts_of, windows, word_hashes
 
 #: Term families of a text's vector: (first column, end, weight).
 LETTERS, SHAPES, REPEATS, LENGTHS = (0, 1024, 0.6), (1024, 2048, 1.0), (2048, 2050, 1.0), (2050, 2066, 0.7)
@@ -105,7 +105,7 @@ def latent_axes(matrix: np.ndarray, rank: int, rounds: int = 4) -> np.ndarray:
 
 
 def _features(texts: pa.Array) -> pa.Array:
-    return pa.array([term_counts(t).tobytes() for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+    return pa.array([term_counts(t).tobytes() for t in texts_of(texts)], pa.binary())
 
 
 def held_out(id_col: Column) -> Column:
@@ -168,7 +168,7 @@ def score_texts(spark: SparkSession, model: Neighbours, text: Column, block: int
     def score(texts: pa.Array) -> pa.Array:
         out, voters = [], Neighbours(**shared.value)
         for at in range(0, len(texts), block):
-            part = texts.slice(at, block).cast(pa.binary()).to_pylist()
+            part = texts_of(texts.slice(at, block))
             out.append(voters.score(np.stack([term_counts(t) for t in part])))
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 

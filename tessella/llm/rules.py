@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import durable
 from .registry import query, table
-from .words import spans, windows, word_hashes
+from .words import spans, texts_of, windows, word_hashes
 
 _SYMBOL = np.array([chr(b) in "#*$%&|<>" for b in range(256)])
 _UPPER = np.array([chr(b).isupper() and b < 128 for b in range(256)])
@@ -62,7 +62,7 @@ _COUNTS_TYPE = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
 
 
 def _counts(texts: pa.Array) -> pa.Array:
-    rows = [text_counts(t) for t in texts.cast(pa.binary()).to_pylist()]
+    rows = [text_counts(t) for t in texts_of(texts)]
     columns = list(zip(*rows, strict=True)) or [()] * len(COUNTS)
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 

@@ -8,13 +8,21 @@ all words of a text are hashed by one running sum.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _PIECE = 1 << 22  # bytes hashed at once; longer texts go piece by piece, cut at white space
 
 
+def texts_of(column: pa.Array, step: int = 256) -> Iterator[bytes | None]:
+    """The UTF-8 texts of a column, a few copied out of Arrow at a time."""
+    for at in range(0, len(column), step):
+        yield from column.slice(at, step).cast(pa.binary()).to_pylist()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
