@@ -13,7 +13,7 @@ from .graph import components
 from .registry import partitions, query, table
 from .words import shingles, texts_of, windows, word_hashes
 
-GROUPS = 128
+GROUPS = 512
 #: 100 * intersection >= 80 * union, as 9 * intersection >= 4 * (sum of both sizes).
 OVERLAP, SIZES = 9, 4
 _CHUNK = 1 << 22
@@ -75,7 +75,7 @@ def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):
             found = shingles(text or b"")
             n.append(len(found))
             digests.append(np.frombuffer(blake2b(found.tobytes(), digest_size=16).digest(), np.int64))
-            points.append(np.bincount(found & np.uint64(GROUPS - 1), minlength=GROUPS).astype(np.uint32).tobytes())
+            points.append(packed(np.bincount(found & np.uint64(GROUPS - 1), minlength=GROUPS)))
             maybe = np.flatnonzero(stands_out[found >> np.uint64(44)])
             if len(maybe):
                 at = np.searchsorted(tokens, found[maybe]).clip(max=len(tokens) - 1)
@@ -101,6 +101,18 @@ def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):
     return F.arrow_udf(sketch, schema).asNondeterministic()
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Group counts in a byte each, or in four where one is over 255."""
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def unpacked(points: list[bytes]) -> np.ndarray:
+    """A row for each point; as small a type as all of them allow."""
+    if all(len(p) == GROUPS for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
+    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32).astype(np.uint32) for p in points])
+
+
 class RTree:
     """Group counts packed into leaves by size; a leaf's corner bounds the overlap with all it holds."""
 
@@ -114,12 +126,12 @@ class RTree:
 
     def near(self, point: np.ndarray, size: int) -> np.ndarray:
         """Entries whose summed coordinate minima allow a link."""
-        alike = OVERLAP * np.minimum(self.corners, point).sum(1) >= SIZES * (size + self.least)
+        alike = OVERLAP * np.minimum(self.corners, point).sum(1, dtype=np.int64) >= SIZES * (size + self.least)
         rows = [self.leaves[i] for i in np.flatnonzero(alike)]
         if not rows:
             return np.zeros(0, np.int64)
         at = np.concatenate(rows)
-        bound = np.minimum(self.points[at], point).sum(1)
+        bound = np.minimum(self.points[at], point).sum(1, dtype=np.int64)
         return at[OVERLAP * bound >= SIZES * (size + self.sizes[at])]
 
 
@@ -147,8 +159,8 @@ def _bucket_pairs(batches):
     def pairs(tab):
         key = np.stack([np.asarray(tab[c], np.int64) for c in ("token", "lo", "hi")], 1)
         ids, roots, chunks = (np.asarray(tab[c], np.int64) for c in ("rep", "root", "chunk"))
-        points = np.frombuffer(b"".join(tab["point"].to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
-        sizes = points.sum(1)
+        points = unpacked(tab["point"].to_pylist())
+        sizes = points.sum(1, dtype=np.int64)
         edges = np.r_[0, np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1, len(key)]
         found = []
         for s, e in zip(edges[:-1], edges[1:], strict=True):
@@ -175,10 +187,9 @@ def _may_link(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether the summed coordinate minima of two points allow a link; a point sums to its set's size."""
     out = []
     for at in range(0, len(a), 1024):
-        x, y = (
-            np.frombuffer(b"".join(c.slice(at, 1024).to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64) for c in (a, b)
-        )
-        out.append(OVERLAP * np.minimum(x, y).sum(1) >= SIZES * (x.sum(1) + y.sum(1)))
+        x, y = (unpacked(c.slice(at, 1024).to_pylist()) for c in (a, b))
+        both, sizes = (np.minimum(x, y).sum(1, dtype=np.int64), x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64))
+        out.append(OVERLAP * both >= SIZES * sizes)
     return pa.array(np.concatenate(out) if out else np.zeros(0, bool), pa.bool_())
 
 
@@ -269,14 +280,34 @@ def _tree_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF, side: i
     return sorted_tiles.mapInArrow(_bucket_pairs, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _mixed(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components; dealt by token once."""
+    dealt = members.repartition(partitions(members), "token")
+    ends = dealt.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
+    return dealt.join(ends.select("token"), "token")
+
+
+def _stars(members: DataFrame, number: int) -> DataFrame:
+    """(a, b): for each class the head, of another component, with which it shares most buckets.
+
+    The head of a bucket is the class with the smallest hash, another one in each round.
+    """
+    dealt = members.withColumn("h", F.xxhash64("rep", F.lit(number))).repartition(partitions(members), "token")
+    lowest = dealt.groupBy("token").agg(F.min("h").alias("lowest"))
+    heads = dealt.join(lowest, "token").where("h = lowest").select("token", F.col("rep").alias("b"), F.col("root").alias("root_b"))
+    votes = dealt.join(heads, "token").where("root <> root_b").groupBy("rep", "b").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("rep").agg(F.max(F.struct("votes", "b")).alias("best"))
+    return best.select(F.col("rep").alias("a"), F.col("best.b").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3) -> DataFrame:
     """The connected component of every row of ``docs`` under a Jaccard link of 0.8 or more.
 
     A text's set holds its distinct shingles of five lower-cased words. Equal sets form a
     class at once. Two classes that link share one of their rarest shingles, a fifth of
     each set and one more, in an order where frequent shingles come last: these deal the
-    classes into buckets. In each bucket the first class is compared with those that
-    share most with it; classes so joined need no more comparing with each other. Then
+    classes into buckets. In ``rounds`` rounds each class is compared with one head of its
+    buckets; classes so joined need no more comparing with each other. Then
     every bucket that still holds several components indexes its classes' group counts:
     a small bucket is one leaf, a larger one has R-trees over tiles of bounded size. All
     pairs across components whose summed coordinate minima allow a link are verified on
@@ -290,6 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     text = F.col(f"`{text_col}`")
+    rounds = max(1, rounds)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     sketch = _sketches(spark, frequent_shingles(rows))
     sets = durable(rows.select("doc_id", "text_key", sketch("text").alias("s")).select("doc_id", "text_key", "s.*"))
@@ -302,23 +334,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     thin = classes.select("rep", "doc_id", "text_key")
     dealt = classes.select("rep", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
-    buckets = dealt.groupBy("token").agg(
-        F.min("rep").alias("head"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members")
-    )
-    shared = durable(dealt.join(buckets.where("head < last"), "token").select("token", "rep", "head", "members"))
-    votes = shared.where("rep <> head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("votes"))
-    stars = votes.groupBy("rep").agg(F.max(F.struct("votes", (-F.col("head")).alias("minus"))).alias("best"))
-    stars = stars.select(F.col("rep").alias("a"), (-F.col("best.minus")).alias("b"))
+    buckets = dealt.groupBy("token").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1"), F.count(F.lit(1)).alias("members"))
+    shared = durable(dealt.join(buckets.where("r0 < r1"), "token").select("token", "rep", "members"))
     points = classes.select("rep", "point")
-    links = verified(durable(bounded(stars, points)), thin, rows)
-    roots = durable(components(links))
-    rooted = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", F.coalesce("root", "rep").alias("root"), "members"
-    )
-    rooted = durable(rooted)
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("token")
-    still = durable(rooted.join(mixed, "token"))
-    more = verified(durable(_leaf_pairs(still, points).unionByName(_tree_pairs(still, points)).distinct()), thin, rows)
+    links, roots = None, None
+    open_rows = shared.withColumn("root", F.col("rep"))
+    for number in range(rounds):
+        found = verified(durable(bounded(_stars(open_rows, number), points)), thin, rows)
+        links = found if links is None else links.unionByName(found)
+        roots = durable(components(links))
+        rooted = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
+            "token", "rep", F.coalesce("root", "rep").alias("root"), "members"
+        )
+        open_rows = durable(_mixed(rooted))
+    pairs = _leaf_pairs(open_rows, points).unionByName(_tree_pairs(open_rows, points))
+    more = verified(durable(pairs.distinct()), thin, rows)
     # Links between components, on their roots: the stars are links already.
     root_of = lambda c: F.coalesce(F.col(f"{c}.root"), F.col(f"p.{c}"))
     between = (

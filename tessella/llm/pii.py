@@ -87,7 +87,32 @@ def _variants() -> dict[str, str]:
 
 
 _PLAIN = _variants()
-_ODD = re.compile("[" + "".join(map(re.escape, _PLAIN)) + "]")
+_ODD_LATIN = [c for c in _PLAIN if c <= "\xff"]
+
+
+def _class(chars: list[str]) -> str:
+    """A character class of ranges; long lists of single characters would be slow to search."""
+    codes, spans = sorted(map(ord, chars)), []
+    for code in codes:
+        if spans and code == spans[-1][1] + 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]"
+
+
+# Characters of the first plane and the others apart: only the first have a fast table.
+_ODD = re.compile("|".join(_class([c for c in _PLAIN if (c > "\uffff") == high]) for high in (False, True)))
+
+
+def _has_odd(text: str) -> bool:
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _ODD.search(text) is not None
+    return any(c in text for c in _ODD_LATIN)
 _DIGIT = {w: str(i) for line in SPELLED for i, w in enumerate(line.split())}
 _OPEN, _CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 _AT, _DOT = "(?:at|arobase|arroba|klammeraffe|@)", r"(?:dot|point|punkt|punto|\.)"
@@ -101,13 +126,38 @@ _ADDRESS = re.compile(
     rf"|(?:(?<=[a-z0-9])(?:{_BARE_AT})(?P<b>{_LABEL}(?:(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}){_LABEL}){{1,6}}))"
     rf"|(?:@(?P<c>{_LABEL}(?:\.{_LABEL}){{0,6}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}}){_LABEL}){{1,6}}))"
 )
-_DOTS = re.compile(rf"{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}")
+_DOTS = re.compile(rf"{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}")
+#: A bare at before a plain domain counts only after a local part with a dot, a digit or the like.
+_SOFT_AT = [
+    (word, re.compile(rf"{word}\s{{1,3}}(?={_LABEL}(?:\.{_LABEL}){{1,6}})")) for word in ("at", "arobase", "arroba", "klammeraffe", "@")
+]
+_BRACKET_AT = re.compile(rf"[(\[{{<]\s{{0,3}}{_AT}\s{{0,3}}[)\]}}>]")
+_ADDRESS_LIKE = re.compile(r"[a-z0-9._%+-]*[0-9._%+-][a-z0-9._%+-]*\Z")
+_IP_DOTS = re.compile(
+    rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}|\.)[0-9]{{1,3}}){{3}}(?![0-9])"
+)
 _WORD = "(?:" + "|".join(sorted(_DIGIT, key=len, reverse=True)) + ")"
-#: Four spelled digits or more, next to each other; commas, hyphens and dots between them.
+_ITEM = rf"(?:{_WORD}\b|[0-9]+)"
+#: A spelled digit and three more, spelled or not, next to each other; commas, hyphens and dots between them.
 _NUMBER = re.compile(
-    rf"(?:plus[\s-]{{1,3}})?{_WORD}\b(?:(?:[\s,-]{{1,3}}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}){_WORD}\b){{3,}}"
+    rf"(?:(?:plus[\s-]{{1,3}}|\+\s?)?{_ITEM}(?:(?:[\s,-]{{1,3}}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}){_ITEM}){{3,}})"
 )
-_PART = re.compile(rf"{_WORD}|plus|dot|point|punkt|punto")
+_SPELLED = re.compile(rf"{_WORD}\b")
+_SPELLED_WORDS = frozenset(_DIGIT)
+_PART = re.compile(rf"{_WORD}\b|[0-9]+|plus|\+|dot|point|punkt|punto")
+#: A number with some letters O, I or l for digits.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])[+0-9(][0-9OoIl().\x20-]{8,26}[0-9OoIl](?![A-Za-z])")
+_FOR_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
+# Cheap signs that a search may find something.
+_AT_HINTS = ["@", " at ", "_at_", "arobase", "arroba", "klammeraffe"]
+_DOT_HINTS = [" dot ", "_dot_", "(dot", "[dot", "{dot", "<dot", "point", "punkt", "punto", "[.", "(.", "{.", "<.", "( ", "[ ", "{ ", " ."]
+_STOPS = ",-.;:)!?\n\t"
+
+
+def _spells(low: str) -> bool:
+    for c in _STOPS:
+        low = low.replace(c, " ")
+    return not _SPELLED_WORDS.isdisjoint(low.split(" "))
 
 
 def _lowered(text: str) -> str:
@@ -119,26 +169,37 @@ def transduce(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
     """The normalised text and the pieces that changed: (start, end) there and (start, end) here."""
     pieces: list[tuple[int, int, str]] = []
     low = _lowered(text)
-    odd = not text.isascii() and _ODD.search(text)
-    if odd:
+    if _has_odd(text):
         pieces += [(m.start(), m.end(), _PLAIN[m[0]]) for m in _ODD.finditer(text)]
         low = low.translate({ord(k): v for k, v in _PLAIN.items() if len(v) == 1})
-    for m in _NUMBER.finditer(low):
-        if m.start() and low[m.start() - 1].isalnum():
+    for m in _NUMBER.finditer(low) if _spells(low) else ():
+        if m.start() and low[m.start() - 1].isalnum() or not _SPELLED.search(m[0]):
             continue
         at = m.start()
         for p in _PART.finditer(low, m.start(), m.end()):
             between = low[at : p.start()]
-            word = _DIGIT.get(p[0]) or ("+" if p[0] == "plus" else ".")
-            # Blanks and commas between spelled digits go; hyphens may stay.
+            word = _DIGIT.get(p[0]) or (p[0] if p[0].isdigit() else "+" if p[0] in ("plus", "+") else ".")
+            # Blanks and commas between the digits go; hyphens stay.
             pieces.append((at, p.end(), ("-" if "-" in between else "") + word))
             at = p.end()
-    if "@" in low or "(" in low or "[" in low or "{" in low or "<" in low or " dot " in low or "punkt" in low or "punto" in low or "point" in low or "_dot_" in low:
+    for m in _LETTERED.finditer(text):
+        if sum(c.isdigit() for c in m[0]) >= 7:
+            pieces += [(m.start() + i, m.start() + i + 1, _FOR_DIGIT[c]) for i, c in enumerate(m[0]) if c in _FOR_DIGIT]
+    dots = any(hint in low for hint in _DOT_HINTS)
+    if dots and any(hint in low for hint in _AT_HINTS) or _BRACKET_AT.search(low):
         for m in _ADDRESS.finditer(low):
             domain = m.lastgroup
             if domain != "c":
                 pieces.append((m.start(), m.start(domain), "@"))
             pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(domain), m.end(domain))]
+    for m in _IP_DOTS.finditer(low) if dots else ():
+        pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(), m.end())]
+    for word, pattern in _SOFT_AT:
+        for m in pattern.finditer(low) if word in low else ():
+            before = low[max(0, m.start() - 70) : m.start()]
+            head = before.rstrip()
+            if 0 < len(before) - len(head) < 4 and _ADDRESS_LIKE.search(head.split(" ")[-1]):
+                pieces.append((m.start() - len(before) + len(head), m.end(), "@"))
     if not pieces:
         return text, []
     out, changed, here, there = [], [], 0, 0

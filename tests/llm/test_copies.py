@@ -111,6 +111,9 @@ def test_tree_finds_all_that_the_bound_allows():
     rng = np.random.default_rng(3)
     points = rng.poisson(3, (300, near.GROUPS))
     points[100:200] = points[:100] + rng.poisson(0.1, (100, near.GROUPS))
+    points[7, 3] = points[107, 3] = 70_000
+    assert (near.unpacked([near.packed(p) for p in points]) == points).all()
+    assert near.unpacked([near.packed(p) for p in points[:5]]).dtype == np.uint8
     sizes = points.sum(1)
     tree = near.RTree(points, sizes)
     for i in range(0, 300, 7):

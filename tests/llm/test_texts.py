@@ -64,6 +64,12 @@ def test_plain_spans_as_the_patterns_find_them():
         ("Anruf plus vier neun drei null eins zwei drei vier fünf sechs sieben heute", "phone", "plus vier neun drei null eins zwei drei vier fünf sechs sieben"),
         ("card four one one one one one one one one one one one one one one one ok", "card", "four one one one one one one one one one one one one one one one"),
         ("card ４１１１-1111-1111-1111", "card", "４１１１-1111-1111-1111"),
+        ("from 192 dot 168 dot 1 dot 20 it came", "ip", "192 dot 168 dot 1 dot 20"),
+        ("from 192[.]168[.]1[.]20", "ip", "192[.]168[.]1[.]20"),
+        ("mail hein.19 at mail5.example.com ining", "email", "hein.19 at mail5.example.com"),
+        ("call +1 (5O5) 555-l234 now", "phone", "+1 (5O5) 555-l234"),
+        ("call +1 five two three 555 one 0 five five", "phone", "+1 five two three 555 one 0 five five"),
+        ("a Hein.19 AT Mail5 DOT Example DOT Com b", "email", "Hein.19 AT Mail5 DOT Example DOT Com"),
     ],
 )
 def test_disguises_map_back_to_their_characters(text, kind, source):
