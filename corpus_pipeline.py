@@ -21,15 +21,20 @@ THRESHOLD = 0.3
 SHARDS = 8
 
 
-def _unused(docs: DataFrame, name: str) -> str:
-    while name in docs.columns:
-        name += "_"
-    return name
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``docs`` has no such column."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest-neighbour vote doesn't reject."""
-    score = _unused(docs, "quality_score")
+    (score,) = _unused(docs, "quality_score")
     scored = classify_quality(docs, table(spark, sf_dir, "labels"), score_col=score)
     return scored.where(F.col(score) >= THRESHOLD).select(*docs.columns)
 
@@ -39,13 +44,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts without words are in no group and all stay.
     """
+    key, row, of, text, blank = _unused(docs, "text_key", "row", "kept_id", "kept_text", "kept_blank")
     found = near_duplicates(docs).where("first")
-    kept = found.select(F.col("doc_id").alias("k"), F.col("text_key").alias("t"), (F.col("n_shingles") == 0).alias("blank"))
-    key, row = _unused(docs, "text_key"), _unused(docs, "row")
-    joined = docs.withColumn(key, F.xxhash64("text")).join(
-        durable(kept.distinct()), F.col("doc_id").eqNullSafe(F.col("k")) & (F.col(key) == F.col("t"))
-    )
-    numbered = joined.withColumn(row, F.when(F.col("blank"), F.monotonically_increasing_id()))
+    kept = found.select(
+        F.col("doc_id").alias(of), F.col("text_key").alias(text), (F.col("n_shingles") == 0).alias(blank)
+    ).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(key) == F.col(text))
+    joined = docs.withColumn(key, F.xxhash64("text")).join(durable(kept), same)
+    numbered = joined.withColumn(row, F.when(F.col(blank), F.monotonically_increasing_id()))
     return numbered.dropDuplicates(["doc_id", key, row]).select(*docs.columns)
 
 
@@ -56,17 +62,22 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; those it doesn't take go."""
-    key = _unused(docs, "text_key")
+    key, of, text, source, times = _unused(docs, "text_key", "mixed_id", "mixed_text", "mixed_source", "mixed_times")
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    mixed = mix_to_targets(keyed, keep=[key])
+    mixed = mix_to_targets(keyed.select("doc_id", "text", "source", F.col(key).alias("text_key")), keep=["text_key"])
     copies = (
-        mixed.groupBy(F.col("doc_id").alias("k"), F.col(key).alias("t"), F.col("source").alias("s"))
-        .agg(F.sum("copies").alias("copies"))
-        .where("copies > 0")
+        mixed.groupBy(F.col("doc_id").alias(of), F.col("text_key").alias(text), F.col("source").alias(source))
+        .agg(F.sum("copies").cast("int").alias(times))
+        .where(F.col(times) > 0)
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col(of))
+        & (F.col(key) == F.col(text))
+        & F.col("source").eqNullSafe(F.col(source))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col(key) == F.col("t")) & F.col("source").eqNullSafe(F.col("s"))
+    # Rows equal in id, text and source were summed into one.
     taken = keyed.join(durable(copies), same).dropDuplicates(["doc_id", key, "source"])
-    return taken.withColumn(key, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return taken.withColumn(key, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
