@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,21 +41,93 @@ _BLANKS = re.compile(r"[ \t\n\f\r]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
+# Elements whose content is text up to their own end tag.
+RAW = set("script style textarea title xmp iframe noembed noframes".split())
+#: Elements nest no deeper than this, as in browsers; what is deeper becomes a sibling.
+DEPTH = 512
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)")
+_EQUALS = re.compile(r"\s*=\s*")
+_VALUE = re.compile(r"[^\s>]*")
+_TAIL = re.compile(r"[\s/]*")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+
+
+def attributes(page: str, at: int) -> tuple[dict[str, str], int] | None:
+    """The attributes from ``at`` on and the place after the tag; None if the page ends first."""
+    found: dict[str, str] = {}
+    while True:
+        if at >= len(page):
+            return None
+        name = _ATTRIBUTE.match(page, at)
+        if name is None:
+            at = _TAIL.match(page, at).end()
+            return (found, at + 1) if page.startswith(">", at) else None
+        at, value = name.end(), ""
+        if equals := _EQUALS.match(page, at):
+            at = equals.end()
+            if page[at : at + 1] in ('"', "'"):
+                end = page.find(page[at], at + 1)
+                if end < 0:
+                    return None
+                value, at = page[at + 1 : end], end + 1
+            else:
+                bare = _VALUE.match(page, at)
+                value, at = bare[0], bare.end()
+        found.setdefault(name[1].lower(), unescape(value))
+
+
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    __slots__ = ("attrs", "children", "depth", "items", "parent", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None) -> None:
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        self.items = 0
+        self.depth = parent.depth + 1 if parent else 0
 
 
-class TreeBuilder(HTMLParser):
+class TreeBuilder:
     """A tree of a page; missing end tags are implied as browsers do."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.root = self.open = Node("#root", {}, None)
 
+    def feed(self, page: str) -> None:
+        """Read the page once from start to end; a tag or comment that never ends takes the rest."""
+        at = 0
+        while at < len(page):
+            start = page.find("<", at)
+            if start < 0:
+                self.handle_data(unescape(page[at:]))
+                return
+            after = page[start + 1 : start + 2]
+            name = _NAME.match(page, start + 2 if after == "/" else start + 1)
+            if name is None and after not in ("!", "?", "/"):
+                self.handle_data(unescape(page[at : start + 1]))
+                at = start + 1
+                continue
+            if start > at:
+                self.handle_data(unescape(page[at:start]))
+            if name is None:  # a comment, a declaration or the like
+                mark = "-->" if page.startswith("<!--", start) else ">"
+                end = page.find(mark, start + (4 if mark == "-->" else 1))
+                at = len(page) if end < 0 else end + len(mark)
+                continue
+            read = attributes(page, name.end())
+            if read is None:
+                return
+            tag, (attrs, at) = name[0].lower(), read
+            if after == "/":
+                self.handle_endtag(tag)
+                continue
+            self.handle_starttag(tag, attrs)
+            if tag in RAW:
+                end = _RAW_END[tag].search(page, at)
+                stop = end.start() if end else len(page)
+                self.handle_data(page[at:stop])
+                at = stop
+
     def close_up_to(self, tags: set[str], stops: set[str]) -> None:
         node, last = self.open, None
         while node.parent is not None and node.tag not in stops:
@@ -65,7 +137,7 @@ class TreeBuilder(HTMLParser):
         if last is not None:
             self.open = last.parent
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def handle_starttag(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in ("html", "body") and self.holder(tag):
             return
         if tag in IMPLIED:
@@ -77,15 +149,14 @@ class TreeBuilder(HTMLParser):
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and self.open.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self.open = self.open.parent
         if tag in ("td", "th") and self.open.tag in ("table", "tbody", "thead", "tfoot"):
-            self.handle_starttag("tr", [])
-        node = Node(tag, dict(attrs), self.open)
+            self.handle_starttag("tr", {})
+        if self.open.depth >= DEPTH:
+            self.open = self.open.parent
+        node = Node(tag, attrs, self.open)
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # the slash of a void element says nothing; of others it is ignored
-
     def holder(self, tag: str) -> Node | None:
         node = self.open
         while node is not None and node.tag != tag:
@@ -94,12 +165,12 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
-            self.handle_starttag("br", [])
+            self.handle_starttag("br", {})
             return
         if tag in ("body", "html"):
             return  # what follows still belongs to the body
         if tag == "p" and not self.holder("p"):
-            self.handle_starttag("p", [])
+            self.handle_starttag("p", {})
         node = self.holder(tag)
         if node is None:
             return
@@ -241,11 +312,8 @@ def marker(item: Node) -> str:
         return "- "
     first = item.parent.attrs.get("start") or "1"
     number = int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1
-    for child in item.parent.children:
-        if child is item:
-            break
-        number += isinstance(child, Node) and child.tag == "li" and not is_hidden(child)
-    return f"{number}. "
+    item.parent.items += 1  # items are rendered in order, each once
+    return f"{number + item.parent.items - 1}. "
 
 
 def flat(node: Node) -> list[str]:
@@ -324,7 +392,6 @@ def render(html: str | None) -> str:
     """The visible text of one whole page."""
     builder = TreeBuilder()
     builder.feed(html or "")
-    builder.close()
     renderer = Renderer()
     renderer.walk(builder.root)
     return "\n".join(renderer.lines)
@@ -343,8 +410,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     tables, list items have markers and indents, preformatted text keeps its lines, and
     table cells are padded to their columns.
 
-    Null and empty pages give an empty text; markup that never ends is read to the end of the page;
-    repeated rows each give a row; an empty table gives none. Other columns are ignored.
+    Null and empty pages give an empty text; a tag or comment that never ends takes the rest of
+    the page; elements nest 512 deep, deeper ones become siblings; repeated rows each give a row; an empty table gives none. Other columns are ignored.
     """
     return (
         pages.select(F.col(f"`{id_col}`").alias("page_id"), F.arrow_udf(_rendered, "string").asNondeterministic()(F.col(f"`{html_col}`")).alias("text"))

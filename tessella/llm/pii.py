@@ -137,7 +137,7 @@ _IP_DOTS = re.compile(
     rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}|\.)[0-9]{{1,3}}){{3}}(?![0-9])"
 )
 _WORD = "(?:" + "|".join(sorted(_DIGIT, key=len, reverse=True)) + ")"
-_ITEM = rf"(?:{_WORD}\b|[0-9]+)"
+_ITEM = rf"(?:{_WORD}\b|(?<![0-9])[0-9]++)"
 #: A spelled digit and three more, spelled or not, next to each other; commas, hyphens and dots between them.
 _NUMBER = re.compile(
     rf"(?:(?:plus[\s-]{{1,3}}|\+\s?)?{_ITEM}(?:(?:[\s,-]{{1,3}}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}){_ITEM}){{3,}})"

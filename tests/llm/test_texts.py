@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -86,7 +87,7 @@ def test_clean_texts_stay_clean(text):
 
 
 def test_personal_data_of_rows(spark, documents, long_text):
-    texts = [None, "", "a@b.cc a@b.cc", "9" * 60_000, long_text + "x@y.zz", "a@b.cc a@b.cc", "@" * 20_000]
+    texts = [None, "", "a@b.cc a@b.cc", "nine one " + "9" * 60_000, long_text + "x@y.zz", "a@b.cc a@b.cc", "@ at " * 20_000]
     got = {r.doc_id: r for r in find_personal_data(documents(texts)).collect()}
     assert len(got) == len(texts)
     assert got[0].spans == got[1].spans == got[3].spans == got[6].spans == ""
@@ -129,7 +130,19 @@ def test_pages_are_laid_out(html, text):
 
 def test_deep_and_broken_pages():
     assert render("<div>" * 5000 + "x" + "</span>" * 10) == "x"
-    assert render("<p>a<!-- never ends") .startswith("a")
+    assert render("<p>a<!-- never ends") == "a"
+    assert render("a<b c='d") == "a"
+    assert render("a<!DOCTYPE x><?pi?></ bogus>b<A HREF=x/y Title=\"1>2\">c</A><br/>d") == "abc\nd"
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<!--", "<a ", "<", "&", "<div>", "<ul><li>", "<p>x", "<table><tr><td>", "<script>", "</b>", "<b>x", '<a href="', "<li>x", "<b><p>"],
+)
+def test_hostile_pages_take_linear_time(piece):
+    start = time.perf_counter()
+    render("<ol>" + piece * 20_000)
+    assert time.perf_counter() - start < 20
 
 
 def brute_counts(text):
