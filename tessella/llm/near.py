@@ -16,7 +16,7 @@ from .words import shingles, texts_of, windows, word_hashes
 GROUPS = 512
 #: 100 * intersection >= 80 * union, as 9 * intersection >= 4 * (sum of both sizes).
 OVERLAP, SIZES = 9, 4
-_CHUNK = 1 << 22
+_CHUNK = 1 << 21
 #: Buckets of more classes are indexed by R-trees; smaller ones are a leaf each.
 LEAF = 64
 
@@ -25,7 +25,7 @@ def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -
     """Shingles that stand out in ``texts(text)`` and their counts, sorted by shingle.
 
     Each task counts all its shingles, some millions at a time, and reports those that come
-    8 times or more; the sums decide. There are at most ``most`` of them, as no more can
+    6 times or more; the sums decide. There are at most ``most`` of them, as no more can
     pass the threshold that their total sets. They only steer the order of shingles, so
     one that is missed or miscounted costs time but no link.
     """
@@ -45,10 +45,10 @@ def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -
 
     def report(held):
         tokens = np.concatenate(held)
-        cells = tokens >> np.uint64(64 - 22)
-        tokens = tokens[np.bincount(cells.astype(np.int64), minlength=1 << 22)[cells] >= 8]
+        cells = (tokens >> np.uint64(64 - 21)).astype(np.int64)
+        tokens = tokens[np.bincount(cells, minlength=1 << 21)[cells] >= 6]
         tokens, n = np.unique(tokens, return_counts=True)
-        often = n >= 8
+        often = n >= 6
         return pa.RecordBatch.from_arrays(
             [pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["token", "n"]
         )
@@ -135,46 +135,69 @@ class RTree:
         return at[OVERLAP * bound >= SIZES * (size + self.sizes[at])]
 
 
-def _tile_pairs(ids, sizes, roots, chunks, points, lo: int, hi: int):
-    """Pairs of one tile that the bound lets pass and that lie in different components."""
+class Buckets:
+    """The buckets of each class, to list a pair only in the first bucket that both are in."""
+
+    def __init__(self) -> None:
+        self.of: dict[int, frozenset[int]] = {}
+
+    def add(self, rep: int, buckets: np.ndarray) -> frozenset[int]:
+        if rep not in self.of:
+            if len(self.of) >= 20_000:
+                self.of.clear()
+            self.of[rep] = frozenset(buckets.tolist())
+        return self.of[rep]
+
+
+def _tile_pairs(bucket: int, lo: int, hi: int, ids, sizes, roots, chunks, points, lists, known: Buckets):
+    """Pairs of one tile that the bound lets pass, of different components, not listed in an earlier bucket."""
     out = []
     if lo == hi:
         probe = index = np.arange(len(ids))
     else:
         probe, index = np.flatnonzero(chunks == lo), np.flatnonzero(chunks == hi)
-    if not len(probe) or not len(index):
+    if not len(probe) or not len(index) or (roots == roots[0]).all():
         return out
     tree = RTree(points[index], sizes[index])
     for i in probe:
         found = index[tree.near(points[i], sizes[i])]
         found = found[(roots[found] != roots[i]) & ((ids[found] > ids[i]) if lo == hi else True)]
-        out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in found]
+        if len(found):
+            mine = known.add(int(ids[i]), lists(i))
+            first = [j for j in found if min(mine & known.add(int(ids[j]), lists(j))) == bucket]
+            out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in first]
     return out
 
 
 def _bucket_pairs(batches):
-    """Split the sorted rows into their (token, lo, hi) tiles and probe each tile's R-tree."""
-    rest = None
+    """Split the sorted rows into their (bucket, lo, hi) tiles and probe each tile's R-tree."""
+    rest, known = None, Buckets()
 
     def pairs(tab):
-        key = np.stack([np.asarray(tab[c], np.int64) for c in ("token", "lo", "hi")], 1)
+        tab = tab.combine_chunks()
+        key = np.stack([np.asarray(tab[c], np.int64) for c in ("bucket", "lo", "hi")], 1)
         ids, roots, chunks = (np.asarray(tab[c], np.int64) for c in ("rep", "root", "chunk"))
         points = unpacked(tab["point"].to_pylist())
         sizes = points.sum(1, dtype=np.int64)
+        lists = tab["buckets"].chunk(0)
+        starts, values = np.asarray(lists.offsets), np.asarray(lists.values, np.int64)
         edges = np.r_[0, np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1, len(key)]
         found = []
         for s, e in zip(edges[:-1], edges[1:], strict=True):
-            found += _tile_pairs(ids[s:e], sizes[s:e], roots[s:e], chunks[s:e], points[s:e], key[s, 1], key[s, 2])
-        a, b = zip(*set(found), strict=True) if found else ((), ())
+            own = lambda i, s=s: values[starts[s + i] : starts[s + i + 1]]
+            found += _tile_pairs(*key[s].tolist(), ids[s:e], sizes[s:e], roots[s:e], chunks[s:e], points[s:e], own, known)
+        a, b = zip(*found, strict=True) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     for batch in batches:
         tab = pa.Table.from_batches([batch])
         if rest is not None and rest.num_rows:
             tab = pa.concat_tables([rest, tab])
-        last = [tab[c][-1].as_py() for c in ("token", "lo", "hi")]
+        if not tab.num_rows:
+            continue
+        last = [tab[c][-1].as_py() for c in ("bucket", "lo", "hi")]
         cut = tab.num_rows
-        while cut and [tab[c][cut - 1].as_py() for c in ("token", "lo", "hi")] == last:
+        while cut and [tab[c][cut - 1].as_py() for c in ("bucket", "lo", "hi")] == last:
             cut -= 1
         if cut:
             yield pairs(tab.slice(0, cut))
@@ -259,24 +282,32 @@ def _leaf_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF) -> Data
 
 
 def _tree_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF, side: int = 512) -> DataFrame:
-    """Pairs across components in larger buckets: tiles of about ``side`` by ``side`` classes, an R-tree in each."""
+    """Pairs across components in larger buckets: tiles of about ``side`` by ``side`` classes, an R-tree in each.
+
+    A class knows its larger buckets, at most as many as its first shingles, so a pair is
+    listed once and not again for each bucket that both are in.
+    """
     large = members.where(F.col("members") > leaf)
+    numbers = durable(large.select("token").distinct().withColumn("bucket", F.monotonically_increasing_id()))
+    large = durable(large.join(numbers, "token").drop("token"))
+    own = large.groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
     tiles = F.ceil(F.col("members") / side).cast("int")
     dealt = (
-        large.join(points, "rep")
+        large.join(durable(own.join(points, "rep")), "rep")
         .withColumn("chunk", F.pmod(F.xxhash64("rep"), tiles))
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
         .select(
-            "token",
+            "bucket",
             F.least("chunk", "other").cast("long").alias("lo"),
             F.greatest("chunk", "other").cast("long").alias("hi"),
             "rep",
             "root",
             F.col("chunk").cast("long").alias("chunk"),
             "point",
+            "buckets",
         )
     )
-    sorted_tiles = dealt.repartition(partitions(members), "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    sorted_tiles = dealt.repartition(partitions(members), "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
     return sorted_tiles.mapInArrow(_bucket_pairs, "a long, b long")
 
 
