@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tessella import get_spark
 from tessella.catalogue import QUERIES
+from tessella.session import cleanup
 
 HEADLINE = [
     "clean_text",
@@ -29,9 +31,13 @@ HEADLINE = [
     "roc_auc_ovr",
     "stratified_folds",
     "skill_loo",
+    "skill_prediction",
     "fit_naive_bayes",
     "fit_logreg",
     "fit_linear_svm",
+    "cross_validate",
+    "echo_robustness",
+    "analyse_postings",
 ]
 
 
@@ -44,6 +50,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessella-bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -56,6 +63,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        cleanup(spark)
     print(
         json.dumps(
             {

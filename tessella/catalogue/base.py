@@ -41,8 +41,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents spread over the cores, for work on the texts themselves."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """Documents spread over the cores where their files are few, for work on the texts themselves."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def title() -> Column:

@@ -116,7 +116,7 @@ def own_flags(spark, sf_dir):
     return op.own_flags(turns, "text", TAXONOMY).select("conv_id", "turn", *FLAGS)
 
 
-def _stripped_sql() -> str:
+def stripped_sql() -> str:
     branches = []
     for label, patterns in ECHOES.items():
         out = "text"
@@ -132,7 +132,7 @@ def _stripped(spark, sf_dir):
 
 @query(f"""
 SELECT doc_id, length(s) AS n, md5(s) AS stripped_md5
-FROM (SELECT doc_id, {_stripped_sql()} AS s FROM documents)""")
+FROM (SELECT doc_id, {stripped_sql()} AS s FROM documents)""")
 def strip_label_echo(spark, sf_dir):
     return _stripped(spark, sf_dir).select(
         "doc_id", F.length("stripped").alias("n"), F.md5("stripped").alias("stripped_md5")
@@ -141,7 +141,7 @@ def strip_label_echo(spark, sf_dir):
 
 @query(f"""
 SELECT count(*) FILTER (text IS DISTINCT FROM s) AS n_changed, count(*) AS n_rows
-FROM (SELECT text, {_stripped_sql()} AS s FROM documents)""")
+FROM (SELECT text, {stripped_sql()} AS s FROM documents)""")
 def echo_change_count(spark, sf_dir):
     return op.echo_change_count(_stripped(spark, sf_dir), "text", "stripped")
 

@@ -20,26 +20,49 @@ from .base import (
     route_sql,
     table,
 )
-from .vectors import GROUP_VOCAB
+from .vectors import group_vocab_sql
 
 K = 20
 
-_RETRIEVED = f"""
-{GROUP_VOCAB},
-asked AS (SELECT item_id AS query_id, text, {route_sql('text')} AS lang FROM benchmark),
-{counts_sql('qcounts', 'asked', 'lang, query_id')},
-qraw AS (SELECT lang, query_id, term, tf * idf AS w FROM qcounts JOIN idf USING (lang, term)),
-qnorms AS (SELECT query_id, sqrt(sum(w * w)) AS norm FROM qraw GROUP BY query_id),
-qweights AS (SELECT lang, query_id, term, w / norm AS q FROM qraw JOIN qnorms USING (query_id)),
-hits AS (
+def retrieved_sql(k: int, name: str) -> str:
+    """``{name}_retrieved`` of the ``asked(query_id, text, lang)``, and the CTEs below it."""
+    return f"""
+{group_vocab_sql(name)},
+{counts_sql(f'{name}_qcounts', 'asked', 'lang, query_id')},
+{name}_qraw AS (SELECT lang, query_id, term, tf * idf AS w FROM {name}_qcounts JOIN {name}_idf USING (lang, term)),
+{name}_qnorms AS (SELECT query_id, sqrt(sum(w * w)) AS norm FROM {name}_qraw GROUP BY query_id),
+{name}_qweights AS (SELECT lang, query_id, term, w / norm AS q FROM {name}_qraw JOIN {name}_qnorms USING (query_id)),
+{name}_hits AS (
   SELECT query_id, doc_id, round(sum(weight * q), 9) AS similarity
-  FROM qweights JOIN weights USING (lang, term) GROUP BY query_id, doc_id),
-ranked_docs AS (
+  FROM {name}_qweights JOIN {name}_weights USING (lang, term) GROUP BY query_id, doc_id),
+{name}_ranked_docs AS (
   SELECT a.query_id, a.lang AS "group", d.doc_id AS doc, coalesce(h.similarity, 0) AS similarity,
     CAST(row_number() OVER (PARTITION BY a.query_id ORDER BY coalesce(h.similarity, 0) DESC, d.doc_id) AS INTEGER) AS rank
   FROM asked a JOIN documents d ON d.lang = a.lang
-  LEFT JOIN hits h ON h.query_id = a.query_id AND h.doc_id = d.doc_id),
-retrieved AS (SELECT * FROM ranked_docs WHERE rank <= {K})
+  LEFT JOIN {name}_hits h ON h.query_id = a.query_id AND h.doc_id = d.doc_id),
+{name}_retrieved AS (SELECT * FROM {name}_ranked_docs WHERE rank <= {k})
+"""
+
+
+def skills_sql(name: str) -> str:
+    """``{name}_freq``: skill frequencies of ``{name}_retrieved``."""
+    return f"""
+{name}_found AS (SELECT r.query_id, r."group", {flags_sql('lower(d.text)')}
+  FROM {name}_retrieved r JOIN documents d ON d.doc_id = r.doc),
+{name}_long AS ({' UNION ALL '.join(
+    f'SELECT query_id, "group", count(*) AS n_rows, {chr(39)}{f}{chr(39)} AS flag, sum({f}) AS n FROM {name}_found GROUP BY ALL'
+    for f in FLAGS)}),
+{name}_freq AS (
+  SELECT query_id, "group", CAST(row_number() OVER (PARTITION BY query_id ORDER BY n DESC, flag) AS INTEGER) AS rank,
+    flag, CAST(round_even(n * 1.0::DOUBLE / n_rows * 100, 0) AS INTEGER) AS pct, CAST(n AS BIGINT) AS n, n_rows
+  FROM {name}_long WHERE n > 0)
+"""
+
+
+_RETRIEVED = f"""
+asked AS (SELECT item_id AS query_id, text, {route_sql('text')} AS lang FROM benchmark),
+{retrieved_sql(K, 'r')},
+retrieved AS (SELECT * FROM r_retrieved), sizes AS (SELECT * FROM r_sizes)
 """
 
 
@@ -72,15 +95,8 @@ def _answers(spark, sf_dir):
 
 _SKILLS = f"""
 {_RETRIEVED},
-found AS (SELECT r.query_id, r."group", {flags_sql('lower(d.text)')}
-  FROM retrieved r JOIN documents d ON d.doc_id = r.doc),
-long AS ({' UNION ALL '.join(
-    f'SELECT query_id, "group", count(*) AS n_rows, {chr(39)}{f}{chr(39)} AS flag, sum({f}) AS n FROM found GROUP BY ALL'
-    for f in FLAGS)}),
-freq AS (
-  SELECT query_id, "group", CAST(row_number() OVER (PARTITION BY query_id ORDER BY n DESC, flag) AS INTEGER) AS rank,
-    flag, CAST(round_even(n * 1.0::DOUBLE / n_rows * 100, 0) AS INTEGER) AS pct, CAST(n AS BIGINT) AS n, n_rows
-  FROM long WHERE n > 0)
+{skills_sql('r')},
+freq AS (SELECT * FROM r_freq)
 """
 _TOP_SKILLS = """
 SELECT query_id, f."group", rank, flag, pct, n, n_rows, n_docs

@@ -81,19 +81,22 @@ def tfidf_transform(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 6))
 
 
-GROUP_VOCAB = f"""
-{counts_sql('counts', 'documents', 'lang, doc_id')},
-stats AS (SELECT lang, term, count(*) AS df, sum(tf) AS tf FROM counts GROUP BY lang, term),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY tf DESC, term) AS r FROM stats),
-sizes AS (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang),
-idf AS (SELECT lang, term, ln((1 + n_docs) / (1 + df)) + 1 AS idf FROM ranked JOIN sizes USING (lang) WHERE r <= 5000),
-raw AS (SELECT lang, doc_id, term, tf * idf AS w FROM counts JOIN idf USING (lang, term)),
-norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id),
-weights AS (SELECT lang, doc_id, term, w / norm AS weight FROM raw JOIN norms USING (doc_id))
+def group_vocab_sql(name: str) -> str:
+    """``{name}_weights(lang, doc_id, term, weight)`` and the CTEs below it."""
+    return f"""
+{counts_sql(f'{name}_counts', 'documents', 'lang, doc_id')},
+{name}_stats AS (SELECT lang, term, count(*) AS df, sum(tf) AS tf FROM {name}_counts GROUP BY lang, term),
+{name}_ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY tf DESC, term) AS r FROM {name}_stats),
+{name}_sizes AS (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang),
+{name}_idf AS (
+  SELECT lang, term, ln((1 + n_docs) / (1 + df)) + 1 AS idf FROM {name}_ranked JOIN {name}_sizes USING (lang) WHERE r <= 5000),
+{name}_raw AS (SELECT lang, doc_id, term, tf * idf AS w FROM {name}_counts JOIN {name}_idf USING (lang, term)),
+{name}_norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM {name}_raw GROUP BY doc_id),
+{name}_weights AS (SELECT lang, doc_id, term, w / norm AS weight FROM {name}_raw JOIN {name}_norms USING (doc_id))
 """
 
 
-@query(f"WITH {GROUP_VOCAB} SELECT lang, doc_id, term, round(weight, 6) AS weight FROM weights")
+@query(f"WITH {group_vocab_sql('g')} SELECT lang, doc_id, term, round(weight, 6) AS weight FROM g_weights")
 def per_group_tfidf(spark, sf_dir):
     index = op.build_index(texts(spark, sf_dir), "doc_id", "lang", "text")
     return index.weights.select(
@@ -142,22 +145,23 @@ quota AS (
   SELECT lang, n, floor(x) + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, lang)
     <= ceil(0.2 * (SELECT count(*) FROM documents)) - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS q
   FROM exact)
-SELECT lang, true AS is_test, CAST(q AS BIGINT) AS n FROM quota
-UNION ALL SELECT lang, false, CAST(n - q AS BIGINT) FROM quota""")
+SELECT doc_id, d.lang, row_number() OVER (
+  PARTITION BY d.lang ORDER BY substr(md5('42:' || doc_id), 1, 15), doc_id) <= q AS is_test
+FROM documents d JOIN quota USING (lang)""")
 def stratified_split(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    split = op.stratified_split(docs, "lang", "doc_id")
-    return split.groupBy("lang", "is_test").agg(F.count("*").alias("n"))
+    return op.stratified_split(docs, "lang", "doc_id")
 
 
 @query("""
-SELECT lang, CAST(fold AS INTEGER) AS fold,
-  CAST(n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END AS BIGINT) AS n
-FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang), range(5) AS r(fold)""")
+WITH placed AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY substr(md5('42:' || doc_id), 1, 15), doc_id) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM documents)
+SELECT doc_id, lang, CAST(CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
+  ELSE n % 5 + (i - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) END AS INTEGER) AS fold FROM placed""")
 def stratified_folds(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    folds = op.stratified_folds(docs, "lang", "doc_id")
-    return folds.groupBy("lang", "fold").agg(F.count("*").alias("n"))
+    return op.stratified_folds(docs, "lang", "doc_id")
 
 
 @query("""

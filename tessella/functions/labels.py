@@ -55,7 +55,10 @@ def label_by_regex(col: Column, rules: Sequence[PatternRule]) -> Column:
 
     No match, or a missing text, gives null.
     """
-    lowered = fold_case(col)
+    return _by_patterns(fold_case(col), rules)
+
+
+def _by_patterns(lowered: Column, rules: Sequence[PatternRule]) -> Column:
     branches = []
     for rule in rules:
         hit = search(lowered, rule.pattern)
@@ -66,5 +69,5 @@ def label_by_regex(col: Column, rules: Sequence[PatternRule]) -> Column:
 
 
 def seniority_band(col: Column, rules: Sequence[PatternRule], default: str = "mid") -> Column:
-    """Band of a title by the first rule found, else ``default``."""
-    return F.coalesce(label_by_regex(col, rules), F.lit(default))
+    """Band of a title by the first rule found, else ``default``; the title is only lower-cased."""
+    return F.coalesce(_by_patterns(F.lower(col), rules), F.lit(default))

@@ -1,5 +1,6 @@
 """Operators: each takes DataFrames and rules, and returns a DataFrame."""
 
+from ..session import durable
 from .analytics import (
     band_by_f1,
     class_balance_eligibility,
@@ -46,7 +47,7 @@ from .features import (
     tag_flags,
     taxonomy_features,
 )
-from .interpretation import top_signals_per_class, top_terms_per_class
+from .interpretation import top_signals_per_class, top_terms_per_class, top_weights
 from .labelling import drop_unlabelled, map_category, route_query
 from .learners import (
     Candidate,
@@ -62,6 +63,7 @@ from .retrieval import (
     answer_top_skills,
     build_corpus,
     build_index,
+    load_index,
     grounding_quotes,
     retrieve_topk,
     skill_gap,
@@ -77,6 +79,7 @@ from .splits import (
     stratified_split,
 )
 from .vectorise import (
+    TermTable,
     as_vectors,
     assemble,
     doc_frequency_audit,
@@ -90,6 +93,7 @@ from .vectorise import (
     tfidf_transform,
     tokenize,
     vocabulary,
+    weigh_per_group,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-SCORE_BUCKETS = 64
+from ..session import durable
 
 
 def _ratio(a, b):
@@ -117,34 +117,31 @@ def roc_auc_ovr(scores: DataFrame) -> DataFrame:
     """``(label, auc, support)`` per class plus rows ``macro`` and ``weighted``.
 
     Takes ``(label, score, positive)``, one row per text and class. Exact, ties counted
-    half. Equal scores are merged first; the running count of negatives is taken within
-    score ranges and offset by the ranges below, so a class is never sorted in one task.
-    A class without positives or negatives has no value, and then neither have the means.
+    half. Equal scores are merged first; the merged rows are range-partitioned by class and
+    score into as many ranges as the session shuffles to, and each range's running count of
+    negatives starts at the sum of the ranges below. A class without positives or negatives has
+    no value, and then neither have the means.
     """
     merged = scores.groupBy("label", "score").agg(
         F.sum(F.col("positive").cast("bigint")).alias("pos"),
         F.sum(1 - F.col("positive").cast("bigint")).alias("neg"),
     )
-    quantiles = F.array(*[F.lit(i / SCORE_BUCKETS) for i in range(1, SCORE_BUCKETS)])
-    bounds = merged.groupBy("label").agg(F.percentile_approx("score", quantiles).alias("bounds"))
-    ranged = merged.join(F.broadcast(bounds), "label").select(  # one row per class
-        "label",
-        "score",
-        "pos",
-        "neg",
-        F.size(F.filter("bounds", lambda b: b < F.col("score"))).alias("range"),
+    parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = durable(
+        merged.repartitionByRange(parts, "label", "score").withColumn("range", F.spark_partition_id())
     )
     before = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("label", "range")
+        dealt.groupBy("label", "range")
         .agg(F.sum("neg").alias("_neg"))
         .select("label", "range", F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("below"))
     )
     inside = (
         Window.partitionBy("label", "range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = ranged.withColumn("_in", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(
-        F.broadcast(offsets), ["label", "range"]  # classes x ranges rows
+    # Classes and ranges at most: stored, so that Spark knows how few they are.
+    placed = dealt.withColumn("_in", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(
+        durable(offsets), ["label", "range"]
     )
     wins = F.sum(F.col("pos") * (F.col("below") + F.col("_in") + F.col("neg") / 2))
     per_class = placed.groupBy("label").agg(

@@ -25,7 +25,8 @@ from .evaluation import per_class_scores
 from .splits import class_counts, class_weights
 
 
-# An iterative fit runs a short job per step; fewer rows than this are not worth a task.
+# An iterative fit runs a short job per step; fewer rows than this are not worth a task
+# while a table is so small that it leaves cores idle anyway.
 ROWS_PER_TASK = 20_000
 
 
@@ -42,8 +43,9 @@ def in_threads(spark, task: Callable, items: Sequence, threads: int) -> list:
 
 
 def _packed(df: DataFrame, n_rows: int) -> DataFrame:
-    """Merge the partitions of a small table; a large one keeps all it has."""
-    return df.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
+    """Merge the partitions of a small table; one that fills the session's cores keeps all it has."""
+    tasks = math.ceil(n_rows / ROWS_PER_TASK)
+    return df if tasks >= df.sparkSession.sparkContext.defaultParallelism else df.coalesce(max(1, tasks))
 
 
 def fit_naive_bayes(df: DataFrame, features: str = "features", label: str = "label") -> Model:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.regex import SPACE
 from ..functions.text import text_length
 from ..rules import BASE_SOURCE, CATEGORY_ROLES, FRESH_SOURCE, STOP_WORDS
-from ..session import durable
+from ..session import durable, durable_by
 from .labelling import mapped_category
 from .vectorise import (
     ngrams_1_2,
@@ -19,6 +19,7 @@ from .vectorise import (
     term_counts,
     tokenize,
     top_per_group,
+    weigh_per_group,
 )
 
 # Similarities closer than this many decimals are ties, ordered by the row ordinal.
@@ -52,23 +53,43 @@ def build_corpus(
 
 @dataclass(frozen=True)
 class Index:
-    """Weighted terms of every document, with one vocabulary per category.
+    """Stored weights of every document, with one vocabulary per category.
 
-    ``docs`` has ``(group, doc)``, ``vocab`` ``(group, term, idf)``, ``weights``
-    ``(group, doc, term, weight)`` and ``sizes`` ``(group, n_docs)``.
+    ``rows`` has ``(group, doc, weights)``, one row per document, dealt by document;
+    ``vocab`` has ``(group, term, idf)`` and ``sizes`` ``(group, n_docs)``.
     """
 
-    docs: DataFrame
     vocab: DataFrame
-    weights: DataFrame
+    rows: DataFrame
     sizes: DataFrame
     stop_words: Sequence[str]
 
+    @property
+    def docs(self) -> DataFrame:
+        return self.rows.select("group", "doc")
+
+    @property
+    def weights(self) -> DataFrame:
+        """``(group, doc, term, weight)``, opened inside the tasks that read the rows."""
+        opened = self.rows.select("group", "doc", F.inline_outer("weights"))
+        return opened.where("term is not null")
+
+    def save(self, path: str) -> None:
+        """Write the index below ``path``; `load_index` reads it in any session."""
+        for name, df in [("vocab", self.vocab), ("rows", self.rows), ("sizes", self.sizes)]:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+        words = self.rows.sparkSession.createDataFrame([(list(self.stop_words),)], "words array<string>")
+        words.write.mode("overwrite").parquet(f"{path}/stop_words")
+
+
+def load_index(spark: SparkSession, path: str) -> Index:
+    """A saved index; its rows are dealt by document once more."""
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    return Index(read("vocab"), durable_by(read("rows"), "doc"), read("sizes"), read("stop_words").first()[0])
 
-def _counts(
-    df: DataFrame, ids: Sequence[str], text: str, stop_words: Sequence[str]
-) -> DataFrame:
-    return term_counts(ngrams_1_2(tokenize(df, text, stop_words)), ids)
+
+def _terms(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
+    return ngrams_1_2(tokenize(df, text, stop_words))
 
 
 def build_index(
@@ -79,34 +100,42 @@ def build_index(
     size: int = 5000,
     stop_words: Sequence[str] = STOP_WORDS,
 ) -> Index:
-    """Index all categories in one job. The vocabularies are stored; the weights stay a
-    plan, so a batch of queries reads them already partitioned by document."""
+    """Index all categories in one job: vocabularies, then every document's weights.
+
+    Two passes over the texts. Weights and norms are made in the document's row and
+    stored once, so a batch of queries reads no text.
+    """
     named = docs.select(F.col(group).alias("group"), F.col(doc).alias("doc"), F.col(text).alias("text"))
-    counts = _counts(named, ["group", "doc"], "text", stop_words)
-    sizes = named.groupBy("group").agg(F.count("*").alias("n_docs"))
+    named = named.where("group is not null")
+    terms = _terms(named, "text", stop_words)
+    sizes = durable(named.groupBy("group").agg(F.count("*").alias("n_docs")))
+    counts = term_counts(terms, ["group", "doc"])
     vocab = durable(per_group_vocabulary(counts, sizes, "group", size))
-    weights = per_group_tfidf(counts, vocab, "group", "doc")
-    return Index(named.select("group", "doc"), vocab, weights, sizes, stop_words)
+    weighted = weigh_per_group(terms, vocab, "group").select("group", "doc", "weights")
+    return Index(vocab, durable_by(weighted, "doc"), sizes, stop_words)
 
 
 def query_weights(index: Index, queries: DataFrame) -> DataFrame:
     """``(query_id, group, term, q_weight)`` of ``queries`` ``(query_id, group, text)``."""
-    counts = _counts(queries, ["group", "query_id"], "text", index.stop_words)
-    return per_group_tfidf(counts, index.vocab, "group", "query_id").withColumnRenamed(
-        "weight", "q_weight"
-    )
+    terms = _terms(queries, "text", index.stop_words)
+    weights = per_group_tfidf(terms, index.vocab, "group", "query_id")
+    return weights.withColumnRenamed("weight", "q_weight")
 
 
-def retrieve_topk(index: Index, queries: DataFrame, k: int = 20) -> DataFrame:
+def retrieve_topk(index: Index, queries: DataFrame, k: int = 20, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``(query_id, group, rank, doc, similarity)``: the ``k`` closest documents of the
     query's category by cosine; ties go to the lower document id.
 
     Documents sharing no term score 0 and fill up a short list. Only the first ``k``
     documents of a category can be needed for that, so the remaining zero pairs are
-    never formed. The stored query weights tell Spark their exact size; beyond its
-    broadcast limit the join shuffles by term, with skewed terms split.
+    never formed. The stored query weights go to every task while they are at most
+    ``broadcast_rows`` (beyond, Spark joins by term). The index is dealt by document, so a
+    pair's similarity is summed in the task that reads the document, and only ``k`` rows
+    per query leave it.
     """
     weights = durable(query_weights(index, queries))
+    if weights.count() <= broadcast_rows:
+        weights = F.broadcast(weights)
     similarity = F.round(F.sum(F.col("weight") * F.col("q_weight")), SIMILARITY_DECIMALS)
     scored = (
         index.weights.join(weights, ["group", "term"])

@@ -1,6 +1,6 @@
 """Seeded stratified splits, folds and class weights.
 
-Rows of a class are ordered by a hash of seed and id; splits and folds are ranges of
+Rows of a class are ordered by the MD5 of seed and id; splits and folds are ranges of
 that order. Only the few cut points are looked up, by way of a histogram of the hash,
 so neither a class nor the row payload is shuffled or sorted whole.
 """
@@ -14,14 +14,17 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_CLASSES = 10_000
-HASH_BITS = 12
+HASH_HEX = 15  # hex digits of the order key, which fit a long
+BUCKET_ROWS = 5_000
 
 
-def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class on the driver; refuses a label that is not a class."""
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+def class_counts(df: DataFrame, label: str, most: int = MAX_CLASSES) -> dict:
+    """Rows per class on the driver; refuses null classes and more than ``most`` of them."""
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{label} has more than {most} classes")
+    if any(r[label] is None for r in rows):
+        raise ValueError(f"{label} has null classes: drop these rows first")
     return dict(sorted((r[label], r.n) for r in rows))
 
 
@@ -46,20 +49,24 @@ def split_quotas(counts: dict, test: float) -> dict:
 
 
 def _order_key(id_col: str, seed: int) -> Column:
-    return F.struct(F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), F.col(id_col).alias("id"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    number = F.conv(F.substring(digest, 1, HASH_HEX), 16, 10).cast("bigint")
+    return F.struct(number.alias("h"), F.col(id_col).alias("id"))
 
 
 def _cuts(
-    df: DataFrame, label: str, id_col: str, seed: int, positions: dict[object, Sequence[int]]
+    df: DataFrame, label: str, id_col: str, seed: int, positions: dict[object, Sequence[int]], n: int
 ) -> DataFrame:
     """``(label, zeros, cuts)``: the order keys at the given 1-based positions per class.
 
     ``zeros`` counts the positions that lie before the first row. What reaches the driver
-    are classes x cuts rows, and `class_counts` has bounded the classes.
+    are classes x cuts rows, and `class_counts` has bounded the classes. ``n``, the number
+    of rows, sets how fine the histogram is, so a bucket holds about as many rows at any size.
     """
     spark = df.sparkSession
     key = _order_key(id_col, seed)
-    bucket = F.shiftright(F.col("key.h"), 64 - HASH_BITS)
+    bits = min(4 * HASH_HEX - 1, max(1, (n // BUCKET_ROWS).bit_length()))
+    bucket = F.shiftright(F.col("key.h"), 4 * HASH_HEX - bits)
     keyed = df.select(label, key.alias("key")).withColumn("bucket", bucket)
     kinds = {f.name: f.dataType.simpleString() for f in keyed.schema}
 
@@ -98,12 +105,12 @@ def _cuts(
     return small(rows, f"zeros int, cuts array<{kinds['key']}>")
 
 
-def _ranges(df: DataFrame, label: str, id_col: str, seed: int, positions: dict) -> DataFrame:
+def _ranges(df: DataFrame, label: str, id_col: str, seed: int, positions: dict, n: int) -> DataFrame:
     """Add ``_range``: how many of the class's cut points lie before the row."""
     key = _order_key(id_col, seed)
     passed = F.size(F.filter("cuts", lambda c: key > c))
     return (
-        df.join(_cuts(df, label, id_col, seed, positions), label)
+        df.join(_cuts(df, label, id_col, seed, positions, n), label)
         .withColumn("_range", (F.col("zeros") + passed).cast("int"))
         .select(*df.columns, "_range")
     )
@@ -113,8 +120,9 @@ def stratified_split(
     df: DataFrame, label: str, id_col: str, test: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``is_test``: exactly the quota of every class, chosen by seeded hash order."""
-    quotas = split_quotas(class_counts(df, label), test)
-    ranged = _ranges(df, label, id_col, seed, {c: [q] for c, q in quotas.items()})
+    counts = class_counts(df, label)
+    cuts = {c: [q] for c, q in split_quotas(counts, test).items()}
+    ranged = _ranges(df, label, id_col, seed, cuts, sum(counts.values()))
     return ranged.withColumn("is_test", F.col("_range") == 0).drop("_range")
 
 
@@ -122,11 +130,10 @@ def stratified_folds(
     df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42
 ) -> DataFrame:
     """Add ``fold`` 0..k-1; fold sizes within a class differ by at most one."""
-    positions = {
-        c: [j * (n // k) + min(j, n % k) for j in range(1, k)]
-        for c, n in class_counts(df, label).items()
-    }
-    return _ranges(df, label, id_col, seed, positions).withColumnRenamed("_range", "fold")
+    counts = class_counts(df, label)
+    positions = {c: [j * (n // k) + min(j, n % k) for j in range(1, k)] for c, n in counts.items()}
+    ranged = _ranges(df, label, id_col, seed, positions, sum(counts.values()))
+    return ranged.withColumnRenamed("_range", "fold")
 
 
 def class_weights(counts: dict, label: str) -> Column:

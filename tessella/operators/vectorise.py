@@ -18,13 +18,12 @@ from pyspark.sql.types import StructField, StructType
 
 from ..functions import text as text_functions
 from ..rules import STOP_WORDS
-from ..session import scratch_path
+from ..session import durable, scratch_path
 
-# A vocabulary and its weights are held on the driver and sent to every task.
+# Vocabularies of up to this many terms are held on the driver and sent to every task.
 MAX_TERMS = 1 << 20
-# Up to this many rows per group Spark limits groups before the shuffle by itself.
-GROUP_LIMIT = 1000
 MIN_SALTS = 64
+_MARK = "\x01"  # between a group and a term
 
 
 def tokenize(
@@ -136,6 +135,60 @@ class TfidfModel:
         ).drop("_counts", "_raw")
 
 
+@dataclass(frozen=True)
+class TermTable:
+    """A fitted vocabulary of any size as a stored table ``(term, code, idf)``.
+
+    Nothing of it is held on the driver: weights are joined on the term and collected per
+    row. Codes count the terms in alphabetical order.
+    """
+
+    vocab: DataFrame
+    size: int
+    sublinear: bool = True
+
+    def transform(
+        self, df: DataFrame, col: str = "terms", out: str = "tfidf", key: str = "id"
+    ) -> DataFrame:
+        """Add the L2-normalised weights, as `TfidfModel` does, to rows with a unique ``key``."""
+        raw = (1 + F.log("tf") if self.sublinear else F.col("tf")) * F.col("idf")
+        pairs = (
+            term_counts(df, [key], col)
+            .join(self.vocab, "term")
+            .select(key, F.struct("code", raw.cast("double").alias("w")).alias("pair"))
+            .groupBy(key)
+            .agg(F.sort_array(F.collect_list("pair")).alias("_pairs"))
+        )
+        squares = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["w"] * p["w"])
+        norms = F.array_repeat(F.sqrt(squares), F.size("_pairs"))
+        none = F.array().cast("array<struct<code:int,w:double>>")
+        joined = df.join(pairs, key, "left").withColumn("_pairs", F.coalesce("_pairs", none))
+        return joined.withColumn(
+            out,
+            F.struct(
+                F.lit(0).cast("tinyint").alias("type"),
+                F.lit(self.size).alias("size"),
+                F.transform("_pairs", lambda p: p["code"]).alias("indices"),
+                F.zip_with("_pairs", norms, lambda p, n: p["w"] / n).alias("values"),
+            ),
+        ).drop("_pairs")
+
+
+def numbered(df: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """Add 0, 1, .. in the order of ``col``, whose values differ.
+
+    Ranges are numbered on their own and start where the one before ends, so no task
+    sorts the whole.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = durable(df.repartitionByRange(parts, col).withColumn("_part", F.spark_partition_id()))
+    counts = dict(dealt.groupBy("_part").agg(F.count("*")).collect())
+    starts = [sum(counts.get(p, 0) for p in range(i)) for i in range(max(counts, default=0) + 1)]
+    start = F.get(F.array(*[F.lit(s) for s in starts]), F.col("_part"))
+    inside = Window.partitionBy("_part").orderBy(col)
+    return dealt.withColumn(out, (F.row_number().over(inside) - 1 + start).cast("int")).drop("_part")
+
+
 def fit_tfidf(
     df: DataFrame,
     col: str = "terms",
@@ -143,18 +196,19 @@ def fit_tfidf(
     max_df: float = 0.6,
     size: int | None = 6000,
     sublinear: bool = True,
-) -> TfidfModel:
-    """Fit vocabulary and idf. Without ``size`` every term is kept, or the fit fails."""
+) -> TfidfModel | TermTable:
+    """Fit vocabulary and idf.
+
+    A vocabulary of a given ``size`` of up to `MAX_TERMS` is held on the driver and applied
+    inside the row; without a size, or with a larger one, it stays a table.
+    """
     n_docs = df.count()
     vocab = vocabulary(term_counts(df, [], col), n_docs, min_df, max_df, size)
-    rows = (
-        vocab.select("term", smooth_idf(F.lit(n_docs), F.col("df")).alias("idf"))
-        .limit(MAX_TERMS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms: give a vocabulary size")
-    rows.sort(key=lambda r: r.term.encode())
+    fitted = vocab.select("term", smooth_idf(F.lit(n_docs), F.col("df")).alias("idf"))
+    if size is None or size > MAX_TERMS:
+        stored = durable(numbered(fitted, "term"))
+        return TermTable(stored, max(1, stored.count()), sublinear)
+    rows = sorted(fitted.collect(), key=lambda r: r.term.encode())
     return TfidfModel([r.term for r in rows], [r.idf for r in rows], sublinear)
 
 
@@ -182,11 +236,13 @@ def top_per_group(
 ) -> DataFrame:
     """First ``n`` rows per group, exactly, without any group passing through one task whole.
 
-    Small ``n``: Spark limits each group before the shuffle. Larger ``n``: each group is
-    first cut to ``n`` rows within every salt, and only the survivors meet.
+    Small ``n``: Spark limits each group before the shuffle, up to the session's own
+    threshold. Larger ``n``: each group is first cut to ``n`` rows within every salt, and
+    only the survivors meet.
     """
-    if n > GROUP_LIMIT:
-        salts = max(MIN_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        salts = max(MIN_SALTS, int(conf.get("spark.sql.shuffle.partitions")))
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (
@@ -213,17 +269,57 @@ def per_group_vocabulary(
     )
 
 
-def per_group_tfidf(
-    counts: DataFrame, vocab: DataFrame, group: str, id_col: str
+def weigh_per_group(
+    df: DataFrame, vocab: DataFrame, group: str, col: str = "terms", out: str = "weights"
 ) -> DataFrame:
-    """``(group, id, term, weight)``: plain tf times idf, L2-normalised per row.
+    """Add ``array<struct<term,weight>>``: plain tf times the group's idf, L2-normalised.
 
-    The result is partitioned by ``(group, id)``, which later sums per row reuse.
+    The groups' vocabularies, of a bounded size each, are held as one whose terms begin
+    with the group; everything happens within the row. Beyond `MAX_TERMS` in all they are
+    joined on the term and collected per row.
     """
-    per_row = Window.partitionBy(group, id_col)
-    raw = counts.join(vocab, [group, "term"]).withColumn("_raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(per_row))
-    return raw.select(group, id_col, "term", (F.col("_raw") / norm).alias("weight"))
+    key = F.concat(F.coalesce(F.col(group).cast("string"), F.lit("")), F.lit(_MARK), "term")
+    rows = vocab.select(key.alias("key"), "idf").limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        return _weigh_by_join(df, vocab, group, col, out)
+    rows.sort(key=lambda r: r.key.encode())
+    prefix = F.concat(F.coalesce(F.col(group).cast("string"), F.lit("")), F.lit(_MARK))
+    prefixes = F.array_repeat(prefix, F.size(col))
+    keyed = df.withColumn("_keys", F.zip_with(prefixes, F.col(col), lambda p, t: F.concat(p, t)))
+    model = TfidfModel([r.key for r in rows], [r.idf for r in rows], sublinear=False)
+    names = F.split(F.lit("\n".join(r.key.split(_MARK, 1)[1] for r in rows)), "\n")
+    pairs = F.zip_with(
+        F.col("_w.indices"),
+        F.col("_w.values"),
+        lambda i, w: F.struct(F.get(names, i).alias("term"), w.alias("weight")),
+    )
+    return model.transform(keyed, "_keys", "_w").withColumn(out, pairs).drop("_keys", "_w")
+
+
+def _weigh_by_join(
+    df: DataFrame, vocab: DataFrame, group: str, col: str, out: str
+) -> DataFrame:
+    """The same for vocabularies too large to hold: the rows are numbered and stored first."""
+    stored = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+    raw = term_counts(stored, ["_row", group], col).join(vocab, [group, "term"])
+    pair = F.struct("term", (F.col("tf") * F.col("idf")).alias("w"))
+    pairs = raw.groupBy("_row").agg(F.collect_list(pair).alias("_pairs"))
+    squares = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["w"] * p["w"])
+    norms = F.array_repeat(F.sqrt(squares), F.size("_pairs"))
+    weighted = F.zip_with(
+        "_pairs", norms, lambda p, n: F.struct(p["term"].alias("term"), (p["w"] / n).alias("weight"))
+    )
+    none = F.array().cast("array<struct<term:string,weight:double>>")
+    joined = stored.join(pairs, "_row", "left")
+    return joined.withColumn(out, F.coalesce(weighted, none)).drop("_row", "_pairs")
+
+
+def per_group_tfidf(
+    df: DataFrame, vocab: DataFrame, group: str, id_col: str, col: str = "terms"
+) -> DataFrame:
+    """``(group, id, term, weight)``: plain tf times the group's idf, L2-normalised per row."""
+    weighted = weigh_per_group(df, vocab, group, col)
+    return weighted.select(group, id_col, F.inline_outer("weights")).where("term is not null")
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """End-to-end jobs composed from the operators."""
 
-from .answers import RoleModel, analyse_postings, answer_questions, train_role_model
+from .answers import RoleModel, analyse_postings, answer_questions, load_role_model, train_role_model
 from .dataset import labelled_postings, stage_report, tagged_postings
 from .training import (
     Settings,
@@ -12,6 +12,7 @@ from .training import (
     published_candidates,
     skill_cv,
     skill_loo,
+    skill_prediction,
     train_and_evaluate,
 )
 
@@ -26,9 +27,11 @@ __all__ = [
     "engineered_only_cv",
     "feature_ablation",
     "labelled_postings",
+    "load_role_model",
     "published_candidates",
     "skill_cv",
     "skill_loo",
+    "skill_prediction",
     "stage_report",
     "tagged_postings",
     "train_and_evaluate",

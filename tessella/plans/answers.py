@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml import classification
+from pyspark.ml.classification import LinearSVCModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import KeywordRule
 from ..operators.analytics import skill_frequencies
 from ..operators.features import flag_names, own_flags, tag_flags
 from ..operators.labelling import route_query
-from ..operators.learners import OneVsRestSvm, classify_ranked, fit_linear_svm
+from ..operators.learners import Classifier, OneVsRestSvm, classify_ranked, fit_linear_svm
 from ..operators.retrieval import (
     Index,
     answer_top_skills,
@@ -21,6 +24,7 @@ from ..operators.retrieval import (
     top_sources,
     with_documents,
 )
+from ..operators.vectorise import MAX_TERMS, StandardiseModel, TermTable, TfidfModel
 from ..rules import QUESTION_DEFAULT, QUESTION_ROUTES, ROLE_TAXONOMY, Entry
 from ..session import durable
 from .training import Features, Settings, build_features
@@ -63,12 +67,60 @@ class RoleModel:
     """The classifier that is put to use: fitted on the whole corpus."""
 
     features: Features
-    svm: OneVsRestSvm
+    learner: Classifier
 
     def classify(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """``(id, rank, label, score)``: all classes per text, best first."""
         table = self.features.of(df, id_col, text_col)
-        return classify_ranked(self.svm, table, "id", self.features.labels)
+        return classify_ranked(self.learner, table, "id", self.features.labels)
+
+    def save(self, path: str) -> None:
+        """Write the model below ``path``; `load_role_model` reads it in any session.
+
+        The training rows are not part of it.
+        """
+        f, spark = self.features, self.features.table.sparkSession
+        facts = {
+            "labels": f.labels,
+            "settings": asdict(f.settings),
+            "means": f.scaler.means,
+            "deviations": f.scaler.deviations,
+            "sublinear": f.tfidf.sublinear,
+            "svms": len(self.learner.models) if isinstance(self.learner, OneVsRestSvm) else 0,
+            "learner": type(self.learner).__name__,
+        }
+        spark.createDataFrame([(json.dumps(facts),)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
+        if isinstance(f.tfidf, TermTable):
+            terms = f.tfidf.vocab
+        else:
+            terms = spark.createDataFrame(
+                [(t, i, w) for i, (t, w) in enumerate(zip(f.tfidf.terms, f.tfidf.idf, strict=True))],
+                "term string, code int, idf double",
+            )
+        terms.write.mode("overwrite").parquet(f"{path}/terms")
+        models = self.learner.models if isinstance(self.learner, OneVsRestSvm) else [self.learner]
+        for i, model in enumerate(models):
+            model.write().overwrite().save(f"{path}/learner/{i}")
+
+
+def load_role_model(spark: SparkSession, path: str) -> RoleModel:
+    """A saved model; its features have an empty table, as the training rows are not kept."""
+    facts = json.loads(spark.read.parquet(f"{path}/facts").first()[0])
+    raw = facts["settings"]
+    settings = Settings(**raw | {"taxonomy": [Entry(*e) for e in raw["taxonomy"]]})
+    terms = spark.read.parquet(f"{path}/terms")
+    if settings.size is None or settings.size > MAX_TERMS:
+        tfidf = TermTable(terms, max(1, terms.count()), facts["sublinear"])
+    else:
+        rows = sorted(terms.collect(), key=lambda r: r.code)
+        tfidf = TfidfModel([r.term for r in rows], [r.idf for r in rows], facts["sublinear"])
+    scaler = StandardiseModel(facts["means"], facts["deviations"])
+    features = Features(spark.range(0).toDF("id"), facts["labels"], tfidf, scaler, settings)
+    if facts["svms"]:
+        learner = OneVsRestSvm([LinearSVCModel.load(f"{path}/learner/{i}") for i in range(facts["svms"])])
+    else:
+        learner = getattr(classification, facts["learner"]).load(f"{path}/learner/0")
+    return RoleModel(features, learner)
 
 
 def train_role_model(
@@ -77,11 +129,11 @@ def train_role_model(
     text_col: str,
     label_col: str,
     settings: Settings | None = None,
-    max_iter: int = 5000,
+    fit: Callable[[DataFrame], Classifier] = fit_linear_svm,
 ) -> RoleModel:
     """Fit on all rows; the honest scores come from `training.train_and_evaluate`."""
     features = build_features(docs, id_col, text_col, label_col, settings, hold_out=False)
-    return RoleModel(features, fit_linear_svm(features.table, max_iter=max_iter))
+    return RoleModel(features, fit(features.table))
 
 
 def analyse_postings(

@@ -22,24 +22,17 @@ from ..operators.labelling import drop_unlabelled
 from ..rules import (
     KEYWORD_DEFAULT,
     KEYWORD_ROLES,
+    LABELLED_COLUMNS,
     MIN_DESCRIPTION_CHARS,
     PATTERN_ROLES,
     POSTING_SKILLS,
     RAW_HEADERS,
     SENIORITY_RULES,
+    TAGGED_COLUMNS,
     Entry,
 )
 from ..sources import normalise_columns
 
-TAGGED_COLUMNS = [
-    "job_title", "role_category", "company", "city", "state", "location",
-    "post_date_parsed", "views", "summary", "body",
-]
-LABELLED_COLUMNS = [
-    "job_title", "role_category", "seniority", "company", "location", "city", "state",
-    "company_rating", "salary_min", "salary_max", "description_length", "description",
-]
-
 
 def tagged_postings(
     raw: DataFrame,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +20,7 @@ from ..operators.features import (
 from ..operators.interpretation import top_signals_per_class, top_terms_per_class
 from ..operators.learners import (
     Candidate,
+    Classifier,
     in_threads,
     cross_validate,
     fit_final_and_score,
@@ -29,9 +30,11 @@ from ..operators.learners import (
     fit_random_forest,
     score_column,
 )
+from ..operators.analytics import band_by_f1, class_balance_eligibility
 from ..operators.splits import class_counts, index_labels, stratified_folds, stratified_split
 from ..operators.vectorise import (
     StandardiseModel,
+    TermTable,
     TfidfModel,
     as_vectors,
     assemble,
@@ -75,7 +78,7 @@ class Features:
 
     table: DataFrame
     labels: list[str]
-    tfidf: TfidfModel
+    tfidf: TfidfModel | TermTable
     scaler: StandardiseModel
     settings: Settings
 
@@ -114,7 +117,7 @@ def _described(texts: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _weighted(described: DataFrame, model: TfidfModel) -> DataFrame:
+def _weighted(described: DataFrame, model: TfidfModel | TermTable) -> DataFrame:
     return model.transform(described).drop("text", "tokens", "terms")
 
 
@@ -128,24 +131,28 @@ def build_features(
 ) -> Features:
     """Split, fit the vocabulary and the scaler on the training rows, store the features.
 
-    Two passes over the texts: one for the vocabulary, one for the features. Without
+    One pass over the texts: their words and engineered columns are stored, and labels,
+    split, vocabulary and weights read only the columns they need of that table. Without
     ``hold_out`` every row trains.
     """
     settings = settings or Settings()
     rows = df.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("_class")
     ).dropna(subset=["text", "_class"])
-    indexed, labels = index_labels(rows, "_class")
+    described = durable(_described(rows, settings).drop("text", "terms"))
+    indexed, labels = index_labels(described, "_class")
     indexed = indexed.drop("_class")
     if hold_out:
         split = stratified_split(indexed, "label", "id", settings.test, settings.seed)
     else:
         split = indexed.withColumn("is_test", F.lit(False))
-    training = ngrams_1_2(tokenize(split.where(~F.col("is_test")), "text", settings.stop_words))
     model = fit_tfidf(
-        training, min_df=settings.min_df, max_df=settings.max_df, size=settings.size
+        ngrams_1_2(split.where(~F.col("is_test"))),
+        min_df=settings.min_df,
+        max_df=settings.max_df,
+        size=settings.size,
     )
-    table = as_vectors(_weighted(_described(split, settings), model), ["tfidf"])
+    table = as_vectors(_weighted(ngrams_1_2(split), model), ["tfidf"])
     scaler = standardise(table.where(~F.col("is_test")), settings.engineered)
     return Features(_assembled(table, scaler, settings), labels, model, scaler, settings)
 
@@ -204,7 +211,8 @@ def train_and_evaluate(
     """Cross-validate, refit the winner, score the test rows once, explain with logreg.
 
     Returns tables ``cv, cv_summary, best, confusion, report, summary, auc,
-    logreg_summary, logreg_auc, top_terms``.
+    logreg_summary, logreg_auc, top_terms``, and ``comparison`` of the candidates beside the test metrics known,
+    ``classes`` (rows per class and side) and ``shapes`` (rows and columns per side).
     """
     candidates = list(candidates or published_candidates())
     cv = durable(
@@ -219,11 +227,23 @@ def train_and_evaluate(
         features.test,
     )
     logreg_tables = _test_metrics(logreg_pred, features.labels)
+    tables = _test_metrics(pred, features.labels)
+    known = tables["summary"].withColumn("candidate", F.lit(best_name))
+    if best_name != "LogisticRegression":
+        other = logreg_tables["summary"].withColumn("candidate", F.lit("LogisticRegression"))
+        known = known.unionByName(other)
+    sides = features.table.groupBy("label", "is_test").agg(F.count("*").alias("n"))
+    names = F.array(*[F.lit(n) for n in features.labels])
     return {
+        "comparison": ev.model_comparison(cv, known),
+        "classes": sides.select(F.get(names, F.col("label").cast("int")).alias("class"), "is_test", "n"),
+        "shapes": sides.groupBy("is_test")
+        .agg(F.sum("n").alias("n_rows"))
+        .withColumn("n_features", F.lit(len(features.names))),
         "cv": cv,
         "cv_summary": ev.cv_summary(cv),
         "best": ev.select_best(cv),
-        **_test_metrics(pred, features.labels),
+        **tables,
         "logreg_summary": logreg_tables["summary"],
         "logreg_auc": logreg_tables["auc"],
         "top_terms": top_terms_per_class(
@@ -232,13 +252,13 @@ def train_and_evaluate(
     }
 
 
-def feature_ablation(features: Features, max_iter: int = 5000) -> DataFrame:
-    """``(features, mean, std, delta)``: the SVM on text only and on text plus engineered.
+def feature_ablation(features: Features, fit: Callable[..., Classifier] = fit_linear_svm) -> DataFrame:
+    """``(features, mean, std, delta)``: a learner on text only and on text plus engineered.
 
     ``delta`` is the gain over text only.
     """
     runs = [
-        Candidate(name, functools.partial(fit_linear_svm, features=column, max_iter=max_iter))
+        Candidate(name, functools.partial(fit, features=column))
         for name, column in [("tfidf_only", "tfidf"), ("combined", "features")]
     ]
     cv = durable(cross_validate(features.train_folds(), runs, features.settings.folds))
@@ -251,9 +271,9 @@ def feature_ablation(features: Features, max_iter: int = 5000) -> DataFrame:
 
 def engineered_only(
     df: DataFrame, id_col: str, text_col: str, label_col: str, settings: Settings | None = None,
-    max_iter: int = 2000,
+    fit: Callable[[DataFrame], Classifier] = fit_logreg,
 ) -> dict[str, DataFrame]:
-    """Logistic regression on the engineered columns alone, over all rows.
+    """A linear learner on the engineered columns alone, over all rows.
 
     Returns ``cv`` and ``top_signals``.
     """
@@ -270,7 +290,6 @@ def engineered_only(
     scaled = standardise(table, settings.engineered).transform(table)
     vectors = assemble(scaled, settings.engineered).select("id", "label", "features")
     folded = durable(stratified_folds(vectors, "label", "id", settings.folds, settings.seed))
-    fit = functools.partial(fit_logreg, max_iter=max_iter)
     cv = cross_validate(folded, [Candidate("LogisticRegression", fit)], settings.folds)
     return {
         "cv": cv,
@@ -292,13 +311,12 @@ def echo_robustness(
     label_col: str,
     phrases: Mapping[str, Sequence[str]] = TITLE_ECHOES,
     settings: Settings | None = None,
-    max_iter: int = 5000,
+    fit: Callable[[DataFrame], Classifier] = fit_linear_svm,
 ) -> DataFrame:
-    """``(text, mean, std, n_changed, n_rows)``: the SVM on full and on echo-stripped texts."""
+    """``(text, mean, std, n_changed, n_rows)``: a learner on full and on echo-stripped texts."""
     settings = settings or Settings()
     rows = df.dropna(subset=[text_col, label_col])
     stripped = strip_label_echo(rows, text_col, label_col, phrases, "_stripped")
-    fit = functools.partial(fit_linear_svm, max_iter=max_iter)
     summaries = []
     for name, column in [("original", text_col), ("stripped", "_stripped")]:
         features = build_features(stripped, id_col, column, label_col, settings)
@@ -326,7 +344,8 @@ def skill_cv(
     """``(flag, id, y, p)``: every row predicted from its title by a model not fitted on it.
 
     Per fold the title vocabulary is fitted on the other rows and the features are
-    stored once; then one balanced logistic regression per flag.
+    stored once; then one balanced logistic regression per flag. Without a ``size`` the
+    vocabulary may have any number of words: it stays a table.
     """
     values = list(class_counts(df.where(F.col(category).isNotNull()), category))
     hot = {f"_is_{v}": f"_hot_{i}" for i, v in enumerate(values)}
@@ -375,20 +394,31 @@ def skill_loo(
     id_col: str,
     title: str,
     flags: Sequence[str],
+    category: str | None = None,
     stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
     """``(flag, id, y, p)``: exact leave-one-out by multinomial naive Bayes on title words.
 
-    The model without a row is the total counts minus the row's own, so one pass scores
-    every row for all flags. Words found only in the row leave its vocabulary too. The
-    word table is joined once on the word; Spark splits the parts of frequent words.
+    A ``category`` counts as one more word of its row. The model without a row is the
+    total counts minus the row's own, so one pass scores every row for all flags. Words
+    found only in the row leave its vocabulary too. The word table is joined once on the
+    word; Spark splits the parts of frequent words. Its rows carry no flags: both of a
+    flag's sums are made, and the row's own flag picks one after they are summed.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(title).alias("text"), *flags)
-    counts = term_counts(tokenize(rows, "text", stop_words), ["id", *flags], "tokens")
-    stats = counts.groupBy("term").agg(
+    rows = tokenize(df, title, stop_words, "_words").select(
+        F.col(id_col).alias("id"), F.col("_words").alias("words"), *flags,
+        *([F.col(category).alias("_category")] if category else []),
+    )
+    if category:
+        named = F.concat(F.lit("\x01"), F.col("_category"))
+        rows = rows.withColumn(
+            "words", F.when(named.isNull(), F.col("words")).otherwise(F.array_append("words", named))
+        ).drop("_category")
+    stats = term_counts(rows, flags, "words").groupBy("term").agg(
         F.sum("tf").alias("total"),
         *[F.sum(F.col("tf") * F.col(f)).alias(f"pos_{f}") for f in flags],
     )
+    stats = durable(stats)
     sums = stats.agg(
         F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
         F.count("*").alias("words"),
@@ -397,21 +427,20 @@ def skill_loo(
     sizes = rows.agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]).first()
 
     shared = F.col("total") > F.col("tf")
-
-    def log_sum(hits, own):
-        return F.sum(F.when(shared, F.col("tf") * F.log(hits - own * F.col("tf") + 1)))
-
+    sides = {"one": lambda f: F.col(f"pos_{f}"), "zero": lambda f: F.col("total") - F.col(f"pos_{f}")}
     per_row = (
-        counts.join(stats, "term")
+        term_counts(rows, ["id"], "words")
+        .join(stats, "term")
         .groupBy("id")
         .agg(
             F.sum("tf").alias("len"),
             F.sum(F.when(shared, F.col("tf"))).alias("used"),
             F.count_if(~shared).alias("lone"),
-            *[log_sum(F.col(f"pos_{f}"), F.col(f)).alias(f"one_{f}") for f in flags],
             *[
-                log_sum(F.col("total") - F.col(f"pos_{f}"), 1 - F.col(f)).alias(f"zero_{f}")
+                F.sum(F.when(shared, F.col("tf") * F.log(hits(f) - own * F.col("tf") + 1))).alias(f"{side}_{f}_{own}")
+                for side, hits in sides.items()
                 for f in flags
+                for own in (0, 1)
             ],
         )
     )
@@ -423,7 +452,8 @@ def skill_loo(
         mass = sums[f"pos_{flag}"] if side == "one" else sums["total"] - sums[f"pos_{flag}"]
         prior = F.log((F.lit(n_class) - own) / (sizes["n"] - 1))
         spread = F.log(F.lit(mass) - own * F.col("len") + sums["words"] - F.col("lone"))
-        return prior + F.col(f"{side}_{flag}") - F.col("used") * F.coalesce(spread, F.lit(0.0))
+        likelihood = F.when(own == 1, F.col(f"{side}_{flag}_1")).otherwise(F.col(f"{side}_{flag}_0"))
+        return prior + likelihood - F.col("used") * F.coalesce(spread, F.lit(0.0))
 
     predicted = F.array(
         *[
@@ -436,3 +466,37 @@ def skill_loo(
         ]
     )
     return scored.select("id", F.inline(predicted)).select("flag", "id", "y", "p")
+
+
+def skill_prediction(
+    df: DataFrame,
+    id_col: str,
+    title: str,
+    category: str,
+    flags: Sequence[str],
+    min_count: int = 15,
+    predict: Callable[..., DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """Which skills titles and categories tell: from eligible flags to bands of F1.
+
+    Flags with ``min_count`` rows on both sides are predicted out of sample (by default
+    leave-one-out; ``predict(df, id, title, category, flags)`` may be another way) and scored beside
+    the larger class's share. Returns ``eligible, predictions, metrics, bands``.
+    """
+    eligible = durable(class_balance_eligibility(df, flags, min_count))
+    chosen = {r.flag for r in eligible.collect()}  # flags are columns, so they are few
+    learnt = [f for f in flags if f in chosen]
+    if not learnt:
+        raise ValueError(f"no flag has {min_count} rows on both sides")
+    if predict is None:
+        pred = skill_loo(df, id_col, title, learnt, category)
+    else:
+        pred = predict(df, id_col, title, category, learnt)
+    pred = durable(pred)
+    metrics = ev.binary_metrics(pred, ["flag"]).join(ev.majority_baseline(pred, ["flag"]), "flag")
+    return {
+        "eligible": eligible,
+        "predictions": pred,
+        "metrics": metrics,
+        "bands": band_by_f1(metrics),
+    }

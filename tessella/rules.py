@@ -207,4 +207,13 @@ STOP_WORDS = (
     "very can will just don should now could cannot would ought"
 ).split()
 
+# Shortest text kept, and the published output columns.
 MIN_DESCRIPTION_CHARS = 150
+TAGGED_COLUMNS = [
+    "job_title", "role_category", "company", "city", "state", "location",
+    "post_date_parsed", "views", "summary", "body",
+]
+LABELLED_COLUMNS = [
+    "job_title", "role_category", "seniority", "company", "location", "city", "state",
+    "company_rating", "salary_min", "salary_max", "description_length", "description",
+]

@@ -1,9 +1,11 @@
-"""Session settings, scratch tables and partition spreading."""
+"""Session settings, scratch tables and their removal, and partition spreading."""
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,9 @@ def get_spark(app: str = "tessella", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A fresh path under the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -39,7 +44,33 @@ def scratch_path(spark: SparkSession) -> str:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-"))
             root = sc.getCheckpointDir()
-    return f"{root.rstrip('/')}/tessella-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tessella-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process wrote and return how many there were.
+
+    Plans that still read them fail afterwards, so call it when their results are stored.
+    """
+    conf, removed = spark._jsc.hadoopConfiguration(), 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the scratch tables written inside the block: they are deleted at its end."""
+    kept = _scratch[:]
+    _scratch.clear()
+    try:
+        yield
+    finally:
+        cleanup(spark)
+        _scratch.extend(kept)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -53,14 +84,26 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str, per_core: int = 2) -> DataFrame:
-    """Hash-spread a *scan* over the cores when its files give too few partitions.
+def durable_by(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
+    """Store ``df`` dealt by ``key`` and read it back so that Spark knows the dealing.
+
+    Later groupings on the key, alone or with other columns, need no exchange.
+    """
+    spark = df.sparkSession
+    path = path or scratch_path(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tessella_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).option("path", path)
+    writer.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Spread a *scan* over the cores when its files give too few partitions.
 
-    A large input already has more splits than this and is returned unchanged, so no
-    shuffle is added where it would cost something. Pass a scan (or a projection of
-    one): counting partitions above a shuffle would run that shuffle.
+    Rows are dealt in turn, by no key, so later plans are the same as without it. A large
+    input already has more splits than this and is returned unchanged. Pass a scan (or a
+    projection of one): counting partitions above a shuffle would run that shuffle.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted, key)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

@@ -1,6 +1,7 @@
 """Metrics against published numbers, and vectors, splits, learners and retrieval against brute force."""
 
 import collections
+import functools
 import math
 import random
 
@@ -11,14 +12,17 @@ from pyspark.sql import functions as F
 from tessella import operators as op
 from tessella.operators.evaluation import per_class_scores
 from tessella.operators.splits import split_quotas
-from tessella.operators.vectorise import GROUP_LIMIT, top_per_group
+from tessella.operators.retrieval import load_index
+from tessella.operators.vectorise import TermTable, top_per_group
 from tessella.plans import (
     Settings,
     analyse_postings,
     build_features,
+    load_role_model,
     published_candidates,
     skill_cv,
     skill_loo,
+    skill_prediction,
     train_and_evaluate,
     train_role_model,
 )
@@ -233,16 +237,27 @@ def test_tfidf_equals_brute_force(corpus):
         assert Vectors.norm(r.tfidf, 2) == pytest.approx(1 if expected[r.id] else 0)
 
 
-def test_vocabulary_too_large_is_refused(corpus, monkeypatch):
-    monkeypatch.setattr("tessella.operators.vectorise.MAX_TERMS", 3)
-    terms = op.ngrams_1_2(op.tokenize(corpus[1], "text", []))
-    with pytest.raises(ValueError, match="vocabulary size"):
-        op.fit_tfidf(terms, min_df=1, max_df=1.0, size=None)
+def test_vocabulary_of_any_size_equals_brute_force(corpus):
+    rows, df = corpus
+    docs = {i: grams(text) for i, _, text in rows}
+    vocab = {t for d in docs.values() for t in d}
+    expected, _ = brute_tfidf({i: d for i, d in docs.items() if d}, vocab, sublinear=False)
+    n, seen = len(docs), collections.Counter(t for d in docs.values() for t in d)
+    terms = op.ngrams_1_2(op.tokenize(df, "text", []))
+    model = op.fit_tfidf(terms, min_df=1, max_df=1.0, size=None, sublinear=False)
+    assert isinstance(model, TermTable) and model.size == len(vocab)
+    names = {r.code: r.term for r in model.vocab.collect()}
+    assert [names[i] for i in range(len(vocab))] == sorted(vocab)
+    for r in op.as_vectors(model.transform(terms).select("id", "tfidf"), ["tfidf"]).collect():
+        raw = {t: c * (math.log((1 + n) / (1 + seen[t])) + 1) for t, c in docs[r.id].items()}
+        norm = math.sqrt(sum(x * x for x in raw.values())) or 1
+        got = {names[i]: w for i, w in zip(r.tfidf.indices.tolist(), r.tfidf.values.tolist(), strict=True)}
+        assert r.tfidf.size == len(vocab) and got == pytest.approx({t: x / norm for t, x in raw.items()})
 
 
 def test_top_per_group_beyond_the_group_limit(spark):
     df = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("x"))
-    n = GROUP_LIMIT + 500
+    n = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) + 500
     got = top_per_group(df, ["g"], [F.desc("x")], n, "x").groupBy("g").agg(
         F.count("*").alias("n"), F.min("x").alias("low"))
     assert sorted(tuple(r) for r in got.collect()) == [(0, n, 6000 - 2 * n), (1, n, 6001 - 2 * n)]
@@ -277,6 +292,51 @@ def test_retrieval_equals_brute_force(spark, corpus):
         assert [s for _, s in got[qid]] == pytest.approx([s for _, s in expected])
 
 
+def exchanges(df):
+    """The keys of all exchanges of the plan that Spark chose."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [x.split("Exchange ", 1)[1] for x in plan.split("\n") if "Exchange hash" in x]
+
+
+def test_retrieval_shuffles_no_terms(spark, corpus, tmp_path):
+    rows, df = corpus
+    path = str(tmp_path / "docs")
+    df.repartition(16, "g").write.parquet(path)
+    docs = spark.read.option("maxPartitionBytes", "1k").parquet(path)
+    index = op.build_index(docs, "id", "g", "text", size=9, stop_words=[])
+    queries = spark.createDataFrame([(1, "a", rows[0][2]), (2, "b", "plans cores")], "query_id bigint, group string, text string")
+    keys = exchanges(op.retrieve_topk(index, queries, k=3))
+    assert keys and not any("term" in k for k in keys)
+    scored = [k for k in keys if "doc" in k and "query_id" in k]
+    assert len(scored) <= 1  # only the k best per task meet, to drop the fill's copies
+
+
+def test_index_is_read_back(spark, corpus, tmp_path):
+    rows, df = corpus
+    index = op.build_index(df, "id", "g", "text", size=9, stop_words=[])
+    index.save(str(tmp_path / "index"))
+    again = load_index(spark, str(tmp_path / "index"))
+    queries = spark.createDataFrame([(1, "a", rows[0][2])], "query_id bigint, group string, text string")
+    assert sorted(op.retrieve_topk(again, queries).collect()) == sorted(op.retrieve_topk(index, queries).collect())
+
+
+def test_large_group_vocabularies_are_joined(corpus, monkeypatch):
+    df = corpus[1].withColumnRenamed("g", "group")
+    terms = op.ngrams_1_2(op.tokenize(df, "text", []))
+    vocab = op.build_index(df, "id", "group", "text", size=9, stop_words=[]).vocab
+    in_row = {(r.id, r.term): r.weight for r in op.per_group_tfidf(terms, vocab, "group", "id").collect()}
+    monkeypatch.setattr("tessella.operators.vectorise.MAX_TERMS", 3)
+    joined = {(r.id, r.term): r.weight for r in op.per_group_tfidf(terms, vocab, "group", "id").collect()}
+    assert in_row == pytest.approx(joined) and in_row
+
+
+def test_null_classes_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, y string")
+    with pytest.raises(ValueError, match="null classes"):
+        op.stratified_split(df, "y", "id")
+
+
 def test_quotes_sources_and_gap(spark):
     ret = spark.createDataFrame(
         [(1, 1, "t1", None, "x" * 59, 0.91234, "s"), (1, 2, "t2", "c", " " + "y" * 60 + "\nz", 0.5, "s"),
@@ -319,6 +379,39 @@ def test_train_and_evaluate(postings):
     assert tables["summary"].first().accuracy > 0.5
     assert {r.label for r in tables["auc"].collect()} == {"x", "y", "z", "macro", "weighted"}
     assert tables["top_terms"].count() == 45
+    assert tables["comparison"].count() == 4 and tables["comparison"].where("accuracy is not null").count() in (1, 2)
+    assert sum(r.n for r in tables["classes"].collect()) == 60
+    assert {r.is_test: r.n_rows for r in tables["shapes"].collect()} == {True: 12, False: 48}
+
+
+def scans_of_texts(spark, path, job):
+    """Scans below ``path`` that read the text column while ``job`` runs."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = store.executionsCount()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found, plans = 0, store.executionsList()
+    for i in range(before, plans.size()):
+        for scan in plans.apply(i).physicalPlanDescription().split("Scan parquet")[1:]:
+            found += path in scan.split("\n\n")[0] and "text:string" in scan.split("\n\n")[0]
+    return found
+
+
+def test_features_read_the_texts_once(spark, postings, tmp_path):
+    path = str(tmp_path / "posts")
+    postings.write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert scans_of_texts(spark, path, lambda: docs.selectExpr("max(text)").collect()) == 1
+    assert scans_of_texts(spark, path, lambda: build_features(docs, "id", "text", "role", SETTINGS)) == 1
+
+
+def test_model_is_read_back(spark, postings, tmp_path):
+    for i, fit in enumerate([functools.partial(op.fit_linear_svm, max_iter=10), functools.partial(op.fit_naive_bayes, features="tfidf")]):
+        model = train_role_model(postings, "id", "text", "role", SETTINGS, fit)
+        model.save(str(tmp_path / str(i)))
+        again = load_role_model(spark, str(tmp_path / str(i)))
+        assert sorted(again.classify(postings, "id", "text").collect()) == sorted(model.classify(postings, "id", "text").collect())
 
 
 def test_svm_ranks_all_classes(postings):
@@ -337,7 +430,7 @@ def test_svm_ranks_all_classes(postings):
 
 def test_analyse_postings(spark, postings):
     index = op.build_index(postings, "id", "role", "text", stop_words=[])
-    model = train_role_model(postings, "id", "text", "role", SETTINGS, max_iter=10)
+    model = train_role_model(postings, "id", "text", "role", SETTINGS, functools.partial(op.fit_linear_svm, max_iter=10))
     docs = postings.withColumnRenamed("text", "description")
     pasted = spark.createDataFrame([(1, "spark joins rows data " * 2), (2, "skew merge cores plans " * 2)], "query_id int, text string")
     tables = analyse_postings(index, model, docs, "id", pasted, k=5, taxonomy=TAXONOMY)
@@ -353,6 +446,10 @@ def test_leave_one_out_equals_refitting(spark):
             for i in range(30)]
     df = spark.createDataFrame(rows, "id bigint, title string, f int, g int")
     got = {(r.flag, r.id): r.p for r in skill_loo(df, "id", "title", ["f", "g"], stop_words=[]).collect()}
+    roles = df.withColumn("role", F.concat(F.lit("role"), F.col("id") % 3))
+    with_role = {(r.flag, r.id): r.p for r in skill_loo(roles, "id", "title", ["f", "g"], "role", []).collect()}
+    as_word = df.withColumn("title", F.concat_ws(" ", "title", F.concat(F.lit("role"), F.col("id") % 3)))
+    assert with_role == {(r.flag, r.id): r.p for r in skill_loo(as_word, "id", "title", ["f", "g"], stop_words=[]).collect()}
     for col, flag in [(2, "f"), (3, "g")]:
         for row in rows:
             others = [r for r in rows if r[0] != row[0]]
@@ -373,3 +470,17 @@ def test_skill_cv_predicts_every_row_once(spark, postings):
     got = skill_cv(df, "id", "text", "role", ["skill_spark"], k=2, stop_words=[], max_iter=10).collect()
     assert sorted(r.id for r in got) == list(range(60))
     assert sum(r.y == r.p for r in got) > 45
+
+
+def test_skill_prediction_is_one_job(spark, postings):
+    df = op.tag_flags(postings, ["text"], [*TAXONOMY, Entry("words", "never", "nowhere")])
+    tables = skill_prediction(df, "id", "text", "role", ["skill_spark", "skill_skew", "skill_never"], min_count=5)
+    assert {r.flag for r in tables["eligible"].collect()} == {"skill_spark", "skill_skew"}
+    assert tables["predictions"].count() == 120
+    metrics = {r.flag: r for r in tables["metrics"].collect()}
+    assert metrics["skill_spark"].f1 > 0.8 and 0.5 <= metrics["skill_spark"].baseline < 1
+    assert {r.flag for r in tables["bands"].collect()} == set(metrics)
+    always = lambda d, i, t, c, flags: d.select(F.lit(flags[0]).alias("flag"), i, F.col(flags[0]).alias("y"), F.lit(1).alias("p"))
+    assert skill_prediction(df, "id", "text", "role", ["skill_spark"], 5, always)["metrics"].first().recall == 1
+    with pytest.raises(ValueError, match="both sides"):
+        skill_prediction(df, "id", "text", "role", ["skill_never"])
