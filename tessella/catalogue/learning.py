@@ -2,8 +2,9 @@
 
 All run with the published settings. SQL can follow naive Bayes exactly, so each composite
 is checked with it; the composite with the published learners stands beside it under the
-suffix ``_published``. For the iterative learners SQL states the rows and labels, and that
-the fitted model passes a test of its optimum or fit.
+suffix ``_published``, and among ``PUBLISHED`` where it is many fits long. For the iterative
+learners SQL states the rows and labels, and that the fitted model passes a test of its
+optimum or fit.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ from .base import (
     flags_sql,
     grams_sql,
     posts,
+    published,
     query,
     table,
     texts,
@@ -364,7 +366,7 @@ def cross_validate(spark, sf_dir):
     return cv.withColumn("macro_f1", F.round("macro_f1", 6))
 
 
-@query()
+@published
 def cross_validate_published(spark, sf_dir):
     features = _features(spark, sf_dir)
     return op.cross_validate(features.train_folds(), published_candidates(), SETTINGS.folds)
@@ -395,7 +397,7 @@ def fit_final_and_score(spark, sf_dir):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
-@query()
+@published
 def fit_final_and_score_published(spark, sf_dir):
     return train_and_evaluate(_features(spark, sf_dir))["report"]
 
@@ -424,7 +426,7 @@ def classify_ranked_published(spark, sf_dir):
 SELECT * FROM (VALUES ('tfidf_only', true, true), ('combined', true, true)) t(features, in_range, adds_up)""")
 def feature_ablation_(spark, sf_dir):
     """Which runs there are, that their means are shares, and that the gains add up."""
-    rows = op.durable(feature_ablation(_features(spark, sf_dir)))
+    rows = op.durable(feature_ablation(_features(spark, sf_dir), op.fit_logreg))
     base = rows.where("features = 'tfidf_only'").select("mean").scalar()
     return rows.select(
         "features",
@@ -433,7 +435,7 @@ def feature_ablation_(spark, sf_dir):
     )
 
 
-@query()
+@published
 def feature_ablation_published(spark, sf_dir):
     return feature_ablation(_features(spark, sf_dir))
 
@@ -465,7 +467,7 @@ def echo_robustness_(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
-@query()
+@published
 def echo_robustness_published(spark, sf_dir):
     return echo_robustness(texts(spark, sf_dir), "doc_id", "text", "lang", ECHOES, SETTINGS)
 
@@ -602,7 +604,7 @@ def skill_cv_(spark, sf_dir):
     return pred.select("flag", "id", "y", F.col("p").isin(0, 1).alias("predicted"))
 
 
-@query()
+@published
 def skill_cv_published(spark, sf_dir):
     titled = _titled(spark, sf_dir)
     return skill_cv(titled, "doc_id", "job_title", "lang", _eligible(titled))
