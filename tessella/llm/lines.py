@@ -38,7 +38,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     )
     found = placed.select("doc_id", "text_key", F.inline(window)).drop("at")
     dealt = found.repartition(partitions(docs), "h1", "h2")
-    place = F.struct("doc_id", "text_key", "p0")
+    # All columns take part, so that both uses read one and the same exchange.
+    place = F.struct("doc_id", "text_key", "p0", "p1", "p2")
     twice = (
         dealt.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -66,7 +67,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_key")
     )
-    covered = durable(repeated_windows(rows))
+    # Merged at every size: a small list would be broadcast, and then the plan would change with the table.
+    covered = durable(repeated_windows(rows)).hint("merge")
     joined = rows.alias("r").join(
         covered.alias("c"),
         F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.text_key") == F.col("c.text_key")),
