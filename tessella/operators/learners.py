@@ -110,11 +110,12 @@ def fit_linear_svm(
     label: str = "label",
     c: float = 0.5,
     max_iter: int = 5000,
+    tol: float = 1e-4,
     threads: int = 4,
 ) -> OneVsRestSvm:
     """Class-balanced one-vs-rest linear SVM on hinge loss.
 
-    In each binary problem the class has its balancing weight and the rest weighs 1.
+    ``max_iter`` and ``tol`` are the published limits. In each binary problem the class has its balancing weight and the rest weighs 1.
     """
     counts = class_counts(df, label)
     n, k = sum(counts.values()), len(counts)
@@ -127,6 +128,7 @@ def fit_linear_svm(
             regParam=1.0 / (c * total),
             standardization=False,
             maxIter=max_iter,
+            tol=tol,
             featuresCol=features,
             labelCol="_is",
             weightCol="weight",
