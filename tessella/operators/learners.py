@@ -62,6 +62,7 @@ def fit_logreg(
     c: float = 1.0,
     max_iter: int = 2000,
     family: str = "multinomial",
+    tol: float = 1e-6,
 ) -> Model:
     """Class-balanced logistic regression; ``c`` is the inverse penalty of the summed loss."""
     counts = class_counts(df, label)
@@ -72,6 +73,7 @@ def fit_logreg(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
         featuresCol=features,
         labelCol=label,
         weightCol="weight",

@@ -376,7 +376,7 @@ def skill_cv(
         flag, j = run
         labelled = tables[j].withColumn("label", F.col(flag).cast("double"))
         model = fit_logreg(
-            labelled.where(F.col("fold") != j), max_iter=max_iter, family="binomial"
+            labelled.where(F.col("fold") != j), max_iter=max_iter, family="binomial", tol=1e-4
         )
         return model.transform(labelled.where(F.col("fold") == j)).select(
             F.lit(flag).alias("flag"),
