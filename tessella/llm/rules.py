@@ -197,14 +197,16 @@ def reject_outliers(
 ) -> DataFrame:
     """Counts of every whole text, whether the plain rules fail it, and whether it is kept.
 
-    Each (language, source) with ``least`` rows or more is a cell with estimates of its
-    own; the rows of smaller ones share their language's cell, or else that of the table.
+    Each (language, source) with ``least`` different vectors of statistics or more is a
+    cell with estimates of its own; the rows of smaller ones share their language's cell,
+    or else that of the table. Equal vectors count once in the estimates, so copies of a
+    text can't set them, however many; all rows are judged.
     Base-failed rows take no part in the estimates. A row is rejected if its squared robust
     distance is over ``slack`` times the chi-squared quantile of ``1 - tail``: the
     statistics are only roughly normal, and clean documents are to stay.
 
     Returns doc_id, ``COUNTS``, base_failed, distance (null where base-failed or where no
-    cell has ``least`` rows) and kept. Null and empty texts have no words and fail the base; a null
+    cell has ``least`` vectors) and kept. Null and empty texts have no words and fail the base; a null
     language or source is a value of its own; repeated rows are judged alike; an empty
     table gives no rows. Other columns are ignored.
     """
@@ -223,8 +225,10 @@ def reject_outliers(
         .select("*", *[s.alias(x) for s, x in zip(stats, xs, strict=True)])
     )
     judged = rows.where(~F.col("base_failed"))
-    sizes = judged.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang"))
+    vectors = durable(judged.select("lang", "source", *xs).distinct())
+    in_lang = durable(vectors.select("lang", *xs).distinct())
+    sizes = vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    by_lang = in_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lang"))
     name = lambda *cols: F.to_json(F.struct(*cols))
     cells = (
         sizes.alias("s")
@@ -238,17 +242,16 @@ def reject_outliers(
             .alias("cell"),
         )
     )
-    celled = durable(
-        judged.join(
-            durable(cells), F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
-        ).select("doc_id", "cell", *COUNTS, *xs)
+    cells = durable(cells)
+    of_cell = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
+    celled = durable(judged.join(cells, of_cell).select("doc_id", "cell", *COUNTS, *xs))
+    # A shared cell is fitted on all vectors of its language, not only on those of small sources.
+    wide = durable(cells.select("cell").distinct().where(~F.col("cell").startswith('{"level":2')))
+    whole = in_lang.select(name(F.lit(1).alias("level"), F.col("lang")).alias("cell"), *xs).unionByName(
+        in_lang.select(*xs).distinct().select(name(F.lit(0).alias("level")).alias("cell"), *xs)
     )
-    # A shared cell is fitted on all rows of its language, not only on those of small sources.
-    wide = durable(celled.select("cell").distinct().where(~F.col("cell").startswith('{"level":2')))
-    whole = judged.select(name(F.lit(1).alias("level"), F.col("lang")).alias("cell"), *xs).unionByName(
-        judged.select(name(F.lit(0).alias("level")).alias("cell"), *xs)
-    )
-    fitted = celled.where(F.col("cell").startswith('{"level":2')).select("cell", *xs).unionByName(whole.join(wide, "cell", "left_semi"))
+    own = vectors.join(cells.where(F.col("cell").startswith('{"level":2')), of_cell).select("cell", *xs)
+    fitted = own.unionByName(whole.join(wide, "cell", "left_semi"))
     big = fitted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("cell")
     fits = robust_distances(durable(fitted.join(durable(big), "cell", "left_semi")), xs)
     distance = _distance(xs) / F.greatest(F.col("scale"), F.lit(1e-12))

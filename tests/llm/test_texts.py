@@ -215,6 +215,23 @@ def test_outliers_of_documents(spark, documents, long_text):
     assert [r.kept for r in reject_outliers(documents([clean[0], None])).collect()].count(True) == 1
 
 
+def varied(rng, n):
+    """Clean texts of different lengths."""
+    return [" ".join(f"{'wordsandmore'[: rng.randrange(2, 12)]}{rng.randrange(999)}" for _ in range(rng.randrange(60, 300))) + "." for _ in range(n)]
+
+
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_copies_do_not_set_the_estimates(spark, documents, share):
+    rng = random.Random(9)
+    clean = varied(rng, 200)
+    copies = [clean[0]] * round(200 * share / (1 - share))
+    junk = ["## $$ %% && " * 30 + clean[1], "!!? " + " ".join(f"A{i}!!!" for i in range(90))]
+    got = {r.doc_id: r.kept for r in reject_outliers(documents([*clean, *copies, *junk])).collect()}
+    n = len(clean) + len(copies)
+    assert all(got[i] for i in range(n))
+    assert not any(got[i] for i in range(n, len(got)))
+
+
 def test_quality_of_held_out_documents(spark, documents):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
