@@ -5,12 +5,13 @@ import sys
 from pyspark import cloudpickle
 
 from . import decontaminate, html, lines, mixing, near, pii, quality, rules, sharding, urls
-from .registry import ORACLES, QUERIES
+from .registry import EXTRA, ORACLES, QUERIES
 
 # Functions go to the executors whole, so this package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 __all__ = [
+    "EXTRA",
     "ORACLES",
     "QUERIES",
     "decontaminate",

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Whole jobs beside the ten numbered queries; their results have more than the SQL of those.
+EXTRA: dict[str, Query] = {}
+
+
+def extra(fn: Query) -> Query:
+    """Register a job beside the numbered queries under its function name."""
+    EXTRA[fn.__name__] = fn
+    return fn
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:

@@ -159,3 +159,14 @@ def test_lines_of_odd_rows(spark, documents):
     assert got == [((True, 0), True, "", 0), ((True, 5), True, "", 3), ((True, 5), True, "", 3), ((True, 6), True, "a\nb", 0)]
     assert sorted(map(str, [r.text for r in dedup_lines(docs).where("doc_id is null").collect()])) == ["None", "a\nb\nc"]
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_passages_on_one_and_two_lines(spark, documents):
+    long = " ".join(f"w{i}" for i in range(51))
+    half = [" ".join(f"{c}{i}" for i in range(26)) for c in "xy"]
+    texts = [f"a\n{long}\nb\nc", f"d\n{long}\ne", "\n".join(["f", *half, "g"]), "\n".join(["h", *half, "i"]), "short", "short\n", "k\nl", "k\n\nl", "m\nshort\no"]
+    got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(documents(texts), passage=50).collect()}
+    assert got[0] == (texts[0], 0) and got[1] == ("d\ne", 1)
+    assert got[2] == (texts[2], 0) and got[3] == ("h\ni", 2)
+    assert got[4] == ("short", 0) and got[5] == ("", 1) and got[6] == ("k\nl", 0) and got[7] == ("", 2)
+    assert got[8] == (texts[8], 0)
