@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import durable
 from .graph import components
-from .registry import partitions, query, table
+from .registry import extra, partitions, query, table
 from .words import shingles, texts_of, windows, word_hashes
 
 GROUPS = 512
@@ -331,6 +331,47 @@ def _stars(members: DataFrame, number: int) -> DataFrame:
     return best.select(F.col("rep").alias("a"), F.col("best.b").alias("b"))
 
 
+def _dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs``, their sets, the classes of equal sets, and each bucket's classes where there are several."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    sketch = _sketches(docs.sparkSession, frequent_shingles(rows))
+    sets = durable(rows.select("doc_id", "text_key", sketch("text").alias("s")).select("doc_id", "text_key", "s.*"))
+    firsts = sets.where("n > 0").groupBy("s1", "s2").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "point", "prefix")).alias("f")
+    )
+    classes = durable(
+        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.point", "f.prefix")
+    )
+    dealt = classes.select("rep", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
+    buckets = dealt.groupBy("token").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1"), F.count(F.lit(1)).alias("members"))
+    shared = durable(dealt.join(buckets.where("r0 < r1"), "token").select("token", "rep", "members"))
+    return rows, sets, classes, shared
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links of a Jaccard of 0.8 or more: pairs of classes, and the class of every row.
+
+    The first table has (a, b) with a < b for every two classes of equal sets that link,
+    each pair once and verified on whole sets, those inside a component as well. So its
+    rows grow with the square of a group of different near duplicates. The second has
+    doc_id, text_key, n_shingles and rep (the class; null for texts without words) of every row.
+    """
+    rows, sets, classes, shared = _dealt(docs, id_col, text_col)
+    points = classes.select("rep", "point")
+    # Each class is its own root: no pair is left out.
+    apart = durable(shared.withColumn("root", F.col("rep")))
+    pairs = _leaf_pairs(apart, points).unionByName(_tree_pairs(apart, points))
+    found = verified(durable(pairs.distinct()), classes.select("rep", "doc_id", "text_key"), rows)
+    links = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    of = classes.select("rep", F.col("s1").alias("c1"), F.col("s2").alias("c2"))
+    filled = sets.where("n > 0").join(of, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
+    members = filled.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "rep").unionByName(
+        sets.where("n = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("rep"))
+    )
+    return links, members
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3) -> DataFrame:
     """The connected component of every row of ``docs`` under a Jaccard link of 0.8 or more.
 
@@ -342,7 +383,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every bucket that still holds several components indexes its classes' group counts:
     a small bucket is one leaf, a larger one has R-trees over tiles of bounded size. All
     pairs across components whose summed coordinate minima allow a link are verified on
-    their whole sets. No link between components is lost; pairs within one are not listed.
+    their whole sets. No link between components is lost; ``near_pairs`` lists those within one.
 
     Returns doc_id, text_key (hash of the text), n_shingles, component_id (smallest id reached) and first
     (whether the row's id and text are the component's first). Null, empty and blank texts have
@@ -350,23 +391,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and text are one; a null id is the smallest reached only where there is no other. An
     empty table gives no rows. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    text = F.col(f"`{text_col}`")
     rounds = max(1, rounds)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    sketch = _sketches(spark, frequent_shingles(rows))
-    sets = durable(rows.select("doc_id", "text_key", sketch("text").alias("s")).select("doc_id", "text_key", "s.*"))
+    rows, sets, classes, shared = _dealt(docs, id_col, text_col)
     filled = sets.where("n > 0")
-    firsts = filled.groupBy("s1", "s2").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "point", "prefix")).alias("f")
-    )
-    classes = durable(
-        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.point", "f.prefix")
-    )
     thin = classes.select("rep", "doc_id", "text_key")
-    dealt = classes.select("rep", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
-    buckets = dealt.groupBy("token").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1"), F.count(F.lit(1)).alias("members"))
-    shared = durable(dealt.join(buckets.where("r0 < r1"), "token").select("token", "rep", "members"))
     points = classes.select("rep", "point")
     links, roots = None, None
     open_rows = shared.withColumn("root", F.col("rep"))
@@ -441,3 +469,13 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@extra
+def near_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, number of linked classes and class of every document; no link is left out."""
+    pairs, members = near_pairs(table(spark, sf_dir, "documents"))
+    ends = pairs.select(F.col("a").alias("end")).unionByName(pairs.select(F.col("b").alias("end")))
+    counts = ends.groupBy("end").agg(F.count(F.lit(1)).alias("n_links"))
+    linked = members.join(counts, F.col("rep") == F.col("end"), "left")
+    return linked.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("rep").alias("class_id"))

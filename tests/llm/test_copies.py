@@ -100,6 +100,30 @@ def test_hot_groups_of_copies(spark, documents):
     assert {r.component_id for r in near.near_duplicates(docs).collect()} == {0}
 
 
+@pytest.mark.parametrize("hot", [0, 150])
+def test_pairs_inside_components_are_listed(spark, documents, hot):
+    rng = random.Random(hot)
+    texts = [*corpus(5, 90), None, "", "same words", "Same WORDS"]
+    for i in range(hot):  # more classes in a bucket than a leaf holds
+        words = [f"w{k}" for k in range(120)]
+        words[rng.randrange(120)] = f"x{i}"
+        texts.append(" ".join(words))
+    pairs, members = near.near_pairs(documents(texts))
+    of = {r.doc_id: r.rep for r in members.collect()}
+    assert len(of) == len(texts)
+    sets = [shingled(t) for t in texts]
+    assert all((of[i] is None) == (not s) for i, s in enumerate(sets))
+    rep = {}
+    for i, s in enumerate(sets):
+        if s:
+            assert rep.setdefault(of[i], s) == s
+    expected = sorted(
+        (a, b) for a in rep for b in rep
+        if a < b and 100 * len(rep[a] & rep[b]) >= 80 * len(rep[a] | rep[b])
+    )
+    assert sorted((r.a, r.b) for r in pairs.collect()) == expected and expected
+
+
 def test_the_first_of_each_group(spark, documents):
     docs = documents(["a b c d e f", "A b c d e f", "other words", "other words", None, ""], ids=[4, 2, 9, 9, None, 1])
     got = near.near_duplicates(docs).collect()
