@@ -18,16 +18,10 @@ from ..session import spread
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-#: Jobs of many iterative fits, with nothing cut: too long to run beside the others each time.
+#: Jobs kept apart from the queries: none, those of published size are queries too.
 PUBLISHED: dict[str, Query] = {}
 
 
-def published(fn: Query) -> Query:
-    """Keep a job of published size apart from the queries that are run each time."""
-    PUBLISHED[fn.__name__.removesuffix("_published")] = fn
-    return fn
-
-
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with the SQL that must agree with it.
 

@@ -2,7 +2,7 @@
 
 All run with the published settings. SQL can follow naive Bayes exactly, so each composite
 is checked with it; the composite with the published learners stands beside it under the
-suffix ``_published``, and among ``PUBLISHED`` where it is many fits long. For the iterative
+suffix ``_published``. For the iterative
 learners SQL states the rows and labels, and that the fitted model passes a test of its
 optimum or fit.
 """
@@ -45,7 +45,6 @@ from .base import (
     flags_sql,
     grams_sql,
     posts,
-    published,
     query,
     table,
     texts,
@@ -366,7 +365,7 @@ def cross_validate(spark, sf_dir):
     return cv.withColumn("macro_f1", F.round("macro_f1", 6))
 
 
-@published
+@query()
 def cross_validate_published(spark, sf_dir):
     features = _features(spark, sf_dir)
     return op.cross_validate(features.train_folds(), published_candidates(), SETTINGS.folds)
@@ -397,7 +396,7 @@ def fit_final_and_score(spark, sf_dir):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
-@published
+@query()
 def fit_final_and_score_published(spark, sf_dir):
     return train_and_evaluate(_features(spark, sf_dir))["report"]
 
@@ -435,7 +434,7 @@ def feature_ablation_(spark, sf_dir):
     )
 
 
-@published
+@query()
 def feature_ablation_published(spark, sf_dir):
     return feature_ablation(_features(spark, sf_dir))
 
@@ -467,7 +466,7 @@ def echo_robustness_(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
-@published
+@query()
 def echo_robustness_published(spark, sf_dir):
     return echo_robustness(texts(spark, sf_dir), "doc_id", "text", "lang", ECHOES, SETTINGS)
 
@@ -604,7 +603,7 @@ def skill_cv_(spark, sf_dir):
     return pred.select("flag", "id", "y", F.col("p").isin(0, 1).alias("predicted"))
 
 
-@published
+@query()
 def skill_cv_published(spark, sf_dir):
     titled = _titled(spark, sf_dir)
     return skill_cv(titled, "doc_id", "job_title", "lang", _eligible(titled))

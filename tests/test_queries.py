@@ -57,5 +57,10 @@ def test_long_jobs_stand_apart():
     assert not any(fn in QUERIES.values() for fn in PUBLISHED.values())
 
 
+@pytest.mark.parametrize("job", ["cross_validate", "fit_final_and_score", "feature_ablation", "echo_robustness", "skill_cv"])
+def test_published_jobs_are_queries(job):
+    assert f"{job}_published" in QUERIES
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
