@@ -86,15 +86,15 @@ def chi2_quantile(share: float, p: int) -> float:
     return p * (1 - 2 / (9 * p) + z * sqrt(2 / (9 * p))) ** 3
 
 
-def _distance(xs: list[str]) -> Column:
+def _distance(xs: list[str], fit: str = "") -> Column:
     """Squared distance of a row's ``xs`` from its cell's centre under the cell's inverse covariance."""
     p = len(xs)
-    away = [F.col(x) - F.get("centre", F.lit(i)) for i, x in enumerate(xs)]
+    away = [F.col(x) - F.get(f"{fit}centre", F.lit(i)) for i, x in enumerate(xs)]
     total = F.lit(0.0)
     for i in range(p):
         row = F.lit(0.0)
         for j in range(p):
-            row = row + F.get("inverse", F.lit(i * p + j)) * away[j]
+            row = row + F.get(f"{fit}inverse", F.lit(i * p + j)) * away[j]
         total = total + away[i] * row
     return total
 
@@ -194,6 +194,7 @@ def reject_outliers(
     least: int = 120,
     tail: float = 1e-9,
     slack: float = 3.0,
+    cores: tuple[float, ...] = (0.75, 0.5),
 ) -> DataFrame:
     """Counts of every whole text, whether the plain rules fail it, and whether it is kept.
 
@@ -201,6 +202,8 @@ def reject_outliers(
     cell with estimates of its own; the rows of smaller ones share their language's cell,
     or else that of the table. Equal vectors count once in the estimates, so copies of a
     text can't set them, however many; all rows are judged.
+    Cells are fitted with each of ``cores``, and the greater distance counts: half of the rows
+    stand against up to nearly half of alike outliers, three quarters against a tight group of fewer.
     Base-failed rows take no part in the estimates. A row is rejected if its squared robust
     distance is over ``slack`` times the chi-squared quantile of ``1 - tail``: the
     statistics are only roughly normal, and clean documents are to stay.
@@ -253,8 +256,13 @@ def reject_outliers(
     own = vectors.join(cells.where(F.col("cell").startswith('{"level":2')), of_cell).select("cell", *xs)
     fitted = own.unionByName(whole.join(wide, "cell", "left_semi"))
     big = fitted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("cell")
-    fits = robust_distances(durable(fitted.join(durable(big), "cell", "left_semi")), xs)
-    distance = _distance(xs) / F.greatest(F.col("scale"), F.lit(1e-12))
+    fitted = durable(fitted.join(durable(big), "cell", "left_semi"))
+    fits, distances = None, []
+    for i, core in enumerate(cores):
+        fit = robust_distances(fitted, xs, core).select("cell", F.struct("centre", "inverse", "scale").alias(f"f{i}"))
+        fits = fit if fits is None else fits.join(fit, "cell")
+        distances.append(_distance(xs, f"f{i}.") / F.greatest(F.col(f"f{i}.scale"), F.lit(1e-12)))
+    distance = F.greatest(*distances) if len(distances) > 1 else distances[0]
     cut = slack * chi2_quantile(1 - tail, len(xs))
     kept = celled.join(fits, "cell", "left").select("doc_id", *COUNTS, distance.alias("distance"))
     out = kept.select("doc_id", *COUNTS, F.lit(False).alias("base_failed"), "distance")

@@ -232,6 +232,17 @@ def test_copies_do_not_set_the_estimates(spark, documents, share):
     assert not any(got[i] for i in range(n, len(got)))
 
 
+@pytest.mark.parametrize("junk", [0.3, 0.45])
+def test_many_alike_outliers_are_rejected(spark, documents, junk):
+    rng = random.Random(10)
+    n = round(300 * (1 - junk))
+    bad = ["\n".join("!!! " + t.upper() + " !!!" for t in text.split()) for text in varied(rng, 300 - n)]
+    got = {r.doc_id: r for r in reject_outliers(documents([*varied(rng, n), *bad])).collect()}
+    assert not any(r.base_failed and i < n for i, r in got.items())
+    assert all(got[i].kept for i in range(n))
+    assert not any(got[i].kept for i in range(n, 300))
+
+
 def test_quality_of_held_out_documents(spark, documents):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
