@@ -127,6 +127,8 @@ _ADDRESS = re.compile(
     rf"|(?:@(?P<c>{_LABEL}(?:\.{_LABEL}){{0,6}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}}){_LABEL}){{1,6}}))"
 )
 _DOTS = re.compile(rf"{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}")
+#: The last disguised dot of a local part, between pieces of it.
+_LOCAL_DOT = re.compile(rf"(?<=[a-z0-9])({_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}}|_dot_)[a-z0-9%+.-]{{1,63}}\Z")
 #: A bare at before a plain domain counts only after a local part with a dot, a digit or the like.
 _SOFT_AT = [
     (word, re.compile(rf"{word}\s{{1,3}}(?={_LABEL}(?:\.{_LABEL}){{1,6}})")) for word in ("at", "arobase", "arroba", "klammeraffe", "@")
@@ -165,13 +167,53 @@ def _lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
 
 
-def transduce(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
-    """The normalised text and the pieces that changed: (start, end) there and (start, end) here."""
+Piece = tuple[int, int, int, int]
+
+
+def _source(at: int, end: bool, changed: list[Piece], starts: list[int]) -> int:
+    """Source offset of a normalised one; an edge inside a changed piece takes the whole piece."""
+    i = bisect_right(starts, at - 1 if end else at) - 1
+    if i < 0:
+        return at
+    t0, t1, s0, s1 = changed[i]
+    if end:
+        return s1 if at <= t1 else s1 + at - t1
+    return s0 if at < t1 else s1 + at - t1
+
+
+def _composed(first: list[Piece], second: list[Piece]) -> list[Piece]:
+    """The pieces of both steps, from the second's text to the first's source; a piece of the first within one of the second goes into it."""
+    if not first or not second:
+        return second or first
+    starts, out, i, shift = [c[0] for c in first], [], 0, 0
+    for t0, t1, m0, m1 in second:
+        while i < len(first) and first[i][1] <= m0:
+            a, b, s0, s1 = first[i]
+            out.append((a + shift, b + shift, s0, s1))
+            i += 1
+        while i < len(first) and first[i][0] < m1:
+            i += 1
+        out.append((t0, t1, _source(m0, False, first, starts), _source(m1, True, first, starts)))
+        shift = t1 - m1
+    return out + [(a + shift, b + shift, s0, s1) for a, b, s0, s1 in first[i:]]
+
+
+def transduce(text: str) -> tuple[str, list[Piece]]:
+    """The normalised text and the pieces that changed: (start, end) there and (start, end) here.
+
+    Characters are normalised first, words and signs in what that gives.
+    """
+    changed: list[Piece] = []
+    if _has_odd(text):
+        text, changed = _rewritten(text, [(m.start(), m.end(), _PLAIN[m[0]]) for m in _ODD.finditer(text)])
+    normal, more = _rewritten(text, _disguises(text))
+    return normal, _composed(changed, more)
+
+
+def _disguises(text: str) -> list[tuple[int, int, str]]:
+    """Spelled and lettered digits and disguised at and dot signs: start, end and what they stand for."""
     pieces: list[tuple[int, int, str]] = []
     low = _lowered(text)
-    if _has_odd(text):
-        pieces += [(m.start(), m.end(), _PLAIN[m[0]]) for m in _ODD.finditer(text)]
-        low = low.translate({ord(k): v for k, v in _PLAIN.items() if len(v) == 1})
     for m in _NUMBER.finditer(low) if _spells(low) else ():
         if m.start() and low[m.start() - 1].isalnum() or not _SPELLED.search(m[0]):
             continue
@@ -191,6 +233,12 @@ def transduce(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
             domain = m.lastgroup
             if domain != "c":
                 pieces.append((m.start(), m.start(domain), "@"))
+            # The local part before it, dot by dot.
+            at = m.start()
+            while local := _LOCAL_DOT.search(low[max(0, at - 80) : at]):
+                lo = max(0, at - 80)
+                pieces.append((lo + local.start(1), lo + local.end(1), "."))
+                at = lo + local.start(1)
             pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(domain), m.end(domain))]
     for m in _IP_DOTS.finditer(low) if dots else ():
         pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(), m.end())]
@@ -200,6 +248,11 @@ def transduce(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
             head = before.rstrip()
             if 0 < len(before) - len(head) < 4 and _ADDRESS_LIKE.search(head.split(" ")[-1]):
                 pieces.append((m.start() - len(before) + len(head), m.end(), "@"))
+    return pieces
+
+
+def _rewritten(text: str, pieces: list[tuple[int, int, str]]) -> tuple[str, list[Piece]]:
+    """``text`` with its pieces replaced, the first of those that overlap, and the pieces that changed."""
     if not pieces:
         return text, []
     out, changed, here, there = [], [], 0, 0
@@ -223,21 +276,11 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
         return plain, []
     starts, added, known = [c[0] for c in changed], [], set(plain)
 
-    def back(at: int, end: bool) -> int:
-        """Source offset of a normalised one; an edge inside a changed piece takes the whole piece."""
-        i = bisect_right(starts, at - 1 if end else at) - 1
-        if i < 0:
-            return at
-        t0, t1, s0, s1 = changed[i]
-        if end:
-            return s1 if at <= t1 else s1 + at - t1
-        return s0 if at < t1 else s1 + at - t1
-
     for start, kind, end in plain_spans(normal):
         lo = bisect_right(starts, start)
         if not (lo < len(starts) and starts[lo] < end or lo and changed[lo - 1][1] > start):
             continue  # nothing in it was disguised
-        span = (back(start, False), kind, back(end, True))
+        span = (_source(start, False, changed, starts), kind, _source(end, True, changed, starts))
         if span not in known:
             added.append(span)
     return plain, added

@@ -78,6 +78,21 @@ def test_disguises_map_back_to_their_characters(text, kind, source):
     assert (text.index(source), kind, text.index(source) + len(source)) in added
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("mail: john dot doe at example dot com, please", "email", "john dot doe at example dot com"),
+        ("mail: john[dot]doe[at]example[dot]com, please", "email", "john[dot]doe[at]example[dot]com"),
+        ("mail: john [dot] q [dot] doe (at) example.org now", "email", "john [dot] q [dot] doe (at) example.org"),
+        ("mail: john a\u200bt example do\u200bt com please", "email", "john a\u200bt example do\u200bt com"),
+        ("ip \u043ene nine two dot one six eight dot zero dot one.", "ip", "\u043ene nine two dot one six eight dot zero dot one"),
+    ],
+)
+def test_disguises_compose(text, kind, source):
+    _, added = all_spans(text)
+    assert (text.index(source), kind, text.index(source) + len(source)) in added
+
+
 @pytest.mark.parametrize(
     "text",
     ["", "meet me at noon", "look at example.com", "one two things at a point", "the dot and the at sign", "a (at) b", "Привет, мир", "x = a[at] + b", "café — naïve ½ price"],
