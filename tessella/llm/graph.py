@@ -13,7 +13,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014): neighbours are
     hooked to the smallest node around until every component is a star. The edges never
     grow in number; each step is stored, which cuts the lineage. Loops and repeated edges
-    do no harm.
+    do no harm. Where ``rounds`` are not enough, it raises.
     """
     edges = durable(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -31,5 +31,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -153,6 +153,12 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_have_not_settled_raise(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="settled"):
+        components(path, rounds=1)
+
+
 def deduped(rows):
     """Lines kept of each (doc_id, text) when windows are seen one by one."""
     seen, out = set(), []
