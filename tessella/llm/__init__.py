@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, html, lines, mixing, near, pii, quality, rules, sharding, urls
+from . import decontaminate, html, infill, lines, mixing, near, pii, quality, rules, sharding, urls
 from .registry import EXTRA, ORACLES, QUERIES
 
 # Functions go to the executors whole, so this package need not be installed there.
@@ -16,6 +16,7 @@ __all__ = [
     "QUERIES",
     "decontaminate",
     "html",
+    "infill",
     "lines",
     "mixing",
     "near",
