@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, html, infill, lines, mixing, near, pii, quality, rules, sharding, urls, vectors
+from . import decontaminate, html, infill, lines, mixing, near, negatives, pii, quality, rules, sharding, urls, vectors
 from .registry import EXTRA, ORACLES, QUERIES
 
 # Functions go to the executors whole, so this package need not be installed there.
@@ -20,6 +20,7 @@ __all__ = [
     "lines",
     "mixing",
     "near",
+    "negatives",
     "pii",
     "quality",
     "rules",
