@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import durable
-from .graph import components
+from .graph import components, hooked
 from .registry import extra, partitions, query, table
 from .words import shingles, texts_of, windows, word_hashes
 
@@ -259,7 +259,7 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, small: int =
     texts = durable(rows.alias("r").join(needed.alias("k"), same).select("rep", "text").dropDuplicates(["rep"]))
     degree = lambda c: degrees.select(F.col("rep").alias(c), F.col("degree").alias(f"d{c}"))
     swap = F.col("da") > F.col("db")
-    turned = pairs.join(degree("a"), "a").join(degree("b"), "b").select(
+    turned = pairs.join(degree("a").hint("merge"), "a").join(degree("b").hint("merge"), "b").select(
         F.when(swap, F.col("a")).otherwise(F.col("b")).alias("hub"),
         F.when(swap, F.col("b")).otherwise(F.col("a")).alias("partner"),
         F.ceil(F.greatest("da", "db") / salted).alias("parts"),
@@ -275,10 +275,14 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, small: int =
 def _leaf_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF) -> DataFrame:
     """Pairs across components in buckets of up to ``leaf`` classes, each looked at once, that the bound lets pass."""
     small = members.where(F.col("members") <= leaf)
-    a = small.select("token", F.col("rep").alias("a"), F.col("root").alias("root_a"))
-    b = small.select("token", F.col("rep").alias("b"), F.col("root").alias("root_b"))
-    pairs = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
-    return bounded(pairs.select("a", "b").distinct(), points)
+    a, b = (
+        small.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "n", "place")]).hint("merge") for side in "ab"
+    )
+    # The first token that two sets share has all the others behind it, in either set.
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    fits = (OVERLAP * left >= SIZES * (F.col("n_a") + F.col("n_b"))) & (F.col("rep_a") < F.col("rep_b"))
+    pairs = a.join(b, (a.token == b.token) & fits & (F.col("root_a") != F.col("root_b")))
+    return bounded(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), points)
 
 
 def _tree_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF, side: int = 512) -> DataFrame:
@@ -287,7 +291,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, leaf: int = LEAF, side: i
     A class knows its larger buckets, at most as many as its first shingles, so a pair is
     listed once and not again for each bucket that both are in.
     """
-    large = members.where(F.col("members") > leaf)
+    large = members.where(F.col("members") > leaf).drop("n", "place")
     numbers = durable(large.select("token").distinct().withColumn("bucket", F.monotonically_increasing_id()))
     large = durable(large.join(numbers, "token").drop("token"))
     own = large.groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
@@ -315,7 +319,7 @@ def _mixed(members: DataFrame) -> DataFrame:
     """The rows of buckets that hold several components; dealt by token once."""
     dealt = members.repartition(partitions(members), "token")
     ends = dealt.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
-    return dealt.join(ends.select("token"), "token")
+    return dealt.join(ends.select("token").hint("merge"), "token")
 
 
 def _stars(members: DataFrame, number: int) -> DataFrame:
@@ -325,8 +329,10 @@ def _stars(members: DataFrame, number: int) -> DataFrame:
     """
     dealt = members.withColumn("h", F.xxhash64("rep", F.lit(number))).repartition(partitions(members), "token")
     lowest = dealt.groupBy("token").agg(F.min("h").alias("lowest"))
-    heads = dealt.join(lowest, "token").where("h = lowest").select("token", F.col("rep").alias("b"), F.col("root").alias("root_b"))
-    votes = dealt.join(heads, "token").where("root <> root_b").groupBy("rep", "b").agg(F.count(F.lit(1)).alias("votes"))
+    heads = dealt.join(lowest.hint("merge"), "token").where("h = lowest")
+    heads = heads.select("token", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    alike = "root <> root_b AND 5 * n >= 4 * n_b AND 5 * n_b >= 4 * n"
+    votes = dealt.join(heads.hint("merge"), "token").where(alike).groupBy("rep", "b").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("rep").agg(F.max(F.struct("votes", "b")).alias("best"))
     return best.select(F.col("rep").alias("a"), F.col("best.b").alias("b"))
 
@@ -338,14 +344,15 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     sketch = _sketches(docs.sparkSession, frequent_shingles(rows))
     sets = durable(rows.select("doc_id", "text_key", sketch("text").alias("s")).select("doc_id", "text_key", "s.*"))
     firsts = sets.where("n > 0").groupBy("s1", "s2").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "point", "prefix")).alias("f")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n", "point", "prefix")).alias("f")
     )
     classes = durable(
-        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.point", "f.prefix")
+        firsts.select(F.monotonically_increasing_id().alias("rep"), "s1", "s2", "f.doc_id", "f.text_key", "f.n", "f.point", "f.prefix")
     )
-    dealt = classes.select("rep", F.explode("prefix").alias("token")).repartition(partitions(docs), "token")
+    dealt = classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")).repartition(partitions(docs), "token")
     buckets = dealt.groupBy("token").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1"), F.count(F.lit(1)).alias("members"))
-    shared = durable(dealt.join(buckets.where("r0 < r1"), "token").select("token", "rep", "members"))
+    several = buckets.where("r0 < r1").select("token", "members").hint("merge")
+    shared = durable(dealt.join(several, "token").select("token", "rep", "members", "n", "place"))
     return rows, sets, classes, shared
 
 
@@ -379,7 +386,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class at once. Two classes that link share one of their rarest shingles, a fifth of
     each set and one more, in an order where frequent shingles come last: these deal the
     classes into buckets. In ``rounds`` rounds each class is compared with one head of its
-    buckets; classes so joined need no more comparing with each other. Then
+    buckets; classes that so come under one root need no more comparing with each other. Then
     every bucket that still holds several components indexes its classes' group counts:
     a small bucket is one leaf, a larger one has R-trees over tiles of bounded size. All
     pairs across components whose summed coordinate minima allow a link are verified on
@@ -401,28 +408,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for number in range(rounds):
         found = verified(durable(bounded(_stars(open_rows, number), points)), thin, rows)
         links = found if links is None else links.unionByName(found)
-        roots = durable(components(links))
+        roots = durable(hooked(links))
         rooted = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
-            "token", "rep", F.coalesce("root", "rep").alias("root"), "members"
+            "token", "rep", F.coalesce("root", "rep").alias("root"), "members", "n", "place"
         )
         open_rows = durable(_mixed(rooted))
     pairs = _leaf_pairs(open_rows, points).unionByName(_tree_pairs(open_rows, points))
     more = verified(durable(pairs.distinct()), thin, rows)
-    # Links between components, on their roots: the stars are links already.
-    root_of = lambda c: F.coalesce(F.col(f"{c}.root"), F.col(f"p.{c}"))
-    between = (
-        more.alias("p")
-        .join(roots.select("node", "root").alias("a"), F.col("p.a") == F.col("a.node"), "left")
-        .join(roots.select("node", "root").alias("b"), F.col("p.b") == F.col("b.node"), "left")
-        .select(root_of("a").alias("a"), root_of("b").alias("b"))
-    )
-    merged = durable(components(between)).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    roots = durable(components(links.unionByName(more)))
     rooted_classes = (
         classes.select("rep", "s1", "s2", "doc_id", "text_key")
         .join(roots, F.col("rep") == F.col("node"), "left")
-        .withColumn("r", F.coalesce("root", "rep"))
-        .join(merged, F.col("r") == F.col("old"), "left")
-        .select("s1", "s2", "doc_id", "text_key", F.coalesce("new", "r").alias("root"))
+        .select("s1", "s2", "doc_id", "text_key", F.coalesce("root", "rep").alias("root"))
     )
     rooted_classes = durable(rooted_classes)
     lead = rooted_classes.groupBy("root").agg(
