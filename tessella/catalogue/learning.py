@@ -321,7 +321,7 @@ def _gradient_size(model, rows, c: float = 1.0) -> float:
             for i, x in enumerate(xs)
         ],
     ).first()
-    weights = model.coefficientMatrix.toArray()
+    weights = model.weights
     largest = 0.0
     for i in range(k):
         pull = (

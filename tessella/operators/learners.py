@@ -3,33 +3,23 @@
 from __future__ import annotations
 
 import functools
-import math
+from collections import defaultdict
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple, Protocol
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    LinearSVC,
-    LinearSVCModel,
-    LogisticRegression,
-    NaiveBayes,
-    RandomForestClassifier,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from .evaluation import per_class_scores
+from .linear import LOGISTIC, SOFTMAX, SQUARED_HINGE, Fit, LinearModel, balanced, solve, store_rows
 from .splits import class_counts, class_weights
 
 
-# An iterative fit runs a short job per step; fewer rows than this are not worth a task
-# while a table is so small that it leaves cores idle anyway.
-ROWS_PER_TASK = 20_000
-
-
 class Classifier(Protocol):
     """Anything that adds ``prediction`` and a score vector per row."""
 
@@ -42,12 +32,6 @@ def in_threads(spark, task: Callable, items: Sequence, threads: int) -> list:
         return pool.map(inheritable_thread_target(spark)(task), items)
 
 
-def _packed(df: DataFrame, n_rows: int) -> DataFrame:
-    """Merge the partitions of a small table; one that fills the session's cores keeps all it has."""
-    tasks = math.ceil(n_rows / ROWS_PER_TASK)
-    return df if tasks >= df.sparkSession.sparkContext.defaultParallelism else df.coalesce(max(1, tasks))
-
-
 def fit_naive_bayes(df: DataFrame, features: str = "features", label: str = "label") -> Model:
     """Multinomial naive Bayes; the features must not be negative."""
     return NaiveBayes(
@@ -55,94 +39,76 @@ def fit_naive_bayes(df: DataFrame, features: str = "features", label: str = "lab
     ).fit(df)
 
 
-def fit_logreg(
+def _counts_without(df: DataFrame, label: str, folds: Sequence[int | None]) -> dict[int | None, dict[int, int]]:
+    """Rows per class that are not in each fold."""
+    by = [label] if list(folds) == [None] else [label, "fold"]
+    class_counts(df, label)  # refuses null and too many classes
+    rows = df.groupBy(*by).agg(F.count("*").alias("n")).collect()
+    found = {fold: defaultdict(int) for fold in folds}
+    for r in rows:
+        for fold in folds:
+            found[fold][int(r[label])] += r.n if fold is None or r.fold != fold else 0
+    return {fold: dict(sorted(counts.items())) for fold, counts in found.items()}
+
+
+def fit_logreg_folds(
     df: DataFrame,
+    folds: Sequence[int | None],
     features: str = "features",
     label: str = "label",
     c: float = 1.0,
     max_iter: int = 2000,
     family: str = "multinomial",
-    tol: float = 1e-6,
-) -> Model:
-    """Class-balanced logistic regression; ``c`` is the inverse penalty of the summed loss."""
-    counts = class_counts(df, label)
-    n = sum(counts.values())
-    return LogisticRegression(
-        family=family,
-        regParam=1.0 / (c * n),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=tol,
-        featuresCol=features,
-        labelCol=label,
-        weightCol="weight",
-    ).fit(_packed(df, n).withColumn("weight", class_weights(counts, label)))
+    tol: float = 1e-5,
+) -> list[LinearModel]:
+    """`fit_logreg` without each of the folds of the ``fold`` column (None: on all rows), in one batch."""
+    counts = _counts_without(df, label, folds)
+    rows = store_rows(df, features, [label], None if list(folds) == [None] else "fold")
+    kind = SOFTMAX if family == "multinomial" else LOGISTIC
+    classes = tuple(range(rows.n_codes)) if kind == SOFTMAX else (1,)
+    fits = [Fit(0, fold, balanced(counts[fold]), classes) for fold in folds]
+    found = solve(rows, kind, fits, c, 0.0, tol, max_iter)
+    return [LinearModel(kind, s.weights.T, s.intercepts, features) for s in found]
 
 
-@dataclass(frozen=True)
-class OneVsRestSvm:
-    """One linear SVM per class; the class with the largest margin is predicted.
+def fit_logreg(df: DataFrame, **settings) -> LinearModel:
+    """Class-balanced logistic regression; ``c`` is the inverse penalty of the summed loss, the intercept is free."""
+    return fit_logreg_folds(df, [None], **settings)[0]
 
-    Spark's own one-vs-rest model scores through Python UDFs; this one stays in the JVM.
-    """
-
-    models: list[LinearSVCModel]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        kept = df.columns
-        margins = []
-        for i, model in enumerate(self.models):
-            raw = f"_raw_{i}"
-            scorer = model.copy().setRawPredictionCol(raw).setPredictionCol(f"_hit_{i}")
-            df = scorer.transform(df)
-            margins.append(F.get(vector_to_array(raw), F.lit(1)))
-        scored = df.withColumn("_margins", F.array(*margins))
-        best = F.array_position("_margins", F.array_max("_margins")) - 1
-        return scored.select(
-            *kept,
-            array_to_vector("_margins").alias("rawPrediction"),
-            best.cast("double").alias("prediction"),
-        )
 
-
-def fit_linear_svm(
+def fit_linear_svm_folds(
     df: DataFrame,
+    folds: Sequence[int | None],
     features: str = "features",
     label: str = "label",
     c: float = 0.5,
     max_iter: int = 5000,
-    tol: float = 1e-4,
-    threads: int = 4,
-) -> OneVsRestSvm:
-    """Class-balanced one-vs-rest linear SVM on hinge loss.
-
-    ``max_iter`` and ``tol`` are the published limits. In each binary problem the class has its balancing weight and the rest weighs 1.
+    tol: float = 1e-5,
+) -> list[LinearModel]:
+    """`fit_linear_svm` without each of the folds (None: on all rows): all classes and folds in one batch."""
+    counts = _counts_without(df, label, folds)
+    rows = store_rows(df, features, [label], None if list(folds) == [None] else "fold")
+    codes = range(rows.n_codes)
+    fits = [
+        Fit(0, fold, {k: balanced(counts[fold]).get(code, 1.0) if k == code else 1.0 for k in codes}, (code,))
+        for fold in folds
+        for code in codes
+    ]
+    found = solve(rows, SQUARED_HINGE, fits, c, 1.0, tol, max_iter)
+    models = []
+    for i in range(len(folds)):
+        own = found[i * rows.n_codes : (i + 1) * rows.n_codes]
+        weights, intercepts = np.stack([s.weights[:, 0] for s in own]), np.array([s.intercepts[0] for s in own])
+        models.append(LinearModel(SQUARED_HINGE, weights, intercepts, features))
+    return models
+
+
+def fit_linear_svm(df: DataFrame, **settings) -> LinearModel:
+    """Class-balanced one-vs-rest linear SVM on squared hinge loss, with a penalised intercept.
+
+    In each binary problem the class has its balancing weight and the rest weighs 1.
     """
-    counts = class_counts(df, label)
-    n, k = sum(counts.values()), len(counts)
-
-    def fit_one(code: float) -> LinearSVCModel:
-        positive = F.col(label) == code
-        weight = n / (k * counts[code])
-        total = weight * counts[code] + n - counts[code]
-        return LinearSVC(
-            regParam=1.0 / (c * total),
-            standardization=False,
-            maxIter=max_iter,
-            tol=tol,
-            featuresCol=features,
-            labelCol="_is",
-            weightCol="weight",
-        ).fit(
-            _packed(df, n).select(
-                features,
-                positive.cast("double").alias("_is"),
-                F.when(positive, weight).otherwise(1.0).alias("weight"),
-            )
-        )
-
-    return OneVsRestSvm(in_threads(df.sparkSession, fit_one, list(counts), threads))
+    return fit_linear_svm_folds(df, [None], **settings)[0]
 
 
 def fit_random_forest(
@@ -166,10 +132,14 @@ def fit_random_forest(
 
 
 class Candidate(NamedTuple):
-    """A named way to fit a model on a table; tables are fitted in the order listed."""
+    """A named way to fit a model on a table; tables are fitted in the order listed.
+
+    ``fit_folds(df, folds)`` fits without each fold at once, where the learner can.
+    """
 
     name: str
     fit: Callable[[DataFrame], Classifier]
+    fit_folds: Callable[[DataFrame, Sequence[int]], Sequence[Classifier]] | None = None
 
 
 def cross_validate(
@@ -181,14 +151,15 @@ def cross_validate(
 ) -> DataFrame:
     """``(candidate, position, fold, macro_f1)`` over the ``fold`` column.
 
-    Each fit is a distributed job over the stored features; the held-out counts of all
-    fits are scored together.
+    Each fit is a distributed job over the stored features, or one for all folds of a
+    learner with ``fit_folds``; the held-out counts of all fits are scored together.
     """
+    batched = {i: c.fit_folds(df, range(k)) for i, c in enumerate(candidates) if c.fit_folds}
 
     def held_out_counts(run: tuple[int, int]) -> DataFrame:
         position, fold = run
         candidate = candidates[position]
-        model = candidate.fit(df.where(F.col("fold") != fold))
+        model = batched[position][fold] if position in batched else candidate.fit(df.where(F.col("fold") != fold))
         pred = model.transform(df.where(F.col("fold") == fold))
         counts = pred.groupBy(F.col(label).alias("y"), F.col("prediction").alias("p"))
         return counts.agg(F.count("*").alias("n")).select(

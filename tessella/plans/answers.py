@@ -7,14 +7,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import classification
-from pyspark.ml.classification import LinearSVCModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import KeywordRule
 from ..operators.analytics import skill_frequencies
 from ..operators.features import flag_names, own_flags, tag_flags
 from ..operators.labelling import route_query
-from ..operators.learners import Classifier, OneVsRestSvm, classify_ranked, fit_linear_svm
+from ..operators.learners import Classifier, classify_ranked, fit_linear_svm
+from ..operators.linear import LinearModel
 from ..operators.retrieval import (
     Index,
     answer_top_skills,
@@ -86,7 +86,6 @@ class RoleModel:
             "means": f.scaler.means,
             "deviations": f.scaler.deviations,
             "sublinear": f.tfidf.sublinear,
-            "svms": len(self.learner.models) if isinstance(self.learner, OneVsRestSvm) else 0,
             "learner": type(self.learner).__name__,
         }
         spark.createDataFrame([(json.dumps(facts),)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
@@ -98,9 +97,10 @@ class RoleModel:
                 "term string, code int, idf double",
             )
         terms.write.mode("overwrite").parquet(f"{path}/terms")
-        models = self.learner.models if isinstance(self.learner, OneVsRestSvm) else [self.learner]
-        for i, model in enumerate(models):
-            model.write().overwrite().save(f"{path}/learner/{i}")
+        if isinstance(self.learner, LinearModel):
+            self.learner.save(spark, f"{path}/learner")
+        else:
+            self.learner.write().overwrite().save(f"{path}/learner")
 
 
 def load_role_model(spark: SparkSession, path: str) -> RoleModel:
@@ -116,10 +116,10 @@ def load_role_model(spark: SparkSession, path: str) -> RoleModel:
         tfidf = TfidfModel([r.term for r in rows], [r.idf for r in rows], facts["sublinear"])
     scaler = StandardiseModel(facts["means"], facts["deviations"])
     features = Features(spark.range(0).toDF("id"), facts["labels"], tfidf, scaler, settings)
-    if facts["svms"]:
-        learner = OneVsRestSvm([LinearSVCModel.load(f"{path}/learner/{i}") for i in range(facts["svms"])])
+    if facts["learner"] == LinearModel.__name__:
+        learner = LinearModel.load(spark, f"{path}/learner")
     else:
-        learner = getattr(classification, facts["learner"]).load(f"{path}/learner/0")
+        learner = getattr(classification, facts["learner"]).load(f"{path}/learner")
     return RoleModel(features, learner)
 
 

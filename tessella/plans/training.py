@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,6 +19,7 @@ from ..operators.features import (
     strip_label_echo,
 )
 from ..operators.interpretation import top_signals_per_class, top_terms_per_class
+from ..operators.linear import LOGISTIC, Fit, LinearModel, balanced, solve, store_rows
 from ..operators.learners import (
     Candidate,
     Classifier,
@@ -25,7 +27,9 @@ from ..operators.learners import (
     cross_validate,
     fit_final_and_score,
     fit_linear_svm,
+    fit_linear_svm_folds,
     fit_logreg,
+    fit_logreg_folds,
     fit_naive_bayes,
     fit_random_forest,
     score_column,
@@ -167,8 +171,12 @@ def published_candidates(
     limit = {} if max_iter is None else {"max_iter": max_iter}
     return [
         Candidate("MultinomialNB", functools.partial(fit_naive_bayes, features="tfidf")),
-        Candidate("LogisticRegression", functools.partial(fit_logreg, **limit)),
-        Candidate("LinearSVM", functools.partial(fit_linear_svm, **limit)),
+        Candidate(
+            "LogisticRegression", functools.partial(fit_logreg, **limit), functools.partial(fit_logreg_folds, **limit)
+        ),
+        Candidate(
+            "LinearSVM", functools.partial(fit_linear_svm, **limit), functools.partial(fit_linear_svm_folds, **limit)
+        ),
         Candidate("RandomForest", functools.partial(fit_random_forest, trees=trees, depth=depth)),
     ]
 
@@ -252,13 +260,18 @@ def train_and_evaluate(
     }
 
 
+#: The batched form of each learner that has one.
+_FOLDED = {fit_linear_svm: fit_linear_svm_folds, fit_logreg: fit_logreg_folds}
+
+
 def feature_ablation(features: Features, fit: Callable[..., Classifier] = fit_linear_svm) -> DataFrame:
     """``(features, mean, std, delta)``: a learner on text only and on text plus engineered.
 
     ``delta`` is the gain over text only.
     """
+    folded = _FOLDED.get(fit)
     runs = [
-        Candidate(name, functools.partial(fit, features=column))
+        Candidate(name, functools.partial(fit, features=column), folded and functools.partial(folded, features=column))
         for name, column in [("tfidf_only", "tfidf"), ("combined", "features")]
     ]
     cv = durable(cross_validate(features.train_folds(), runs, features.settings.folds))
@@ -290,7 +303,7 @@ def engineered_only(
     scaled = standardise(table, settings.engineered).transform(table)
     vectors = assemble(scaled, settings.engineered).select("id", "label", "features")
     folded = durable(stratified_folds(vectors, "label", "id", settings.folds, settings.seed))
-    cv = cross_validate(folded, [Candidate("LogisticRegression", fit)], settings.folds)
+    cv = cross_validate(folded, [Candidate("LogisticRegression", fit, _FOLDED.get(fit))], settings.folds)
     return {
         "cv": cv,
         "top_signals": top_signals_per_class(
@@ -320,7 +333,7 @@ def echo_robustness(
     summaries = []
     for name, column in [("original", text_col), ("stripped", "_stripped")]:
         features = build_features(stripped, id_col, column, label_col, settings)
-        cv = cross_validate(features.train_folds(), [Candidate(name, fit)], settings.folds)
+        cv = cross_validate(features.train_folds(), [Candidate(name, fit, _FOLDED.get(fit))], settings.folds)
         summaries.append(ev.cv_summary(cv).select(F.col("candidate").alias("text"), "mean", "std"))
     changed = echo_change_count(stripped, text_col, "_stripped").first()
     return summaries[0].unionByName(summaries[1]).withColumns(
@@ -344,8 +357,9 @@ def skill_cv(
     """``(flag, id, y, p)``: every row predicted from its title by a model not fitted on it.
 
     Per fold the title vocabulary is fitted on the other rows and the features are
-    stored once; then one balanced logistic regression per flag. Without a ``size`` the
-    vocabulary may have any number of words: it stays a table.
+    stored once; then one balanced logistic regression for each flag, all of them in one
+    batch that shares every pass over the rows. Without a ``size`` the vocabulary may
+    have any number of words: it stays a table, of which a fit holds a weight per word.
     """
     values = list(class_counts(df.where(F.col(category).isNotNull()), category))
     hot = {f"_is_{v}": f"_hot_{i}" for i, v in enumerate(values)}
@@ -369,24 +383,31 @@ def skill_cv(
         hot_vectors = assemble(table, ["tfidf", *hot.values()])
         return hot_vectors.select("id", "fold", "features", *flags)
 
-    spark = df.sparkSession
-    tables = in_threads(spark, features_of, range(k), threads)
-
-    def predictions_of(run: tuple[str, int]) -> DataFrame:
-        flag, j = run
-        labelled = tables[j].withColumn("label", F.col(flag).cast("double"))
-        model = fit_logreg(
-            labelled.where(F.col("fold") != j), max_iter=max_iter, family="binomial", tol=1e-4
-        )
-        return model.transform(labelled.where(F.col("fold") == j)).select(
-            F.lit(flag).alias("flag"),
-            "id",
-            F.col("label").cast("int").alias("y"),
-            F.col("prediction").cast("int").alias("p"),
+    def predictions_of(j: int) -> DataFrame:
+        """All flags of a fold, fitted together; a flag that has one class only predicts that class."""
+        table = features_of(j)
+        counts = table.where(F.col("fold") != j).agg(F.count("*"), *[F.sum(f) for f in flags]).first()
+        sides = [{0: counts[0] - ones, 1: ones} for ones in counts[1:]]
+        stored = store_rows(table, "features", flags, "fold")
+        fits = [Fit(i, j, balanced(side), (1,)) for i, side in enumerate(sides)]
+        solved = solve(stored, LOGISTIC, fits, 1.0, 0.0, max_iter=max_iter)
+        model = LinearModel(
+            LOGISTIC,
+            np.stack([s.weights[:, 0] for s in solved]),
+            np.array([s.intercepts[0] if all(side.values()) else side[1] - 0.5 for s, side in zip(solved, sides, strict=True)]),
         )
+        scored = table.where(F.col("fold") == j).withColumn("_margins", model.margins())
+        rows = [
+            F.struct(
+                F.lit(f).alias("flag"),
+                F.col(f).cast("int").alias("y"),
+                (F.get("_margins", F.lit(i)) > 0).cast("int").alias("p"),
+            )
+            for i, f in enumerate(flags)
+        ]
+        return scored.select("id", F.inline(F.array(*rows))).select("flag", "id", "y", "p")
 
-    runs = [(flag, j) for flag in flags for j in range(k)]
-    return functools.reduce(DataFrame.unionByName, in_threads(spark, predictions_of, runs, threads))
+    return functools.reduce(DataFrame.unionByName, in_threads(df.sparkSession, predictions_of, range(k), threads))
 
 
 def skill_loo(
