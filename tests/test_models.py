@@ -387,13 +387,17 @@ def test_train_and_evaluate(postings):
 def scans_of_texts(spark, path, job):
     """Scans below ``path`` that read the text column while ``job`` runs."""
     store = spark._jsparkSession.sharedState().statusStore()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    before = store.executionsCount()
+
+    def executions():  # the store drops old ones, so they are told apart by id and not by place
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        plans = store.executionsList()
+        return {plans.apply(i).executionId(): plans.apply(i) for i in range(plans.size())}
+
+    last = max(executions(), default=-1)
     job()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    found, plans = 0, store.executionsList()
-    for i in range(before, plans.size()):
-        for scan in plans.apply(i).physicalPlanDescription().split("Scan parquet")[1:]:
+    found = 0
+    for plan in [p for i, p in executions().items() if i > last]:
+        for scan in plan.physicalPlanDescription().split("Scan parquet")[1:]:
             found += path in scan.split("\n\n")[0] and "text:string" in scan.split("\n\n")[0]
     return found
 
