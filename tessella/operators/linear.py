@@ -8,8 +8,10 @@ all folds and classes share one scan.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
+import pickle
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -26,7 +28,8 @@ from ..session import durable
 
 LOGISTIC, SOFTMAX, SQUARED_HINGE = "logistic", "softmax", "squared_hinge"
 ROWS = 512  # of a block
-FAN_IN = 32  # partitions whose sums meet on the driver at once
+GATHERED = 1 << 21  # numbers of all partitions' sums that may meet on the driver
+FAN_IN = 32  # partitions a level of a larger sum takes
 #: Weights of the fits that are solved together; more fits go batch by batch.
 CELLS = 1 << 23
 #: Columns filled in this share of the rows are stored as a dense block, the fullest first.
@@ -135,18 +138,24 @@ def _opened(rows: Iterable[tuple], n_targets: int) -> Iterator[Block]:
 
 
 def _total(blocks: RDD, work: Callable[[Iterable[tuple]], Iterator[np.ndarray]], size: int) -> np.ndarray:
-    """The sum of all arrays of ``size`` that ``work`` makes; beyond `FAN_IN` partitions tasks add their sums first."""
+    """The sum of all arrays of ``size`` that ``work`` makes; tasks add their sums first where they are too large to meet on the driver."""
+
+    # The weights inside it are sent once to each executor, and every copy goes when the pass is over.
+    shared = blocks.context.broadcast(cloudpickle.dumps(work))
 
     def partial(rows):
         total = np.zeros(size)
-        for part in work(rows):
+        for part in pickle.loads(shared.value)(rows):
             total += part
         return [total]
 
     sums = blocks.mapPartitions(partial)
-    if blocks.getNumPartitions() > FAN_IN:
-        return sums.treeReduce(np.add, depth=max(2, math.ceil(math.log(blocks.getNumPartitions(), FAN_IN))))
-    return np.sum(sums.collect(), 0)
+    try:
+        if (parts := blocks.getNumPartitions()) * size > GATHERED:
+            return sums.treeReduce(np.add, depth=max(2, math.ceil(math.log(parts, FAN_IN))))
+        return functools.reduce(np.add, sums.collect())
+    finally:
+        shared.destroy()
 
 
 def _filled(rows: DataFrame, width: int) -> np.ndarray:

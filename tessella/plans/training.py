@@ -383,9 +383,8 @@ def skill_cv(
         hot_vectors = assemble(table, ["tfidf", *hot.values()])
         return hot_vectors.select("id", "fold", "features", *flags)
 
-    def predictions_of(j: int) -> DataFrame:
+    def predictions_of(j: int, table: DataFrame) -> DataFrame:
         """All flags of a fold, fitted together; a flag that has one class only predicts that class."""
-        table = features_of(j)
         counts = table.where(F.col("fold") != j).agg(F.count("*"), *[F.sum(f) for f in flags]).first()
         sides = [{0: counts[0] - ones, 1: ones} for ones in counts[1:]]
         stored = store_rows(table, "features", flags, "fold")
@@ -407,7 +406,9 @@ def skill_cv(
         ]
         return scored.select("id", F.inline(F.array(*rows))).select("flag", "id", "y", "p")
 
-    return functools.reduce(DataFrame.unionByName, in_threads(df.sparkSession, predictions_of, range(k), threads))
+    tables = in_threads(df.sparkSession, features_of, range(k), threads)
+    # One after the other: a batch keeps the session busy, and the driver holds the weights of one.
+    return functools.reduce(DataFrame.unionByName, [predictions_of(j, table) for j, table in enumerate(tables)])
 
 
 def skill_loo(
