@@ -6,6 +6,7 @@ import hashlib
 import re
 import unicodedata
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -117,26 +118,35 @@ _DIGIT = {w: str(i) for line in SPELLED for i, w in enumerate(line.split())}
 _OPEN, _CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 _AT, _DOT = "(?:at|arobase|arroba|klammeraffe|@)", r"(?:dot|point|punkt|punto|\.)"
 _BARE_AT = r"(?:\s{1,3}(?:at|arobase|arroba|klammeraffe)\s{1,3}|_at_|\s{1,3}@\s{1,3})"
-_BARE_DOT = r"(?:\s{1,3}(?:dot|point|punkt|punto)\s{1,3}|_dot_|\s{1,3}\.\s{0,3}(?=[a-z]))"
-_LABEL = r"[a-z0-9-]{1,63}"
-_ANY_DOT = rf"(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}|\.)"
-#: at in brackets, then any kind of dots; or a bare at, then at least one disguised dot.
+_LABEL = "[a-z0-9-]++"
+_BRACKET_DOT = rf"{_OPEN}{_DOT}{_CLOSE}"
+_WORD_DOT = r"\s{1,3}(?:dot|punkt|punto)\s{1,3}"
+#: Dots that can be nothing else, and those that may also end a sentence.
+_SURE_DOT = rf"(?:{_BRACKET_DOT}|{_WORD_DOT}|_dot_)"
+_LOOSE_DOT = r"(?:\s{1,3}point\s{1,3}|\s{1,3}\.\s{0,3}(?=[a-z]))"
+_BARE_DOT = rf"(?:{_WORD_DOT}|_dot_|{_LOOSE_DOT})"
+#: Labels to the end of a domain, however many; after a plain dot a loose one is the end of a sentence.
+_LABELS = rf"{_LABEL}(?:(?:{_SURE_DOT}|{_LOOSE_DOT}){_LABEL})*+(?:(?:{_SURE_DOT}|\.){_LABEL})*+"
+#: at in brackets, then any kind of dots; or a bare at, then a disguised dot; or a plain at.
 _ADDRESS = re.compile(
-    rf"(?:(?<=[a-z0-9])(?:{_OPEN}{_AT}{_CLOSE})(?P<a>{_LABEL}(?:{_ANY_DOT}{_LABEL}){{1,6}}?(?:{_ANY_DOT}[a-z]{{2,24}})?))"
-    rf"|(?:(?<=[a-z0-9])(?:{_BARE_AT})(?P<b>{_LABEL}(?:(?:{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}){_LABEL}){{1,6}}))"
-    rf"|(?:@(?P<c>{_LABEL}(?:\.{_LABEL}){{0,6}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}}){_LABEL}){{1,6}}))"
+    rf"(?:(?<=[a-z0-9])(?:{_OPEN}{_AT}{_CLOSE})(?P<a>{_LABELS}))"
+    rf"|(?:(?<=[a-z0-9])(?:{_BARE_AT})(?P<b>{_LABEL}(?:(?:{_BRACKET_DOT}|{_BARE_DOT}){_LABEL})++(?:(?:{_SURE_DOT}|\.){_LABEL})*+))"
+    rf"|(?:@(?P<c>{_LABEL}(?:(?:{_BRACKET_DOT}|{_WORD_DOT}|\.){_LABEL})*+))"
 )
-_DOTS = re.compile(rf"{_OPEN}{_DOT}{_CLOSE}|{_BARE_DOT}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}")
-#: The last disguised dot of a local part, between pieces of it.
-_LOCAL_DOT = re.compile(rf"(?<=[a-z0-9])({_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|punkt|punto)\s{{1,3}}|_dot_)[a-z0-9%+.-]{{1,63}}\Z")
+_ANY_DOT = re.compile(rf"{_SURE_DOT}|{_LOOSE_DOT}|\.")
+_DOTS = re.compile(rf"{_BRACKET_DOT}|{_BARE_DOT}")
+#: A disguised dot of a local part, at the end of what is searched; none is longer than 24 characters.
+_LOCAL_DOT, _LOCAL_DOT_LENGTH = re.compile(rf"(?<=[a-z0-9])(?:{_BRACKET_DOT}|{_WORD_DOT}|_dot_)\Z"), 24
+_LOCAL_LOW = frozenset("abcdefghijklmnopqrstuvwxyz0123456789%+.-")
+_LOCAL_ALL = _LOCAL_LOW | {"_"}
 #: A bare at before a plain domain counts only after a local part with a dot, a digit or the like.
 _SOFT_AT = [
-    (word, re.compile(rf"{word}\s{{1,3}}(?={_LABEL}(?:\.{_LABEL}){{1,6}})")) for word in ("at", "arobase", "arroba", "klammeraffe", "@")
+    (word, re.compile(rf"{word}\s{{1,3}}(?={_LABEL}\.{_LABEL})")) for word in ("at", "arobase", "arroba", "klammeraffe", "@")
 ]
 _BRACKET_AT = re.compile(rf"[(\[{{<]\s{{0,3}}{_AT}\s{{0,3}}[)\]}}>]")
-_ADDRESS_LIKE = re.compile(r"[a-z0-9._%+-]*[0-9._%+-][a-z0-9._%+-]*\Z")
+_ADDRESS_LIKE = re.compile(r"[0-9._%+-]")
 _IP_DOTS = re.compile(
-    rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_OPEN}{_DOT}{_CLOSE}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}|\.)[0-9]{{1,3}}){{3}}(?![0-9])"
+    rf"(?<![0-9])[0-9]++(?:(?:{_BRACKET_DOT}|\s{{1,3}}(?:dot|point|punkt|punto)\s{{1,3}}|\.)[0-9]++){{3}}"
 )
 _WORD = "(?:" + "|".join(sorted(_DIGIT, key=len, reverse=True)) + ")"
 _ITEM = rf"(?:{_WORD}\b|(?<![0-9])[0-9]++)"
@@ -147,8 +157,8 @@ _NUMBER = re.compile(
 _SPELLED = re.compile(rf"{_WORD}\b")
 _SPELLED_WORDS = frozenset(_DIGIT)
 _PART = re.compile(rf"{_WORD}\b|[0-9]+|plus|\+|dot|point|punkt|punto")
-#: A number with some letters O, I or l for digits.
-_LETTERED = re.compile(r"(?<![A-Za-z0-9])[+0-9(][0-9OoIl().\x20-]{8,26}[0-9OoIl](?![A-Za-z])")
+#: A run of digits and signs with some letters O, I or l for digits; what counts of it is cut in `_lettered`.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])[+0-9(][0-9OoIl().\x20-]++")
 _FOR_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
 # Cheap signs that a search may find something.
 _AT_HINTS = ["@", " at ", "_at_", "arobase", "arroba", "klammeraffe"]
@@ -210,6 +220,39 @@ def transduce(text: str) -> tuple[str, list[Piece]]:
     return normal, _composed(changed, more)
 
 
+def _run_start(low: str, floor: int, end: int, chars: frozenset[str]) -> int:
+    """Where the run of ``chars`` that stops at ``end`` starts, not before ``floor``."""
+    while end > floor and low[end - 1] in chars:
+        end -= 1
+    return end
+
+
+def _local_dots(low: str, floor: int, end: int) -> Iterator[tuple[int, int]]:
+    """The disguised dots of the local part that stops at ``end``, from the last one back to its start."""
+    while True:
+        at = _run_start(low, floor, end, _LOCAL_LOW)
+        dot = None
+        while at < end and not (dot := _LOCAL_DOT.search(low, max(floor, at - _LOCAL_DOT_LENGTH), at)):
+            if at == floor or low[at - 1] != "_":
+                return
+            at = _run_start(low, floor, at - 1, _LOCAL_LOW)
+        if not dot:
+            return
+        yield dot.span()
+        end = dot.start()
+
+
+def _lettered(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers of ten characters or more, seven of them digits, in which letters may stand for digits."""
+    for m in _LETTERED.finditer(text):
+        run = m[0]
+        if text[m.end() : m.end() + 1].isalpha() and text[m.end()].isascii():
+            run = run.rstrip("0123456789OoIl")  # the end of the run starts a word
+        run = run.rstrip("(). -")
+        if len(run) >= 10 and sum(map(run.count, "0123456789")) >= 7:
+            yield m.start(), m.start() + len(run)
+
+
 def _disguises(text: str) -> list[tuple[int, int, str]]:
     """Spelled and lettered digits and disguised at and dot signs: start, end and what they stand for."""
     pieces: list[tuple[int, int, str]] = []
@@ -224,30 +267,33 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
             # Blanks and commas between the digits go; hyphens stay.
             pieces.append((at, p.end(), ("-" if "-" in between else "") + word))
             at = p.end()
-    for m in _LETTERED.finditer(text):
-        if sum(c.isdigit() for c in m[0]) >= 7:
-            pieces += [(m.start() + i, m.start() + i + 1, _FOR_DIGIT[c]) for i, c in enumerate(m[0]) if c in _FOR_DIGIT]
+    for start, end in _lettered(text):
+        pieces += [(i, i + 1, _FOR_DIGIT[text[i]]) for i in range(start, end) if text[i] in _FOR_DIGIT]
     dots = any(hint in low for hint in _DOT_HINTS)
     if dots and any(hint in low for hint in _AT_HINTS) or _BRACKET_AT.search(low):
+        floor = 0
         for m in _ADDRESS.finditer(low):
             domain = m.lastgroup
+            if not _ANY_DOT.search(low, m.start(domain), m.end(domain)):
+                continue
             if domain != "c":
                 pieces.append((m.start(), m.start(domain), "@"))
-            # The local part before it, dot by dot.
-            at = m.start()
-            while local := _LOCAL_DOT.search(low[max(0, at - 80) : at]):
-                lo = max(0, at - 80)
-                pieces.append((lo + local.start(1), lo + local.end(1), "."))
-                at = lo + local.start(1)
+            pieces += [(a, b, ".") for a, b in _local_dots(low, floor, m.start())]
             pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(domain), m.end(domain))]
+            floor = m.end()
     for m in _IP_DOTS.finditer(low) if dots else ():
         pieces += [(d.start(), d.end(), ".") for d in _DOTS.finditer(low, m.start(), m.end())]
     for word, pattern in _SOFT_AT:
+        floor = 0
         for m in pattern.finditer(low) if word in low else ():
-            before = low[max(0, m.start() - 70) : m.start()]
-            head = before.rstrip()
-            if 0 < len(before) - len(head) < 4 and _ADDRESS_LIKE.search(head.split(" ")[-1]):
-                pieces.append((m.start() - len(before) + len(head), m.end(), "@"))
+            end = m.start()
+            while end > floor and m.start() - end < 4 and low[end - 1].isspace():
+                end -= 1
+            if 0 < m.start() - end < 4:
+                start = _run_start(low, floor, end, _LOCAL_ALL)
+                if _ADDRESS_LIKE.search(low, start, end):
+                    pieces.append((end, m.end(), "@"))
+            floor = m.end()
     return pieces
 
 
@@ -315,12 +361,15 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A text is searched twice: as it is, and after transducers have normalised look-alike
     characters, spelled digits and disguised at and dot signs. Spans of the second search
-    that hold something normalised are mapped back to the characters they came from.
+    that hold something normalised are mapped back to the characters they came from. Local
+    parts, domains and numbers are taken whole, of any length and number of labels.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone (plain spans), n_disguised (added
     spans), base (plain spans as kind:start:end in code points, end exclusive, by start, then kind, comma-joined)
     and spans (all of them). Null and empty texts have none; each row is judged on its
-    own, repeated rows alike; an empty table gives no rows. Other columns are ignored.
+    own, repeated rows alike; an empty table gives no rows. Where two pieces of a disguise
+    overlap, the one that starts first counts, then the shorter. A text of any length is searched whole,
+    in time that grows with its length. Other columns are ignored.
     """
     found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.arrow_udf(_found, _FOUND_TYPE).asNondeterministic()(F.col(f"`{text_col}`")).alias("f"))
     return found.select("doc_id", "f.*")
