@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 from math import ceil
 
 import numpy as np
@@ -15,6 +15,8 @@ from .words import MARKS, texts_of, windows, word_hashes
 #: A leak is an item of which this share is covered by tiles of this many words or more.
 SHARE, LEAST = 0.5, 5
 BLOCK_MB = 8
+#: Pairs of equal windows a task holds at once.
+PAIRS = 1 << 19
 _BITS = 20
 _LEAKS_TYPE = "array<struct<item:int,covered:int,tiles:int>>"
 
@@ -24,21 +26,31 @@ def tokens(text: bytes | None) -> np.ndarray:
     return word_hashes(text or b"", lower=True, blank=MARKS)
 
 
-def tile(pairs: np.ndarray, n_item: int, n_text: int, least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (item start, text start, length) from equal windows of ``least`` words.
-
-    Neighbouring pairs on a diagonal are one match. The longest match is marked; what is
-    left of a match that overlaps a mark goes back while it has ``least`` words.
-    """
+def runs_of(pairs: np.ndarray) -> np.ndarray:
+    """(item start, text start, windows) of the pairs that follow each other on a diagonal."""
     order = np.lexsort((pairs[:, 0], pairs[:, 1] - pairs[:, 0]))
     i, j = pairs[order, 0], pairs[order, 1]
-    cut = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1)) + 1
-    heads, ends = np.r_[0, cut], np.r_[cut, len(i)]
-    queue = [(-(e - h + least - 1), int(i[h]), int(j[h])) for h, e in zip(heads.tolist(), ends.tolist(), strict=True)]
-    heapify(queue)
+    heads = np.r_[0, np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1)) + 1]
+    return np.stack([i[heads], j[heads], np.diff(np.r_[heads, len(i)])], 1)
+
+
+def tile(runs: np.ndarray, n_item: int, n_text: int, least: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles (item start, text start, length) from runs of equal windows of ``least`` words.
+
+    A run is one match. The longest match is marked; what is left of a match that overlaps
+    a mark goes back while it has ``least`` words. Of equal ones the first in the item, then
+    in the text, is marked.
+    """
+    order = np.lexsort((runs[:, 1], runs[:, 0], -runs[:, 2]))
+    listed = ((-(n + least - 1), a, b) for a, b, n in map(np.ndarray.tolist, runs[order]))
+    rest: list[tuple[int, int, int]] = []
+    head = next(listed, None)
     item, text, tiles = np.zeros(n_item, bool), np.zeros(n_text, bool), []
-    while queue:
-        size, a, b = heappop(queue)
+    while head or rest:
+        if rest and (head is None or rest[0] < head):
+            size, a, b = heappop(rest)
+        else:
+            (size, a, b), head = head, next(listed, None)
         size = -size
         free = ~(item[a : a + size] | text[b : b + size])
         if free.all():
@@ -47,52 +59,85 @@ def tile(pairs: np.ndarray, n_item: int, n_text: int, least: int) -> list[tuple[
             if item.all():
                 break
             continue
+        if np.count_nonzero(free) < least:
+            continue
         edges = np.diff(np.r_[0, free.astype(np.int8), 0])
         for s, e in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True):
             if e - s >= least:
-                heappush(queue, (-(e - s), a + s, b + s))
+                heappush(rest, (-(e - s), a + s, b + s))
     return tiles
 
 
 class Seeds:
-    """All windows of a block of benchmark items, sorted by hash, behind a bit map."""
+    """All windows of a block of benchmark items, sorted by hash, behind a bit map; shorter items whole."""
 
     def __init__(self, texts: list[bytes], least: int) -> None:
         self.least, lists = least, [tokens(t) for t in texts]
         self.sizes = [len(t) for t in lists]
         found = [windows(t, least) for t in lists]
-        hashes = np.concatenate([*found, np.zeros(0, np.uint64)])
+        self.natural = np.concatenate([*found, np.zeros(0, np.uint64)])
         owners = np.repeat(np.arange(len(found)), [len(f) for f in found])
         places = np.concatenate([*[np.arange(len(f)) for f in found], np.zeros(0, np.int64)])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owners, self.places = hashes[order], owners[order], places[order]
+        self.order = np.argsort(self.natural, kind="stable")
+        self.hashes, self.owners, self.places = self.natural[self.order], owners[self.order], places[self.order]
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[self.hashes >> np.uint64(64 - _BITS)] = True
+        self.short: dict[bytes, list[int]] = {}
+        for i, words in enumerate(lists):
+            if 0 < len(words) < least:
+                self.short.setdefault(words.tobytes(), []).append(i)
+
+    def _edges(self, found: np.ndarray, at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, item place, text place) of the first and of the last pair of each run, both in the runs' order.
+
+        A pair is inside a run if the windows before and behind it are equal as well, so
+        pairs are made some at a time and only the edges are kept.
+        """
+        edges = ([], [])
+        ends = np.cumsum(n)
+        start = 0
+        while start < len(at):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, "right")))
+            k = n[start:stop]
+            row = np.repeat(lo[start:stop], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            where, owner, place, home = np.repeat(at[start:stop], k), self.owners[row], self.places[row], self.order[row]
+            windows_of = np.asarray(self.sizes)[owner] - self.least + 1
+            before = (place > 0) & (where > 0)
+            before[before] = self.natural[home[before] - 1] == found[where[before] - 1]
+            behind = (place + 1 < windows_of) & (where + 1 < len(found))
+            behind[behind] = self.natural[home[behind] + 1] == found[where[behind] + 1]
+            for kept, inner in zip(edges, (before, behind), strict=True):
+                kept.append(np.stack([owner[~inner], place[~inner], where[~inner]], 1))
+            start = stop
+        both = [np.concatenate(e) for e in edges]
+        return tuple(e[np.lexsort((e[:, 1], e[:, 2] - e[:, 1], e[:, 0]))] for e in both)
 
     def matches(self, text: bytes | None, share: float) -> list[tuple[int, int, int]]:
         """(item, words covered, tiles) of the items of which ``text`` holds ``share`` or more."""
         words = tokens(text)
+        if len(words) < self.least:
+            return [(i, len(words), 1) for i in self.short.get(words.tobytes(), [])]
         found = windows(words, self.least)
         at = np.flatnonzero(self.seen[found >> np.uint64(64 - _BITS)])
         lo, hi = np.searchsorted(self.hashes, found[at], "left"), np.searchsorted(self.hashes, found[at], "right")
         at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
         if not len(at):
             return []
-        row = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        where, owner = np.repeat(at, n), self.owners[row]
+        first, last = self._edges(found, at, lo, n)
+        runs = np.stack([first[:, 1], first[:, 2], last[:, 1] - first[:, 1] + 1], 1)
+        cuts = np.flatnonzero(np.diff(first[:, 0])) + 1
         out = []
-        for item in np.unique(owner):
-            mine = owner == item
-            covered = np.zeros(self.sizes[item], bool)
-            for p in np.unique(self.places[row[mine]]):
-                covered[p : p + self.least] = True
-            if covered.sum() < share * self.sizes[item]:
+        for own in np.split(np.arange(len(runs)), cuts):
+            item, mine = int(first[own[0], 0]), runs[own]
+            steps = np.zeros(self.sizes[item] + 1, np.int64)
+            np.add.at(steps, mine[:, 0], 1)
+            np.add.at(steps, mine[:, 0] + mine[:, 2] + self.least - 1, -1)
+            if np.count_nonzero(np.cumsum(steps)) < share * self.sizes[item]:
                 continue  # no tiling covers more than all its seeds do
-            pairs = np.stack([self.places[row[mine]], where[mine]], 1)
-            tiles = tile(pairs, self.sizes[item], len(words), self.least)
+            tiles = tile(mine, self.sizes[item], len(words), self.least)
             total = sum(t[2] for t in tiles)
             if total >= share * self.sizes[item]:
-                out.append((int(item), total, len(tiles)))
+                out.append((item, total, len(tiles)))
         return out
 
 
@@ -140,9 +185,12 @@ def benchmark_leaks(
     blocks of about ``block_mb`` MB of text, whatever its size; every document is scanned
     against each block, without a shuffle.
 
-    Null and empty texts, and items of fewer than ``least`` words, match nothing. Repeated
-    documents each give their rows; repeated items are reported each. Without documents or
-    items there are no rows. Other columns are ignored.
+    An item of fewer than ``least`` words has no tile and is compared whole: a document
+    holds it if it has just these words. Null and empty texts match nothing. Repeated
+    documents each give their rows; repeated items are reported each. Of equally long
+    matches the first in the item is marked. A text of any length is compared whole; a
+    task holds its words, its longest matches and ``PAIRS`` pairs of equal windows.
+    Without documents or items there are no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     item_type = benchmark.schema[item_col].dataType.simpleString()

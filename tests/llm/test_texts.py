@@ -10,7 +10,7 @@ import pytest
 
 pytest.importorskip("tessella.llm")
 
-from tessella.llm.decontaminate import Seeds, benchmark_leaks, tile, tokens, without_leaks  # noqa: E402
+from tessella.llm.decontaminate import Seeds, benchmark_leaks, runs_of, tile, tokens, without_leaks  # noqa: E402
 from tessella.llm.html import render  # noqa: E402
 from tessella.llm.pii import all_spans, find_personal_data, luhn, plain_spans  # noqa: E402
 from tessella.llm.quality import Neighbours, classify_quality, fit_neighbours, held_out  # noqa: E402
@@ -93,6 +93,36 @@ def test_disguises_compose(text, kind, source):
     assert (text.index(source), kind, text.index(source) + len(source)) in added
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 8, 40, 300])
+def test_addresses_of_any_length_are_taken_whole(n):
+    labels = [f"l{i}" for i in range(n)]
+    for at, dot in ((" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "."), ("@", " dot "), ("_at_", "_dot_")):
+        for local in ("jane", "jane" * 60, dot.join(["jane", "k" * 90, "z_y"]), dot.join(labels)):
+            if at in ("(at)", "@") and local != "jane":
+                local = local.replace(dot, ".")
+            source = local + at + dot.join([*labels, "com"])
+            text = f"mail: {source}, please"
+            assert (6, "email", 6 + len(source)) in all_spans(text)[1], text
+
+
+def test_a_loose_dot_behind_a_plain_one_ends_the_sentence():
+    text = "write jane [at] mail.com . thanks"
+    assert all_spans(text)[1] == [(6, "email", 24)]
+
+
+def test_long_lettered_numbers_and_ids():
+    text = "call +1 2O2 555 O1 99 now, card 4111 1111 IIII 1111 or 00192 dot 168 dot 0 dot 0001"
+    found = {text[s:e] for s, _, e in all_spans(text)[1]}
+    assert found >= {"+1 2O2 555 O1 99", "4111 1111 IIII 1111", "00192 dot 168 dot 0 dot 0001"}
+
+
+@pytest.mark.parametrize("text", ["a." * 200_000 + "[at] b", "(" * 400_000, "x [at] a [dot] " * 30_000, "1 " * 200_000 + "x", "a_" * 150_000 + "b[at]b.c", "a at b.c " * 40_000])
+def test_hostile_disguises_take_linear_time(text):
+    start = time.time()
+    all_spans(text)
+    assert time.time() - start < 10
+
+
 @pytest.mark.parametrize(
     "text",
     ["", "meet me at noon", "look at example.com", "one two things at a point", "the dot and the at sign", "a (at) b", "Привет, мир", "x = a[at] + b", "café — naïve ½ price"],
@@ -331,10 +361,43 @@ def test_tiles_do_not_overlap():
     words = tokens(b"a b c d e a b c d e a b c")
     found = windows(words, 3)
     pairs = np.array([(i, j) for i in range(len(found)) for j in range(len(found)) if found[i] == found[j]])
-    tiles = tile(pairs, len(words), len(words), 3)
+    tiles = tile(runs_of(pairs), len(words), len(words), 3)
     assert tiles == [(0, 0, 13)]
 
 
+def test_runs_do_not_depend_on_the_pairs_held_at_once(monkeypatch):
+    rng = random.Random(16)
+    for _ in range(60):
+        items = [" ".join(rng.choice("abc") for _ in range(rng.randrange(3, 25))).encode() for _ in range(4)]
+        text = " ".join(rng.choice("abcd") for _ in range(rng.randrange(60))).encode()
+        seeds = Seeds(items, 3)
+        whole = seeds.matches(text, 0.3)
+        words, found = tokens(text), windows(tokens(text), 3)
+        for item, covered, n in whole:
+            own = windows(tokens(items[item]), 3)
+            pairs = np.array([(i, j) for i in range(len(own)) for j in range(len(found)) if own[i] == found[j]])
+            tiles = tile(runs_of(pairs), seeds.sizes[item], len(words), 3)
+            assert (sum(t[2] for t in tiles), len(tiles)) == (covered, n)
+        monkeypatch.setattr("tessella.llm.decontaminate.PAIRS", 3)
+        assert seeds.matches(text, 0.3) == whole
+        monkeypatch.undo()
+
+
+def test_a_long_repetitive_text_is_compared_whole():
+    seeds = Seeds([b"a " * 60, b"a b " * 30], 5)
+    start = time.time()
+    assert seeds.matches(b"a " * 400_000 + b"x " + b"a b " * 40, 0.5) == [(0, 60, 1), (1, 60, 1)]
+    assert time.time() - start < 60
+
+
+def test_short_items_are_compared_whole(spark, documents):
+    docs = documents(["What is, two plus", "so what is two plus", "What is two", "", None, "what is two plus"])
+    bench = spark.createDataFrame([(1, "what is two plus"), (2, "!"), (3, None), (4, "What is two plus?")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.covered, r.item_words, r.coverage) for r in benchmark_leaks(docs, bench).collect())
+    assert got == [(d, i, 4, 4, 1.0) for d in (0, 5) for i in (1, 4)]
+    assert sorted(r.doc_id for r in without_leaks(docs, bench).collect()) == [1, 2, 3, 4]
+
+
 def test_leaks_in_any_order(spark, documents, long_text):
     item = " ".join(f"word{i}" for i in range(40))
     parts = item.split()
