@@ -129,14 +129,14 @@ def _inverted(cells: DataFrame, keys: str, p: int, floor: float) -> DataFrame:
 
 
 def robust_distances(
-    rows: DataFrame, xs: list[str], core: float = 0.75, steps: int = 20, floor: float = 1e-4
+    rows: DataFrame, xs: list[str], core: float = 0.75, steps: int = 100, floor: float = 1e-4
 ) -> DataFrame:
     """Per cell of ``rows(cell, xs..)``: centre, inverse covariance and scale of the MCD.
 
     Two starts (medians with absolute deviations, and plain moments) are refined by
     concentration steps: keep the ``core`` share of the cell's rows that lie nearest, take
-    their moments, repeat until no determinant falls; the start with the smaller
-    determinant stays. A step is two aggregations over all rows, combined before they are
+    their moments, repeat until the determinants fall no more (over ``steps`` steps raise an
+    error); the start with the smaller determinant stays. A step is two aggregations over all rows, combined before they are
     shuffled, so a cell of any size costs no more than its rows; only one row per cell is
     shuffled. ``floor`` is added to the variances, so constant columns don't break it.
     The scale makes the cell's median squared distance that of a normal sample. The core's
@@ -173,9 +173,11 @@ def robust_distances(
         moments = inner.groupBy("cell", "start").agg(*_moments(xs))
         fits = durable(_inverted(moments.select("cell", "start", "means", "squares"), keys, p, floor))
         now = fits.agg(F.sum("logdet")).first()[0]
-        if now is None or last is not None and abs(last - now) <= 1e-6 * max(1.0, abs(now)):
+        if now is None or last is not None and last - now <= 1e-6 * max(1.0, abs(now)):
             break
         last = now
+    else:
+        raise RuntimeError(f"determinants still fall after {steps} steps")
     best = durable(
         fits.groupBy("cell").agg(F.min(F.struct("logdet", "start", "centre", "inverse")).alias("f")).select("cell", "f.centre", "f.inverse")
     )
@@ -210,8 +212,9 @@ def reject_outliers(
 
     Returns doc_id, ``COUNTS``, base_failed, distance (null where base-failed or where no
     cell has ``least`` vectors) and kept. Null and empty texts have no words and fail the base; a null
-    language or source is a value of its own; repeated rows are judged alike; an empty
-    table gives no rows. Other columns are ignored.
+    language or source is a value of its own; repeated rows are judged alike, and so are rows
+    of equal distance: the one at the cut is kept, those at a core's edge are all in it. Texts of
+    any length are counted whole; an empty table gives no rows. Other columns are ignored.
     """
     counted = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
