@@ -19,7 +19,11 @@ BLOCK = set(
     "search section summary table tbody td tfoot th thead tr ul caption".split()
 )
 SPACED = set("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
-HIDDEN = set("head script style template noscript svg math object iframe canvas audio video datalist title textarea select".split())
+HIDDEN = set("head script style template noscript object iframe canvas audio video datalist title".split())
+#: Parts of drawings and formulas that are not drawn.
+HIDDEN |= set("annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split())
+#: Elements that stand on lines of their own without closing a paragraph.
+LINES = BLOCK | {"select", "text", "textarea"}
 CLOSES_P = BLOCK - set("body caption dd dt html legend li optgroup option tbody td tfoot th thead tr".split()) | {"dl"}
 #: Opening the key closes an open element of the first set, up to one of the second.
 IMPLIED = {
@@ -38,7 +42,11 @@ IMPLIED = {
 }
 FORMATS = set("a b big code em font i nobr s small span strike strong tt u".split())
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_PROPERTY = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_SELECTOR = re.compile(r"\s*([a-z][a-z0-9-]*|\*)?([.#][\w-]+)?\s*", re.I)
+#: Cells wider than this don't widen their column, so padding can't outgrow the text.
+WIDEST = 400
 
 
 # Elements whose content is text up to their own end tag.
@@ -78,13 +86,15 @@ def attributes(page: str, at: int) -> tuple[dict[str, str], int] | None:
 
 
 class Node:
-    __slots__ = ("attrs", "children", "depth", "items", "parent", "tag")
+    __slots__ = ("attrs", "children", "depth", "gone", "items", "laid", "parent", "shown", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.items = 0
         self.depth = parent.depth + 1 if parent else 0
+        self.gone, self.shown = False, True  # neither it nor what is in it has a place; its own text is seen
+        self.laid: list[str] = []  # the lines of a table
 
 
 class TreeBuilder:
@@ -125,7 +135,8 @@ class TreeBuilder:
             if tag in RAW:
                 end = _RAW_END[tag].search(page, at)
                 stop = end.start() if end else len(page)
-                self.handle_data(page[at:stop])
+                data = page[at:stop]
+                self.handle_data(unescape(data) if tag in ("textarea", "title") else data)
                 at = stop
 
     def close_up_to(self, tags: set[str], stops: set[str]) -> None:
@@ -188,13 +199,97 @@ class TreeBuilder:
         self.open.children.append(data)
 
 
-def is_hidden(node: Node) -> bool:
-    attrs = node.attrs
-    if node.tag in HIDDEN or "hidden" in attrs or node.tag == "dialog" and "open" not in attrs:
-        return True
-    if node.tag == "input" and (attrs.get("type") or "").lower() == "hidden":
-        return True
-    return bool(attrs.get("style") and _UNSEEN.search(attrs["style"]))
+Wish = tuple[int, int, str]  # weight, order and value
+
+
+def wishes(declarations: str, weight: int, order: int) -> dict[str, Wish]:
+    """Display and visibility as a block of declarations wants them; the last of each counts."""
+    found: dict[str, Wish] = {}
+    for m in _PROPERTY.finditer(declarations):
+        wish = (weight + (10_000 if m[3] else 0), order, m[2].lower())
+        found[m[1].lower()] = max(wish, found.get(m[1].lower(), wish), key=lambda w: w[0])
+    return found
+
+
+def style_rules(sheet: str) -> dict[str, dict[str, Wish]]:
+    """What the rules of a style sheet want, by selector: tag, .class, #id or tag with one of these.
+
+    Other selectors, and rules inside @-blocks, which hold on some screens only, are left out.
+    """
+    found: dict[str, dict[str, Wish]] = {}
+    sheet, at, skip, order = _COMMENT.sub(" ", sheet), 0, 0, 0
+    while (brace := sheet.find("{", at)) >= 0:
+        close = sheet.find("}", at)
+        if 0 <= close < brace:  # the end of a block that is skipped
+            skip, at = max(0, skip - 1), close + 1
+            continue
+        head = sheet[at:brace].rpartition(";")[2]
+        at = brace + 1
+        if skip or head.lstrip().startswith("@"):
+            skip += 1
+            continue
+        end = sheet.find("}", at)
+        body, at = sheet[at : end if end >= 0 else len(sheet)], end + 1 if end >= 0 else len(sheet)
+        order += 1
+        if "display" not in body.lower() and "visibility" not in body.lower():
+            continue
+        for one in head.split(","):
+            m = _SELECTOR.fullmatch(one)
+            if not m or not (m[1] or m[2]):
+                continue
+            tag, own = (m[1] or "*").lower(), m[2] or ""
+            weight = (100 if own[:1] == "#" else 10 if own else 0) + (tag != "*")
+            kept = found.setdefault((tag if tag != "*" else "") + own or "*", {})
+            for name, wish in wishes(body, weight, order).items():
+                kept[name] = max(wish, kept.get(name, wish))
+    return found
+
+
+def settle(root: Node) -> list[Node]:
+    """Decide what is seen, by elements, attributes, style sheets and inline styles; the tables that have a place, in order."""
+    sheet, stack = [], [root]
+    while stack:
+        at = stack.pop()
+        if at.tag == "style":
+            sheet += [c for c in at.children if isinstance(c, str)]
+        stack.extend(c for c in reversed(at.children) if isinstance(c, Node))
+    rules = style_rules("\n".join(sheet))
+    tables, stack = [], [root]
+    while stack:
+        at = stack.pop()
+        attrs = at.attrs
+        best: dict[str, Wish] = {}
+        if "hidden" in attrs:
+            best["display"] = (-1, 0, "none")
+        if rules:
+            names = ["." + c for c in attrs.get("class", "").split()] + (["#" + attrs["id"]] if attrs.get("id") else [])
+            for key in ("*", at.tag, *names, *[at.tag + n for n in names]):
+                for name, wish in rules.get(key, {}).items():
+                    best[name] = max(wish, best.get(name, wish))
+        if attrs.get("style"):
+            for name, wish in wishes(attrs["style"], 1_000, 0).items():
+                best[name] = max(wish, best.get(name, wish))
+        at.gone = (
+            at.tag in HIDDEN
+            or at.tag == "dialog" and "open" not in attrs
+            or at.tag == "input" and (attrs.get("type") or "").lower() == "hidden"
+            or best.get("display", (0, 0, ""))[2] == "none"
+        )
+        if at.gone:
+            continue
+        if "visibility" in best and best["visibility"][2] != "inherit":
+            at.shown = best["visibility"][2] not in ("hidden", "collapse")
+        elif at.parent is not None:
+            at.shown = at.parent.shown
+        if at.tag == "table":
+            tables.append(at)
+        stack.extend(c for c in reversed(at.children) if isinstance(c, Node))
+    return tables
+
+
+def seen(node: Node) -> list[Node | str]:
+    """The children that have a place, without the node's own text where that is not shown."""
+    return [c for c in node.children if (node.shown if isinstance(c, str) else not c.gone)]
 
 
 def width(text: str) -> int:
@@ -213,17 +308,26 @@ class Renderer:
         self.gap = 0  # blank lines due before the next text
         self.indent = ""
         self.marker = ""  # of a list item that has no text yet
+        self.kept = 0  # depth of elements that keep their white space
+        self.fresh = False  # nothing of the preformatted text is out yet
 
     def flush(self) -> None:
-        text = self.line.rstrip(" ")
+        text = self.line.rstrip() if self.kept else self.line.rstrip(" ")
         if text:
             self.put(text)
         self.line = ""
 
+    def newline(self) -> None:
+        """The end of a line of preformatted text, which may be empty."""
+        empty = not self.line.strip()
+        self.flush()
+        if empty and not self.fresh:
+            self.gap += 1
+
     def put(self, text: str) -> None:
         if self.lines:
             self.lines.extend([""] * self.gap)
-        self.gap = 0
+        self.gap, self.fresh = 0, False
         head = self.indent
         if self.marker:
             head = self.indent[: -len(self.marker)] + self.marker
@@ -235,6 +339,12 @@ class Renderer:
         self.gap = max(self.gap, blank_lines)
 
     def text(self, data: str) -> None:
+        if self.kept:
+            for i, part in enumerate(data.split("\n")):
+                if i:
+                    self.newline()
+                self.line += part
+            return
         collapsed = _BLANKS.sub(" ", data)
         if not self.line or self.line.endswith(" "):
             collapsed = collapsed.lstrip(" ")
@@ -249,7 +359,7 @@ class Renderer:
                 self.text(node)
             elif step == "out":
                 self.leave(node, state)
-            elif not is_hidden(node):
+            elif not node.gone:
                 children, state = self.enter(node)
                 stack.append(("out", node, state))
                 stack.extend(("in", c, None) for c in reversed(children))
@@ -257,31 +367,35 @@ class Renderer:
 
     def enter(self, node: Node) -> tuple[list[Node | str], object]:
         tag, saved = node.tag, (self.indent, self.marker)
+        if tag == "br" and self.kept:
+            self.newline()
+            return [], saved
         if tag == "br":
             if self.line.strip():
                 self.flush()
             elif self.lines and not self.gap:
                 self.gap = 1
             return [], saved
-        if tag == "img" and node.attrs.get("alt"):
+        if tag == "img" and node.attrs.get("alt") and node.shown:
             self.text(node.attrs["alt"])
         elif tag == "hr":
             self.space(0)
-            self.put("---")
-            return [], saved
-        elif tag == "pre":
-            self.space(1)
-            for line in "".join(flat(node)).strip("\n").split("\n"):
-                self.put(line.rstrip())
-            self.space(1)
+            if node.shown:
+                self.put("---")
             return [], saved
+        elif tag in ("pre", "textarea"):
+            self.space(1 if tag == "pre" else 0)
+            self.kept, self.fresh = self.kept + 1, True
         elif tag == "table":
             self.space(1)
-            for line in table_lines(node):
-                self.put(line)
+            for line in node.laid:
+                if line:
+                    self.put(line)
+                else:
+                    self.gap += 1
             self.space(1)
             return [], saved
-        elif tag in BLOCK:
+        elif tag in LINES:
             inner = tag in ("ul", "ol") and within_list(node)
             self.space(1 if tag in SPACED and not inner else 0)
             if tag == "li":
@@ -289,10 +403,16 @@ class Renderer:
                 self.indent += " " * len(self.marker)
             elif tag in ("blockquote", "dd"):
                 self.indent += "  "
-        return node.children, saved
+            elif tag == "optgroup" and node.attrs.get("label") and node.shown:
+                self.text(node.attrs["label"])
+                self.flush()
+        return seen(node), saved
 
     def leave(self, node: Node, saved: tuple[str, str]) -> None:
-        if node.tag in BLOCK:
+        if node.tag in ("pre", "textarea"):
+            self.flush()
+            self.kept, self.gap = self.kept - 1, 0
+        if node.tag in LINES:
             inner = node.tag in ("ul", "ol") and within_list(node)
             self.space(1 if node.tag in SPACED and not inner else 0)
             self.indent = saved[0]
@@ -316,85 +436,80 @@ def marker(item: Node) -> str:
     return f"{number + item.parent.items - 1}. "
 
 
-def flat(node: Node) -> list[str]:
-    """Visible text below a node, white space as it is."""
-    out, stack = [], list(reversed(node.children))
-    while stack:
-        at = stack.pop()
-        if isinstance(at, str):
-            out.append(at)
-        elif at.tag == "br":
-            out.append("\n")
-        elif not is_hidden(at):
-            stack.extend(reversed(at.children))
-    return out
+def lines_of(node: Node) -> list[str]:
+    """The lines of one element laid out by itself."""
+    renderer = Renderer()
+    renderer.walk(node)
+    return renderer.lines
+
+
+def span_of(cell: Node, name: str, most: int) -> int:
+    """Columns or rows of a cell, at most as many as browsers take."""
+    given = cell.attrs.get(name) or "1"
+    return min(int(given), most) if re.fullmatch(r"[0-9]{1,9}", given) else 1
 
 
-def table_lines(node: Node) -> list[str]:
-    """Rows of a table with cells padded to their columns; a nested table's text is one cell."""
-    above, rows, stack = [], [], list(reversed(node.children))
+def table_lines(table: Node) -> list[str]:
+    """Lines of a table: what stands above, then its rows, cells padded to their columns.
+
+    A cell has as many lines as it needs. Cells that span columns or rows stand in the
+    first place; the others stay empty.
+    """
+    above, rows, stack = [], [], [(c, 0) for c in reversed(seen(table))]
+    down: dict[int, tuple[int, int]] = {}  # column: rows that a cell above still takes, its row group
     while stack:
-        at = stack.pop()
-        if isinstance(at, str) or is_hidden(at):
-            if isinstance(at, str) and at.strip():
-                above.append(_BLANKS.sub(" ", at).strip())
-        elif at.tag == "tr":
-            cells = []
-            for cell in at.children:
-                if isinstance(cell, Node) and cell.tag in ("td", "th") and not is_hidden(cell):
-                    text = " ".join(" ".join(_spread(cell)).split())
-                    span = cell.attrs.get("colspan") or "1"
-                    cells += [text] + [""] * ((int(span) if re.fullmatch(r"[0-9]{1,3}", span) else 1) - 1)
-                elif isinstance(cell, Node) and not is_hidden(cell):
-                    cells.append(" ".join(" ".join(_spread(cell)).split()))
-                elif isinstance(cell, str) and cell.strip():
-                    cells.append(" ".join(cell.split()))
-            if any(cells):
-                rows.append(cells)
+        at, group = stack.pop()
+        if isinstance(at, str):
+            above += [_BLANKS.sub(" ", at).strip()] if at.strip() else []
         elif at.tag in ("tbody", "thead", "tfoot"):
-            stack.extend(reversed(at.children))
+            stack.extend((c, id(at)) for c in reversed(seen(at)))
+        elif at.tag != "tr":
+            above += lines_of(at)
         else:
-            text = " ".join(" ".join(_spread(at)).split())
-            if text:
-                above.append(text)
+            cells: list[list[str]] = []
+
+            def skip(cells=cells, group=group) -> None:
+                while (held := down.get(len(cells))) and held[0] and held[1] == group:
+                    down[len(cells)] = (held[0] - 1, group)
+                    cells.append([])
+
+            skip()
+            for cell in seen(at):
+                if isinstance(cell, str) and not cell.strip():
+                    continue
+                wide = tall = 1
+                if not isinstance(cell, str) and cell.tag in ("td", "th"):
+                    # No rows means all that are left of the group.
+                    wide, tall = span_of(cell, "colspan", 1_000) or 1, span_of(cell, "rowspan", 65_534) or 65_534
+                for i in range(wide):
+                    down[len(cells)] = (tall - 1, group)
+                    cells.append([] if i else [" ".join(cell.split())] if isinstance(cell, str) else lines_of(cell))
+                skip()
+            for i in [i for i, (left, _) in down.items() if left and i >= len(cells)]:
+                down[i] = (down[i][0] - 1, down[i][1])
+            if any(cells):
+                rows.append(cells)
     widths: list[int] = []
     for cells in rows:
         for i, cell in enumerate(cells):
             if i == len(widths):
                 widths.append(0)
-            widths[i] = max(widths[i], width(cell))
-    lines = [
-        " | ".join(c + " " * (w - width(c)) for c, w in zip(cells, widths, strict=False)).rstrip(" ") for cells in rows
-    ]
-    return above + [line.rstrip(" |") for line in lines]
-
-
-def _spread(node: Node) -> list[str]:
-    """Like ``flat``, with a blank around each block."""
-    out, stack = [], [node]
-    joined = ""
-    while stack:
-        at = stack.pop()
-        if isinstance(at, str):
-            joined += at
-        elif at.tag == "img" and at.attrs.get("alt"):
-            joined += at.attrs["alt"]
-        elif not is_hidden(at):
-            if at.tag in BLOCK or at.tag == "br":
-                out.append(joined)
-                joined = ""
-                stack.append(" ")
-            stack.extend(reversed(at.children))
-    return [*out, joined]
+            widths[i] = max([widths[i], *[w for line in cell if (w := width(line)) <= WIDEST]])
+    lines = []
+    for cells in rows:
+        for k in range(max(map(len, cells))):
+            parts = [cell[k] if k < len(cell) else "" for cell in cells]
+            lines.append(" | ".join(c + " " * (w - width(c)) for c, w in zip(parts, widths, strict=False)).rstrip(" |"))
+    return above + lines
 
 
 def render(html: str | None) -> str:
     """The visible text of one whole page."""
     builder = TreeBuilder()
     builder.feed(html or "")
-    renderer = Renderer()
-    renderer.walk(builder.root)
-    return "\n".join(renderer.lines)
+    for table in reversed(settle(builder.root)):  # inner tables first
+        table.laid = table_lines(table)
+    return "\n".join(lines_of(builder.root))
 
 
 def _rendered(pages: pa.Array) -> pa.Array:
@@ -404,11 +519,13 @@ def _rendered(pages: pa.Array) -> pa.Array:
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """(page_id, text, n_chars, n_lines): all visible text of every whole page, laid out.
 
-    A tree is built with the end and start tags that HTML implies; scripts, styles, hidden
-    elements and comments are left out. White space is collapsed as on screen, blocks
+    A tree is built with the end and start tags that HTML implies; scripts, styles, comments and
+    what is hidden by attribute, inline style or a rule for a tag, class or id are left out; text
+    made visible again inside a hidden element is there. Texts of drawings, formulas, text areas
+    and all options of a choice are visible. White space is collapsed as on screen, blocks
     stand on lines of their own with blank lines around paragraphs, headings, lists and
     tables, list items have markers and indents, preformatted text keeps its lines, and
-    table cells are padded to their columns.
+    table cells, of one or several lines, are padded to their columns of up to ``WIDEST`` characters.
 
     Null and empty pages give an empty text; a tag or comment that never ends takes the rest of
     the page; elements nest 512 deep, deeper ones become siblings; repeated rows each give a row; an empty table gives none. Other columns are ignored.

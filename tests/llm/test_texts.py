@@ -11,7 +11,7 @@ import pytest
 pytest.importorskip("tessella.llm")
 
 from tessella.llm.decontaminate import Seeds, benchmark_leaks, runs_of, tile, tokens, without_leaks  # noqa: E402
-from tessella.llm.html import render  # noqa: E402
+from tessella.llm.html import extract_text, render  # noqa: E402
 from tessella.llm.pii import all_spans, find_personal_data, luhn, plain_spans  # noqa: E402
 from tessella.llm.quality import Neighbours, classify_quality, fit_neighbours, held_out  # noqa: E402
 from tessella.llm.rules import COUNTS, reject_outliers, robust_distances, text_counts  # noqa: E402
@@ -154,7 +154,23 @@ def test_personal_data_of_rows(spark, documents, long_text):
         ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e", "- a\n- b\n  - c\n- d\n\ne"),
         ("<ol start=9><li>a<li>b</ol>", "9. a\n10. b"),
         ("<table><tr><td>a<td>bb<tr><th>ccc<td>d</table>z", "a   | bb\nccc | d\n\nz"),
-        ("<table><td>a<table><td>in</table><td>b</table>", "a in | b"),
+        ("<table><td>a<table><td>in</table><td>b</table>", "a  | b\n\nin"),
+        ("<table><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><td>x<td rowspan=3>y<td>z<tr><td>1<td>2<tr><td>3<td>4<tr><td>5<td>6<td>7</table>", "x | y | z\n1 |   | 2\n3 |   | 4\n5 | 6 | 7"),
+        ("<table><tbody><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><td colspan=2 rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>", "a |   | b\n  |   | c\nd | e | f"),
+        ("<table><td><p>a<p>b<td><ul><li>c<li>d</ul></table>", "a | - c\n  | - d\nb"),
+        ("<table><caption>t</caption><td>a<table><td>b<td>c<tr><td>dd<td>e</table></table>", "t\na\n\nb  | c\ndd | e"),
+        ("<svg><title>n</title><defs><text>o</text></defs><text>a</text><text>b <tspan>c</tspan></text></svg>", "a\nb c"),
+        ("x <math><mi>a</mi><mo>+</mo><mn>1</mn><annotation>no</annotation></math> y", "x a+1 y"),
+        ("a<textarea>\n b &amp; <i>\n\n c</textarea>d", "a\n b & <i>\n\n c\nd"),
+        ("<p>a <select><optgroup label=g><option>b<option>c</select></p>d", "a\ng\nb\nc\n\nd"),
+        ("<pre>a\n<ul><li>b<li>c\nd</ul>\n\n\ne\n</pre>f", "a\n\n- b\n- c\n  d\n\n\n\n\ne\n\nf"),
+        ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d", "b\nd"),
+        ("<div style='display:none'>a<b style='visibility:visible;display:block'>b</b></div>d", "d"),
+        ("<style>.x, #y , p.z{color:red;display:none} .v{visibility:hidden}</style><b class='q x'>a</b><b id=y>b</b><i class=z>c</i><p class=z>d<p>e<u class=v>f</u>", "c\n\ne"),
+        ("<style>/* .a{display:none} */ @media print{.a{display:none}} .a{display:none} b.a{display:inline} .c .a{display:none}</style><b class=a>b</b><i class=a>c</i>", "b"),
+        ("<style>.a{display:none!important}</style><b class=a style='display:inline'>x</b><b hidden style='display:block'>y</b>", "y"),
         ("<script>x<p></script><style>y</style>z<!-- c -->", "z"),
         ("<p hidden>a</p><p style='display: none'>b</p><p>c", "c"),
         ("<head><title>t</title><body>b", "b"),
@@ -182,7 +198,7 @@ def test_deep_and_broken_pages():
 
 @pytest.mark.parametrize(
     "piece",
-    ["<!--", "<a ", "<", "&", "<div>", "<ul><li>", "<p>x", "<table><tr><td>", "<script>", "</b>", "<b>x", '<a href="', "<li>x", "<b><p>"],
+    ["<!--", "<a ", "<", "&", "<div>", "<ul><li>", "<p>x", "<table><tr><td>", "<table><tr><td rowspan=9>x", "<pre>\n", "<style>.a{display:none}", "<style>@media{", "<select><option>", "<script>", "</b>", "<b>x", '<a href="', "<li>x", "<b><p>"],
 )
 def test_hostile_pages_take_linear_time(piece):
     start = time.perf_counter()
@@ -190,6 +206,40 @@ def test_hostile_pages_take_linear_time(piece):
     assert time.perf_counter() - start < 20
 
 
+def test_pages_of_rows(spark):
+    pages = ["<p>a<p>b", None, "", "<p>a<p>b", "<table><tr><td>" + "x" * 300_000 + "<td>y" + "<tr><td>z<td>w" * 2_000 + "</table>", "<p>" + "word " * 200_000]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
+    got = {r.page_id: r for r in extract_text(df).collect()}
+    assert {i: (r.text, r.n_chars, r.n_lines) for i, r in got.items() if i < 4} == {0: ("a\n\nb", 4, 3), 1: ("", 0, 0), 2: ("", 0, 0), 3: ("a\n\nb", 4, 3)}
+    assert got[4].n_lines == 2_001 and got[4].n_chars == 300_004 + 2_000 * 6
+    assert got[5].n_chars == 200_000 * 5 - 1
+    assert extract_text(df.limit(0)).count() == 0
+
+
+def test_words_seen_are_those_of_a_plain_walk():
+    """Every visible word is there, in order, and none that is hidden: random trees against a recursion."""
+    rng = random.Random(23)
+    names = ["div", "p", "span", "ul", "pre", "svg", "section", "blockquote"]
+
+    def grow(depth, shown):
+        tag, style = rng.choice(names), rng.choice(["", "", "", "display:none", "visibility:hidden", "visibility:visible"])
+        shown = None if style == "display:none" or shown is None else {"visibility:hidden": False, "visibility:visible": True}.get(style, shown)
+        inner, words = "", []
+        for _ in range(rng.randrange(4)):
+            if depth and rng.random() < 0.6:
+                html, more = grow(depth - 1, shown)
+                inner, words = inner + html, words + more
+            else:
+                word = f"w{rng.randrange(10**6)}"
+                inner, words = inner + f" {word} ", words + ([word] if shown else [])
+        closed = "div" if tag == "p" else tag  # a paragraph would be closed by the blocks in it
+        return f"<{closed} style='{style}'>{inner}</{closed}>", words
+
+    for _ in range(300):
+        html, words = grow(5, True)
+        assert re.findall(r"w[0-9]+", render(html)) == words, html
+
+
 def brute_counts(text):
     text = text or ""
     words = re.findall("[^\x20\x09-\x0d]+", text)
