@@ -63,8 +63,16 @@ def read_postings_csv_(spark, sf_dir):
 def read_postings_json_(spark, sf_dir):
     path = scratch_path(spark)
     turns = table(spark, sf_dir, "conversations")
-    turns.select(F.to_json(F.array(F.struct("conv_id", "turn", "role", "text")))).write.text(path)
-    return read_postings_json(spark, path, turns.schema, lines=True)
+    # Each file is one array over many lines: the first object opens it, the last line closes it.
+    rows = turns.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value"), F.spark_partition_id().alias("part"))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    edges = rows.groupBy("part").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    placed = rows.join(edges, "part")
+    opened = F.when(F.col("at") == F.col("first"), "[").otherwise("")
+    closed = F.when(F.col("at") == F.col("last"), "]").otherwise(",")
+    lines = placed.select("part", "at", F.concat(opened, "value", closed).alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(path)
+    return read_postings_json(spark, path, turns.schema)
 
 
 @query(f"""

@@ -1,13 +1,17 @@
 """Sources, cleaning steps, count tables and the two dataset plans."""
 
+import csv
 import json
+import random
 
+import pytest
 from pyspark.sql import Row, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tessella import operators as op
 from tessella.plans import labelled_postings, stage_report, tagged_postings
 from tessella.sources import (
+    pieces,
     normalise_columns,
     read_postings_csv,
     read_postings_json,
@@ -40,6 +44,86 @@ def test_json_array_file_and_array_lines(spark, tmp_path):
     assert read_postings_json(spark, str(lines), schema, lines=True).count() == 4
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few bytes, so that every kind of edge falls on one."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = {n: spark.conf.get(n) for n in names}
+
+    def use(size):
+        for n in names:
+            spark.conf.set(n, str(size))
+
+    yield use
+    for n, value in old.items():
+        spark.conf.set(n, value)
+
+
+@pytest.mark.parametrize("size", [15, 40, 1_000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_in_many_splits_reads_as_in_one_task(spark, tmp_path, small_splits, size, end):
+    rng = random.Random(size)
+    words = ["a", '"', ",", "\n", "é", "bc d", "\n\n", '""', "5' pipe", "NA", "", '",\n"']
+    rows = [(str(i), *["".join(rng.choice(words) for _ in range(rng.randrange(5))) for _ in range(2)]) for i in range(14)]
+    rows.append(("14", "x" * 60 + "\n" * 20 + '"', "end"))
+    (tmp_path / "in").mkdir()
+    for name, part in (("b.csv", rows[9:]), ("a.csv", rows[:9])):
+        with open(tmp_path / "in" / name, "w", newline="", encoding="utf8") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow(["id", "left,\n", 'ri"ght'])
+            writer.writerows(part[:5])
+            out.write(end)
+            writer.writerows(part[5:])
+    schema = StructType([StructField("id", LongType()), StructField("x", StringType()), StructField("y", StringType())])
+    small_splits(size)
+    got = read_postings_csv(spark, str(tmp_path / "in"), schema, missing=["NA"], ordinal="row").orderBy("row").collect()
+    empty = lambda t: None if t in ("", "NA") else t
+    assert [tuple(r) for r in got] == [(int(i), empty(x), empty(y), n) for n, (i, x, y) in enumerate(rows)]
+    if end == "\n":  # the plain reader takes the line feed in the header's cell for the line end
+        plain = spark.read.schema(schema).options(header=True, multiLine=True, quote='"', escape='"').csv(str(tmp_path / "in"))
+        assert [tuple(r)[:3] for r in got] == sorted((r.id, empty(r.x), empty(r.y)) for r in plain.collect())
+
+
+def test_csv_quotes_inside_bare_cells(spark, tmp_path, small_splits):
+    path = tmp_path / "raw.csv"
+    path.write_text('id,x\n1,5" pipe\n2,"a\nb"\n3,c"d"\n4,"e ""f"" \n,\n g"\n', encoding="utf8")
+    schema = StructType([StructField("id", LongType()), StructField("x", StringType())])
+    plain = spark.read.schema(schema).options(header=True, multiLine=True, quote='"', escape='"').csv(str(path)).collect()
+    assert len(plain) == 4
+    for size in (9, 1_000):
+        small_splits(size)
+        got = read_postings_csv(spark, str(path), schema, missing=[])
+        assert sorted(got.collect()) == sorted(plain)
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("size", [12, 50, 5_000])
+def test_json_array_in_many_splits_reads_as_in_one_task(spark, tmp_path, small_splits, size, indent):
+    rng = random.Random(size)
+    words = ["a", "}", "{", '"', "\\", "]", "[", ",", "\n", "é", '"}', "\\}", '{"t": 1}']
+    rows = [
+        {"t": "".join(rng.choice(words) for _ in range(rng.randrange(7))), "deep": {"n": i, "l": [{"m": "}"}] * rng.randrange(3)}}
+        for i in range(12)
+    ]
+    (tmp_path / "in").mkdir()
+    for name, part in (("a.json", rows[:8]), ("b.json", rows[8:]), ("c.json", []), ("d.json", {"t": "one", "deep": {"n": 99, "l": []}})):
+        (tmp_path / "in" / name).write_text(json.dumps(part, indent=indent, ensure_ascii=False), encoding="utf8")
+    schema = spark.createDataFrame([], "t string, deep struct<n:int,l:array<struct<m:string>>>").schema
+    small_splits(size)
+    got = read_postings_json(spark, str(tmp_path / "in"), schema).collect()
+    want = [*rows, {"t": "one", "deep": {"n": 99, "l": []}}]
+    assert sorted((r.t, r.deep.n, len(r.deep.l)) for r in got) == sorted((r["t"], r["deep"]["n"], len(r["deep"]["l"])) for r in want)
+
+
+def test_one_file_is_read_in_many_tasks(spark, tmp_path, small_splits):
+    path = tmp_path / "raw.csv"
+    path.write_text("id,x\n" + "".join(f'{i},"line\nand ""more"""\n' for i in range(5_000)), encoding="utf8")
+    small_splits(10_000)
+    found = pieces.records(spark, str(path), pieces.CsvLines)
+    assert found.count() == 5_001
+    assert pieces._pieces(spark, str(path), pieces.CsvLines).rdd.getNumPartitions() > 8
+
+
 def test_sinks_overwrite(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     for _ in range(2):
