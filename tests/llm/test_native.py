@@ -5,12 +5,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tessella.llm")
 
 from tessella.llm.mixing import mix_to_targets, source_targets  # noqa: E402
 from tessella.llm.sharding import keyed_rows, shard_by_splitters, splitters  # noqa: E402
-from tessella.llm.urls import RULES, blocked_bloom, judge_urls, possible_hits  # noqa: E402
+from tessella.llm.urls import RULES, _canonical_sql, blocked_bloom, canonical_url, judge_urls, possible_hits  # noqa: E402
 
 
 def sharded(rows, shards):
@@ -171,3 +172,63 @@ def test_bloom_filter_misses_nothing_and_passes_little(spark):
     assert possible_hits(keys, "key", bloom, blocks).count() == 3000
     assert possible_hits(others, "key", bloom, blocks).count() < 400
     assert math.ceil(3000 * 16 / 512) == blocks
+
+
+SPELLINGS = {
+    "www.a.org/x/y?a=1&b=2": [
+        "https://www.a.org/x/y?a=1&b=2",
+        "HTTP://WWW.A.org:80/x/y/?b=2&a=1#top",
+        "https://user:pass@www.a.org.:443/x/./z/../y?&utm_source=feed&a=1&b=2",
+        "http://www.a.org/%78/y?%61=1&b=2&gclid=7",
+        "ftp://www.a.org:/x/y//?a=1&b=2",
+    ],
+    "www.a.org:8080/": ["http://www.a.org:8080", "http://www.a.org:8080/..", "http://www.a.org:8080/?utm_id=3"],
+    "www.a.org/%2F%zz%E4": ["http://www.a.org/%2f%zz%e4/"],
+    None: [None, "", "www.a.org/x/y"],
+}
+
+
+def test_spellings_of_a_url_are_one(spark):
+    rows = [(want, url) for want, urls in SPELLINGS.items() for url in urls]
+    got = spark.createDataFrame(rows, "want string, url string").select("want", "url", canonical_url(F.col("url")).alias("got"))
+    assert [(r.url, r.got) for r in got.collect()] == [(url, want) for want, url in rows]
+
+
+def test_listed_urls_are_blocked_where_no_rule_fits(spark):
+    urls = [u for us in SPELLINGS.values() for u in us] + ["http://www.example.com/en/1", "http://x.net/es/", "http://b.org/" + "y/" * 20_000]
+    pages = spark.createDataFrame([(i, u, "c") for i, u in enumerate(urls * 2)], "page_id long, url string, canonical string")
+    listed = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    blocked = spark.createDataFrame(
+        [("http://www.a.org/x/y?b=2&a=1",), ("https://www.example.com/en/1",), (None,), ("http://b.org/" + "y/" * 20_000,)] * 2, "url string"
+    )
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages, listed, blocked=blocked).collect()}
+    same = set(SPELLINGS["www.a.org/x/y?a=1&b=2"]) | {urls[-1]}
+    fixed = {"http://www.example.com/en/1": ("www.example.com/en/", "allow"), "http://x.net/es/": ("net/es/", "block")}
+    assert got == {i: fixed.get(u, (None, "block" if u in same else "allow")) for i, u in enumerate(urls * 2)}
+    none = judge_urls(pages, listed, blocked=blocked.limit(0)).where("rule IS NULL AND verdict <> 'allow'")
+    assert none.count() == 0
+
+
+def test_rules_of_many_shapes(spark):
+    rules = [(f"h{i % 7}.org", "/" + "ab" * (i % 40) + str(i), "block" if i % 3 else "allow") for i in range(300)]
+    urls = [f"http://{'x.' * (i % 3)}h{i % 8}.org/{'ab' * (i % 41)}{i}/t" for i in range(320)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.rule for r in judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+
+    def want(url):
+        host, path = url.removeprefix("http://").split("/", 1)
+        fits = [h + p for h, p, _ in rules if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fits, key=len, default=None)
+
+    assert got == {i: want(u) for i, u in enumerate(urls)}
+
+
+def test_spellings_agree_with_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    urls = [u for us in SPELLINGS.values() for u in us] + [u for u in URLS if u is None or "%" not in u]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.key for r in rows.select("page_id", canonical_url(F.col("url")).alias("key")).collect() if r.key is not None}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", [list(r) for r in enumerate(urls)])
+    assert got == dict(con.sql(f"WITH {_canonical_sql()} SELECT page_id, canonical FROM canonical").fetchall())
