@@ -10,6 +10,8 @@ from .registry import extra, partitions, query, table
 SPAN = 3
 #: Passages of more words than this are compared on one and two lines as well, where that is asked for.
 PASSAGE = 50
+#: Windows with more than this share of all places are hot; there are at most as many as its inverse.
+HOT = 1000
 _BLANK = "[ \\t\\n\\x0b\\f\\r]+"
 
 
@@ -57,8 +59,10 @@ def _short_windows(docs: DataFrame, passage: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, passage: int | None = None) -> DataFrame:
     """(doc_id, text_key, positions): the lines of each row of ``docs(doc_id, text_key, text)`` to remove.
 
-    Windows are dealt once by their two 64-bit hashes; the count and the first place of
-    each window and the join back both use that dealing. Places of a window that came
+    Windows are stored and counted by partial sums. Those that hold over a thousandth of all
+    places, so at most a thousand, get their first place by partial sums too, which goes to every
+    task. All others are dealt once by their two 64-bit hashes; the count and the first place of
+    each and the join back both use that dealing. Places of a window that came
     before are all but the first, in order of id, text and position. With ``passage``, the
     windows of ``_short_windows`` take part.
     """
@@ -78,16 +82,18 @@ def repeated_windows(docs: DataFrame, passage: int | None = None) -> DataFrame:
     found = placed.select("doc_id", "text_key", F.inline(window)).drop("at")
     if passage is not None:
         found = found.unionByName(_short_windows(docs, passage))
-    dealt = found.repartition(partitions(docs), "h1", "h2")
-    # All columns take part, so that both uses read one and the same exchange.
+    found = durable(found)
     place = F.struct("doc_id", "text_key", "p0", "p1", "p2")
-    twice = (
-        dealt.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first < last")
-        .select("h1", "h2", "first")
-    )
-    later = dealt.join(twice, ["h1", "h2"]).where(place > F.col("first"))
+    ends = [F.min(place).alias("first"), F.max(place).alias("last")]
+    total = found.count()
+    key = ["h1", "h2"]
+    hot = F.broadcast(durable(found.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") * HOT > total).drop("n")))
+    hot_twice = durable(found.join(hot, key).groupBy(*key).agg(*ends).where("first < last").drop("last"))
+    hot_later = found.join(F.broadcast(hot_twice), key)
+    # All columns take part, so that both uses read one and the same exchange.
+    dealt = found.join(hot, key, "left_anti").repartition(partitions(docs), *key)
+    twice = dealt.groupBy(*key).agg(*ends).where("first < last").drop("last")
+    later = dealt.join(twice, key).unionByName(hot_later).where(place > F.col("first"))
     return later.groupBy("doc_id", "text_key").agg(
         F.array_distinct(F.flatten(F.collect_list(F.array("p0", "p1", "p2")))).alias("positions")
     )

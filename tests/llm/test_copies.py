@@ -183,6 +183,15 @@ def test_lines_as_seen_one_by_one(spark, documents):
     assert got == deduped(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("share", [1, 10**9])
+def test_hot_windows_are_removed_like_others(spark, documents, monkeypatch, share):
+    """With 1 no window is hot, with the other share every one."""
+    monkeypatch.setattr("tessella.llm.lines.HOT", share)
+    texts = [f"head {i % 3}\nx\ny\nz\ntail {i}" for i in range(40)] + ["x\ny\nz"] * 3
+    got = sorted(map(tuple, dedup_lines(documents(texts)).collect()))
+    assert got == deduped(list(enumerate(texts)))
+
+
 def test_lines_of_odd_rows(spark, documents):
     docs = documents([None, "", "a\nb\nc", "a\nb\nc", "a\nb\nc", "a\nb"], ids=[None, 0, None, 5, 5, 6])
     got = sorted(((r.doc_id is not None, r.doc_id), r.text is not None, r.text, r.n_removed) for r in dedup_lines(docs).where("doc_id is not null").collect())
