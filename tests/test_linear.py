@@ -127,3 +127,54 @@ def test_odd_tables(spark, sample):
     zero = spark.createDataFrame([(0.0, 0), (1.0, 0), (1.0, 1)], "label double, fold int").selectExpr("*", "array(0D, 0D) AS a")
     model = op.fit_linear_svm(zero.withColumn("features", array_to_vector("a")))
     assert np.abs(model.weights).max() == 0
+
+
+def test_what_meets_on_the_driver_is_bounded(spark):
+    """Counts of rare columns and the weights of many wide fits stay off the driver; each block holds a value once."""
+    n = 3000
+    found = []
+
+    def collect(df):
+        found.append(kept(df))
+        return found[-1]
+
+    schema = StructType([StructField("features", VectorUDT()), StructField("y", IntegerType())])
+    wide = spark.createDataFrame(
+        [(Vectors.sparse(n + 1, [0, i + 1], [1.0, 2.0]), i % 2) for i in range(n)], schema
+    )
+    stored = op.durable(wide)
+    kept = type(stored).collect
+    type(stored).collect = collect
+    try:
+        table = linear.store_rows(stored, "features", ["y"])
+    finally:
+        type(stored).collect = kept
+    assert table.dense.tolist() == [0]
+    assert max(map(len, found)) <= linear.DENSE
+    assert linear.CELLS * 8 * 16 <= 1 << 28
+    blocks = list(linear._opened((tuple(r) for r in table.table.collect()), 1))
+    assert sum(len(b.values) for b in blocks) == n
+    assert all(len(b.at) == len(b.values) for b in blocks)
+    total = np.zeros((table.width + 2, 1))
+    for b in blocks:
+        b.pull(total, np.ones((len(b.folds), 1)), table.width)
+    assert total[:, 0].tolist() == [0.0] + [2.0] * n + [n, n]
+
+
+def test_a_wide_vector_has_no_attributes_on_the_driver(spark):
+    """Appended columns equal those of the assembler, without a description of each place; the vocabulary is joined by shuffle."""
+    from tessella.operators.vectorise import append_values, as_vectors, assemble, fit_tfidf, ngrams_1_2, tokenize
+
+    rows = spark.createDataFrame([(1, "red ring bolt", 1, 0), (2, "blue gear", 0, 1), (3, "", 0, 0)], "id int, text string, a int, b int")
+    terms = ngrams_1_2(tokenize(rows, "text", []))
+    model = fit_tfidf(terms, min_df=1, max_df=1.0, size=None, sublinear=False)
+    weighted = model.transform(terms)
+    table = as_vectors(append_values(weighted, ["a", "b"]), ["tfidf", "features"])
+    assert table.schema["features"].metadata == {}
+    both = assemble(table, ["tfidf", "a", "b"], "wanted").select("features", "wanted").collect()
+    assert all(r.features.toArray().tolist() == r.wanted.toArray().tolist() for r in both)
+    plan = weighted._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    twice = model.transform(terms.unionByName(terms))
+    with pytest.raises(Exception, match="not unique"):
+        append_values(twice, ["a", "b"]).collect()
