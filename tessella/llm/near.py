@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import durable
-from .graph import components, hooked
+from .graph import components
 from .registry import extra, partitions, query, table
 from .words import shingles, texts_of, windows, word_hashes
 
@@ -19,6 +19,8 @@ OVERLAP, SIZES = 9, 4
 _CHUNK = 1 << 21
 #: Buckets of more classes are indexed by R-trees; smaller ones are a leaf each.
 LEAF = 64
+#: Rounds of comparing each class with one head; a large group of near copies may need them all.
+MOST_ROUNDS = 12
 
 
 def frequent_shingles(texts: DataFrame, least: int = 100, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
@@ -403,19 +405,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = sets.where("n > 0")
     thin = classes.select("rep", "doc_id", "text_key")
     points = classes.select("rep", "point")
-    links, roots = None, None
+    roots, first = None, 0
     open_rows = shared.withColumn("root", F.col("rep"))
-    for number in range(rounds):
+    for number in range(MOST_ROUNDS):
         found = verified(durable(bounded(_stars(open_rows, number), points)), thin, rows)
-        links = found if links is None else links.unionByName(found)
-        roots = durable(hooked(links))
+        n = found.count()
+        first = first or n
+        if number >= rounds and 10 * n < first:
+            break
+        # Linked classes hang on their root, so each round starts from stars and settles in a few steps.
+        links = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = durable(components(links))
         rooted = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
             "token", "rep", F.coalesce("root", "rep").alias("root"), "members", "n", "place"
         )
         open_rows = durable(_mixed(rooted))
     pairs = _leaf_pairs(open_rows, points).unionByName(_tree_pairs(open_rows, points))
     more = verified(durable(pairs.distinct()), thin, rows)
-    roots = durable(components(links.unionByName(more)))
+    hung = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = durable(components(hung.unionByName(found).unionByName(more)))
     rooted_classes = (
         classes.select("rep", "s1", "s2", "doc_id", "text_key")
         .join(roots, F.col("rep") == F.col("node"), "left")
