@@ -209,3 +209,26 @@ def test_passages_on_one_and_two_lines(spark, documents):
     assert got[2] == (texts[2], 0) and got[3] == ("h\ni", 2)
     assert got[4] == ("short", 0) and got[5] == ("", 1) and got[6] == ("k\nl", 0) and got[7] == ("", 2)
     assert got[8] == (texts[8], 0)
+
+
+def test_a_large_group_of_near_copies_is_united_before_its_pairs(spark, monkeypatch):
+    """About half of the pairs of copies link; few of them are verified once the rounds are over."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for doc in range(240):
+        words = list(base)
+        for at in rng.sample(range(400), rng.randint(1, 8)):
+            words[at] = f"x{doc}_{at}"
+        rows.append((doc, " ".join(words)))
+    taken, verified = [], near.verified
+
+    def counted(pairs, *args, **kwargs):
+        taken.append(pairs.count())
+        return verified(pairs, *args, **kwargs)
+
+    monkeypatch.setattr(near, "verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near.near_duplicates(docs).collect())
+    assert found == [(doc, *g) for (doc, _), g in zip(rows, grouped(rows), strict=True)]
+    assert taken[-1] <= 10 * len(rows), taken
