@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.regex import SPACE
 from ..functions.text import text_length
 from ..rules import BASE_SOURCE, CATEGORY_ROLES, FRESH_SOURCE, STOP_WORDS
-from ..session import durable, durable_by
+from ..session import durable
 from .labelling import mapped_category
+from .terms import Asked
 from .vectorise import (
-    ngrams_1_2,
     per_group_tfidf,
-    per_group_vocabulary,
-    term_counts,
+    term_stats,
     tokenize,
     top_per_group,
+    top_vocabulary,
     weigh_per_group,
 )
 
@@ -55,7 +58,7 @@ def build_corpus(
 class Index:
     """Stored weights of every document, with one vocabulary per category.
 
-    ``rows`` has ``(group, doc, weights)``, one row per document, dealt by document;
+    ``rows`` has ``(group, doc, weights)``, one row per document;
     ``vocab`` has ``(group, term, idf)`` and ``sizes`` ``(group, n_docs)``.
     """
 
@@ -83,13 +86,9 @@ class Index:
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    """A saved index; its rows are dealt by document once more."""
+    """A saved index."""
     read = lambda name: spark.read.parquet(f"{path}/{name}")
-    return Index(read("vocab"), durable_by(read("rows"), "doc"), read("sizes"), read("stop_words").first()[0])
-
-
-def _terms(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    return ngrams_1_2(tokenize(df, text, stop_words))
+    return Index(read("vocab"), read("rows"), read("sizes"), read("stop_words").first()[0])
 
 
 def build_index(
@@ -107,21 +106,37 @@ def build_index(
     """
     named = docs.select(F.col(group).alias("group"), F.col(doc).alias("doc"), F.col(text).alias("text"))
     named = named.where("group is not null")
-    terms = _terms(named, "text", stop_words)
+    words = tokenize(named, "text", stop_words)
     sizes = durable(named.groupBy("group").agg(F.count("*").alias("n_docs")))
-    counts = term_counts(terms, ["group", "doc"])
-    vocab = durable(per_group_vocabulary(counts, sizes, "group", size))
-    weighted = weigh_per_group(terms, vocab, "group").select("group", "doc", "weights")
-    return Index(vocab, durable_by(weighted, "doc"), sizes, stop_words)
+    vocab = durable(top_vocabulary(term_stats(words, "tokens", "group", pairs=True), sizes, "group", size))
+    weighted = weigh_per_group(words, vocab, "group", "tokens", pairs=True).select("group", "doc", "weights")
+    return Index(vocab, durable(weighted), sizes, stop_words)
 
 
 def query_weights(index: Index, queries: DataFrame) -> DataFrame:
     """``(query_id, group, term, q_weight)`` of ``queries`` ``(query_id, group, text)``."""
-    terms = _terms(queries, "text", index.stop_words)
-    weights = per_group_tfidf(terms, index.vocab, "group", "query_id")
+    words = tokenize(queries, "text", index.stop_words)
+    weights = per_group_tfidf(words, index.vocab, "group", "query_id", "tokens", pairs=True)
     return weights.withColumnRenamed("weight", "q_weight")
 
 
+def _closest(rows: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``(query_id, group, doc, similarity)``: the ``k`` closest documents of each task's rows."""
+    asked, kinds = Asked(weights.toArrow()), {f.name: f.dataType for f in [*weights.schema, *rows.schema]}
+    schema = StructType([StructField(c, kinds[c]) for c in ("query_id", "group", "doc")]).add("similarity", "double")
+    return rows.select("group", "doc", "weights").mapInArrow(
+        lambda batches: asked.closest(batches, k, SIMILARITY_DECIMALS), schema
+    )
+
+
+def _summed(rows: DataFrame, weights: DataFrame) -> DataFrame:
+    """``(query_id, group, doc, similarity)`` of all pairs that share a term, by a join on the term."""
+    opened = rows.select("group", "doc", F.inline_outer("weights")).where("term is not null")
+    similarity = F.round(F.sum(F.col("weight") * F.col("q_weight")), SIMILARITY_DECIMALS)
+    joined = opened.join(weights, ["group", "term"])
+    return joined.groupBy("query_id", "group", "doc").agg(similarity.alias("similarity"))
+
+
 def retrieve_topk(index: Index, queries: DataFrame, k: int = 20, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``(query_id, group, rank, doc, similarity)``: the ``k`` closest documents of the
     query's category by cosine; ties go to the lower document id.
@@ -129,19 +144,22 @@ def retrieve_topk(index: Index, queries: DataFrame, k: int = 20, broadcast_rows:
     Documents sharing no term score 0 and fill up a short list. Only the first ``k``
     documents of a category can be needed for that, so the remaining zero pairs are
     never formed. The stored query weights go to every task while they are at most
-    ``broadcast_rows`` (beyond, Spark joins by term). The index is dealt by document, so a
-    pair's similarity is summed in the task that reads the document, and only ``k`` rows
-    per query leave it.
+    ``broadcast_rows`` (beyond, Spark joins by term). A document's weights are in one row, so
+    its similarities are summed in the task that reads it, and only ``k`` rows per query
+    leave the task. Documents whose id comes more than once are summed over their rows.
     """
     weights = durable(query_weights(index, queries))
-    if weights.count() <= broadcast_rows:
-        weights = F.broadcast(weights)
-    similarity = F.round(F.sum(F.col("weight") * F.col("q_weight")), SIMILARITY_DECIMALS)
-    scored = (
-        index.weights.join(weights, ["group", "term"])
-        .groupBy("query_id", "group", "doc")
-        .agg(similarity.alias("similarity"))
-    )
+    n_weights = weights.count()
+    if n_weights <= broadcast_rows and weights.schema["group"].dataType == index.rows.schema["group"].dataType:
+        by = ["group", "doc"]
+        again = durable(index.rows.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1").select(*by))
+        scored = _closest(index.rows, weights, k)
+        if not again.isEmpty():
+            same = functools.reduce(operator.and_, [F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}")) for c in by])
+            of = lambda how: index.rows.alias("r").join(again.alias("a"), same, how)
+            scored = _closest(of("left_anti"), weights, k).unionByName(_summed(of("left_semi"), F.broadcast(weights)))
+    else:
+        scored = _summed(index.rows, F.broadcast(weights) if n_weights <= broadcast_rows else weights)
     order = [F.desc("similarity"), F.col("doc")]
     hits = top_per_group(scored, ["query_id", "group"], order, k, "doc")
     first = top_per_group(index.docs, ["group"], [F.col("doc")], k, "doc")

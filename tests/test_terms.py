@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tessella import operators as op
 from tessella.functions import regex
 from tessella.operators import terms as tm
 from tessella.operators.vectorise import top_vocabulary, term_stats
@@ -85,6 +86,18 @@ def test_closest_equals_sorting_all_pairs(monkeypatch, cells):
     assert not list(tm.Asked(table.slice(0, 0)).closest(iter(batches), 5, 9))
 
 
+def test_repeated_ids_are_summed_and_pairs_are_not_shuffled(spark):
+    texts = [(1, "spark joins"), (2, "spark joins rows"), (2, "joins rows"), (3, "rows"), (4, "spark"), (5, "data")]
+    df = spark.createDataFrame([(i, "a", t) for i, t in texts], "id bigint, g string, text string")
+    queries = spark.createDataFrame([(1, "a", "spark joins rows")], "query_id bigint, group string, text string")
+    index = op.build_index(df, "id", "g", "text", stop_words=[])
+    expected = [tuple(r) for r in op.retrieve_topk(index, queries, 4, broadcast_rows=0).orderBy("rank").collect()]
+    assert [tuple(r) for r in op.retrieve_topk(index, queries, 4).orderBy("rank").collect()] == expected
+    once = op.build_index(df.where("id <> 2"), "id", "g", "text", stop_words=[])
+    plan = op.retrieve_topk(once, queries, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "[group" not in "".join(x for x in plan.split("\n") if "Join" in x and "term" in x)
+
+
 @pytest.mark.parametrize("pattern", [r"b\.?s", r"ph\.?d", "x?ab?", r"a\?b", "a[bc]", r"\.?"])
 def test_spellings_are_all_texts_of_a_pattern(pattern):
     found = regex.spellings(pattern)
