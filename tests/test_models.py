@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -488,3 +489,14 @@ def test_skill_prediction_is_one_job(spark, postings):
     assert skill_prediction(df, "id", "text", "role", ["skill_spark"], 5, always)["metrics"].first().recall == 1
     with pytest.raises(ValueError, match="both sides"):
         skill_prediction(df, "id", "text", "role", ["skill_never"])
+
+
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
+    rng = random.Random(5)
+    rows = [(i, float(i % 3), Vectors.dense([rng.gauss(i % 3, 1.5) for _ in range(6)])) for i in range(300)]
+    df = spark.createDataFrame(rows, ["id", "label", "features"])
+    model = op.fit_random_forest(df, trees=5, depth=12)
+    assert model.getCacheNodeIds()
+    weighted = op.balanced_weights(df, "label")
+    plain = RandomForestClassifier(numTrees=5, maxDepth=12, seed=42, weightCol="weight").fit(weighted)
+    assert [t.toDebugString.split("\n", 1)[1] for t in model.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
