@@ -178,3 +178,27 @@ def test_a_wide_vector_has_no_attributes_on_the_driver(spark):
     twice = model.transform(terms.unionByName(terms))
     with pytest.raises(Exception, match="not unique"):
         append_values(twice, ["a", "b"]).collect()
+
+
+def test_folds_start_from_a_fit_on_all_of_them(sample, monkeypatch):
+    """Fewer passes have the outputs of all folds, and the fits end at the same weights."""
+    df, _, _ = sample
+    stored = linear.store_rows(df, "features", ["label"], "fold")
+    fits = [linear.Fit(0, fold, dict.fromkeys(range(3), 1.0), (code,)) for fold in range(3) for code in range(3)]
+    sizes, whole = [], linear._total
+
+    def counted(blocks, task, size):
+        sizes.append(size)
+        return whole(blocks, task, size)
+
+    monkeypatch.setattr(linear, "_total", counted)
+    warm = linear.solve(stored, linear.SQUARED_HINGE, fits, 0.5, 1.0, 1e-7)
+    full = 9 * (stored.width + len(stored.dense) + 1)
+    n_warm = sum(n >= full for n in sizes)
+    sizes.clear()
+    monkeypatch.setattr(linear, "_start", lambda *_: None)
+    cold = linear.solve(stored, linear.SQUARED_HINGE, fits, 0.5, 1.0, 1e-7)
+    assert n_warm < sum(n >= full for n in sizes)
+    for a, b in zip(warm, cold, strict=True):
+        assert max(a.gradient, b.gradient) <= 1e-7
+        assert np.abs(a.weights - b.weights).max() < 1e-4
