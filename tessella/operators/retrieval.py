@@ -17,8 +17,8 @@ from ..session import durable
 from .labelling import mapped_category
 from .terms import Asked
 from .vectorise import (
+    pair_stats,
     per_group_tfidf,
-    term_stats,
     tokenize,
     top_per_group,
     top_vocabulary,
@@ -98,17 +98,20 @@ def build_index(
     text: str,
     size: int = 5000,
     stop_words: Sequence[str] = STOP_WORDS,
+    tokens: str | None = None,
 ) -> Index:
     """Index all categories in one job: vocabularies, then every document's weights.
 
-    Two passes over the texts. Weights and norms are made in the document's row and
-    stored once, so a batch of queries reads no text.
+    One pass over the texts, whose words are stored. Weights and norms are made in the document's
+    row and stored once, so a batch of queries reads no text. ``tokens`` names the column of stored
+    ``docs`` that has the words of the text, without these stop words, if there is one.
     """
-    named = docs.select(F.col(group).alias("group"), F.col(doc).alias("doc"), F.col(text).alias("text"))
-    named = named.where("group is not null")
-    words = tokenize(named, "text", stop_words)
-    sizes = durable(named.groupBy("group").agg(F.count("*").alias("n_docs")))
-    vocab = durable(top_vocabulary(term_stats(words, "tokens", "group", pairs=True), sizes, "group", size))
+    named = [F.col(group).alias("group"), F.col(doc).alias("doc"), F.col(tokens or text).alias("tokens")]
+    words = docs.select(*named).where("group is not null")
+    if not tokens:
+        words = durable(tokenize(words, "tokens", stop_words))
+    sizes = durable(words.groupBy("group").agg(F.count("*").alias("n_docs")))
+    vocab = durable(top_vocabulary(pair_stats(words, "tokens", "group", size), sizes, "group", size))
     weighted = weigh_per_group(words, vocab, "group", "tokens", pairs=True).select("group", "doc", "weights")
     return Index(vocab, durable(weighted), sizes, stop_words)
 

@@ -130,9 +130,10 @@ def train_role_model(
     label_col: str,
     settings: Settings | None = None,
     fit: Callable[[DataFrame], Classifier] = fit_linear_svm,
+    tokens: str | None = None,
 ) -> RoleModel:
     """Fit on all rows; the honest scores come from `training.train_and_evaluate`."""
-    features = build_features(docs, id_col, text_col, label_col, settings, hold_out=False)
+    features = build_features(docs, id_col, text_col, label_col, settings, hold_out=False, tokens=tokens)
     return RoleModel(features, fit(features.table))
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tessella import operators as op
 from tessella.functions import regex
 from tessella.operators import terms as tm
-from tessella.operators.vectorise import top_vocabulary, term_stats
+from tessella.operators import vectorise
+from tessella.operators.vectorise import pair_stats, top_vocabulary, term_stats
 
 TOKENS = [["b", "a", "b", "a"], [], None, ["a"], ["é", "b", "é"], ["b", None, "a"]]
 
@@ -54,6 +55,73 @@ def test_a_vocabulary_is_cut_before_it_is_shuffled(spark, monkeypatch):
     assert plan.count("Window") == 2 and plan.rindex("Window") < plan.index("MapInArrow")
 
 
+def _random_words(n=300):
+    rng = random.Random(3)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(n * 8)] + ["é", None]
+    rows = [(i, rng.choice(["a", "b", None]), rng.choices(words, k=rng.randint(0, 12))) for i in range(n)]
+    return rows + rows[:20] + [(n, "a", None), (n, "small", ["x", "y", "x", "y"])]
+
+
+@pytest.mark.parametrize("size, min_df, max_df, held", [(5, 1, None, 4), (40, 3, 60.0, 1 << 22), (7, 2, 30.0, 50), (None, 2, 200.0, 1)])
+def test_only_pairs_that_can_be_among_the_most_used_are_counted(spark, monkeypatch, size, min_df, max_df, held):
+    monkeypatch.setattr(tm, "PAIRS", held)
+    monkeypatch.setattr(tm, "ROWS", 11)
+    df = spark.createDataFrame(_random_words(), "id int, g string, tokens array<string>").repartition(3)
+    for group in ("g", None):
+        whole = term_stats(df, "tokens", group, pairs=True).collect()
+        found = pair_stats(df, "tokens", group, size, min_df, max_df).collect()
+        assert len(found) < len(whole) and len(found) == len(set(found))
+
+        def top(rows):
+            kept = [r for r in rows if r.df >= min_df and (max_df is None or r.df <= max_df)]
+            order = sorted(kept, key=lambda r: (-r.tf, r.term))
+            return {r for g in {r[0] if group else 0 for r in kept} for r in [x for x in order if not group or x[0] == g][:size]}
+
+        assert top(found) == top(whole) and top(whole) and set(found) <= set(whole)
+
+
+def test_pairs_are_not_shuffled_as_texts(spark, monkeypatch):
+    """Index and features count words as texts, and pairs as numbers, unless there are too many words to hold."""
+    rows = [(i, g or "c", " ".join(w for w in words or [] if w)) for i, g, words in _random_words()]
+    df = spark.createDataFrame(rows, "id int, g string, text string")
+    asked = []
+
+    def spied(*args, pairs=False, **kwargs):
+        asked.append(pairs)
+        return term_stats(*args, pairs=pairs, **kwargs)
+
+    monkeypatch.setattr(vectorise, "term_stats", spied)
+    words = op.tokenize(df, "text", [])
+    run = lambda: (
+        op.build_index(df, "id", "g", "text", 30, []).vocab.orderBy("group", "term").collect(),
+        op.fit_tfidf(words, "tokens", min_df=2, size=30, pairs=True),
+    )
+    numbers = run()
+    assert asked == [False, False]
+    monkeypatch.setattr(vectorise, "MAX_TERMS", 60)
+    assert run() == numbers and True in asked
+
+
+@pytest.mark.parametrize("pairs", [True, False])
+def test_places_are_those_of_the_terms(pairs):
+    vocab = ["a", "a b", "b b", "c", "é b"]
+    row, at, counts = tm.Places(pa.array(vocab), pairs).counted(pa.array([*TOKENS, ["b", "b", "b", "zz", "c"]], pa.list_(pa.string())))
+    got = {(r, vocab[p]): n for r, p, n in zip(row.tolist(), at.tolist(), counts.tolist(), strict=True)}
+    lists = [*TOKENS, ["b", "b", "b", "zz", "c"]]
+    assert got == {(i, t): n for i, w in enumerate(lists) for t, n in grams(w).items() if t in vocab and (pairs or " " not in t)}
+
+
+def test_stored_words_are_taken(spark):
+    rows = [(i, g, " ".join(w for w in words or [] if w) if i % 9 else None) for i, g, words in _random_words()]
+    df = spark.createDataFrame(rows, "id int, g string, text string")
+    stored = op.durable(op.tokenize(df, "text", ["w1"], "words"))
+    parts = [op.build_index(stored.drop("text").withColumn("text", F.lit(None)), "id", "g", "text", 20, ["w1"], tokens="words")]
+    parts.append(op.build_index(df, "id", "g", "text", 20, ["w1"]))
+    for table in ("vocab", "weights", "sizes"):
+        a, b = (sorted(map(tuple, getattr(x, table).collect()), key=str) for x in parts)
+        assert a == b and a
+
+
 def _index(rows):
     weights = [[{"term": t, "weight": w} for t, w in ws] for _, _, ws in rows]
     kind = pa.list_(pa.struct([("term", pa.string()), ("weight", pa.float64())]))
