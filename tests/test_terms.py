@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella import operators as op
-from tessella.functions import regex
+from tessella.functions import regex, text
 from tessella.operators import terms as tm
 from tessella.operators import vectorise
 from tessella.operators.vectorise import pair_stats, top_vocabulary, term_stats
@@ -182,3 +182,13 @@ def test_optional_letters_are_guarded(spark):
     found = df.select(regex.search(F.col("t"), r"b\.?s\b").alias("found"))
     assert [r.found for r in found.collect()] == [True, True, True, False, False]
     assert "Contains" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_white_space_is_that_of_python(spark):
+    """Of every character; printable ASCII is tested by a class of its own, around that of the others."""
+    rows = [(f"a{chr(c)}b", len(f"a{chr(c)}b".split()), c) for c in [*range(0xD800), *range(0xE000, 0x11000), 0x10FFFF]]
+    df = spark.createDataFrame(rows, "t string, n int, c int")
+    assert df.where(text.word_count(F.col("t")) != F.col("n")).count() == 0
+    outer = regex.NOT_SPACE[1:].split("[")[0]
+    assert all(re.fullmatch(f"[{outer}]", chr(c)) for c in range(0x21, 0x7F))
+    assert regex.NOT_SPACE.count("[") == 2
