@@ -202,3 +202,20 @@ def test_folds_start_from_a_fit_on_all_of_them(sample, monkeypatch):
     for a, b in zip(warm, cold, strict=True):
         assert max(a.gradient, b.gradient) <= 1e-7
         assert np.abs(a.weights - b.weights).max() < 1e-4
+
+
+@pytest.mark.parametrize("joined", [True, False])
+def test_outputs_preconditioned_together(sample, monkeypatch, joined):
+    """Taken as one, the classes of a softmax need few passes also where the loss is large against the penalty; the optimum is the same."""
+    df, x, y = sample
+    passes, total = [], linear._total
+    monkeypatch.setattr(linear, "_total", lambda *given: passes.append(1) or total(*given))
+    if not joined:
+        monkeypatch.setattr(linear, "COUPLED", 0)
+    model = op.fit_logreg(df, c=10.0, tol=1e-6)
+    s = x @ model.weights.T + model.intercepts
+    p = np.exp(s - s.max(1, keepdims=True))
+    pull = (600 / (3 * np.bincount(y)[y]))[:, None] * (p / p.sum(1, keepdims=True) - np.eye(3)[y])
+    start = np.abs(x.T @ ((600 / (3 * np.bincount(y)[y]))[:, None] * (1 / 3 - np.eye(3)[y]))).sum()
+    assert np.abs(model.weights.T / 10 + x.T @ pull).max() < 1e-6 * start
+    assert not joined or len(passes) < 80
