@@ -219,3 +219,27 @@ def test_outputs_preconditioned_together(sample, monkeypatch, joined):
     start = np.abs(x.T @ ((600 / (3 * np.bincount(y)[y]))[:, None] * (1 / 3 - np.eye(3)[y]))).sum()
     assert np.abs(model.weights.T / 10 + x.T @ pull).max() < 1e-6 * start
     assert not joined or len(passes) < 80
+
+
+def test_columns_of_single_rows_kept_apart(spark):
+    """Logistic fits with and without a fold: the same weights whether columns that one row fills are searched for or follow from the rest."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        words = sorted({int(j) for j in rng.integers(0, 12, 3)} | {12})
+        cols = words + [13 + 2 * i, 14 + 2 * i] if i % 3 else words
+        rows.append((Vectors.sparse(260, cols, (0.2 + rng.random(len(cols))).tolist()), int(sum(words) > 30), int(rng.random() < 0.3), i % 4))
+    schema = StructType([StructField("features", VectorUDT()), *[StructField(n, IntegerType()) for n in ("a", "b", "fold")]])
+    df = op.durable(spark.createDataFrame(rows, schema).repartition(3))
+    fits = [linear.Fit(0, None, {0: 1.0, 1: 2.0}, (1,)), linear.Fit(1, 2, {0: 0.7, 1: 3.0}, (1,))]
+    found = {}
+    for apart in (False, True):
+        stored = linear.store_rows(df, "features", ["a", "b"], "fold", apart=apart)
+        found[apart] = linear.solve(stored, linear.LOGISTIC, fits, 30.0, 0.0, tol=1e-9)
+    assert len(stored.kept) == 13
+    for whole, rest in zip(found[False], found[True], strict=True):
+        assert np.abs(whole.weights[13:]).max() > 0.1
+        assert np.abs(whole.weights - rest.weights).max() < 1e-6
+        assert np.abs(whole.intercepts - rest.intercepts).max() < 1e-6
+    with pytest.raises(ValueError, match="logistic fits only"):
+        linear.solve(stored, linear.SOFTMAX, [linear.Fit(0, None, {0: 1.0, 1: 1.0}, (0, 1))], 1.0, 0.0)
