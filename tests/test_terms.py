@@ -192,3 +192,32 @@ def test_white_space_is_that_of_python(spark):
     outer = regex.NOT_SPACE[1:].split("[")[0]
     assert all(re.fullmatch(f"[{outer}]", chr(c)) for c in range(0x21, 0x7F))
     assert regex.NOT_SPACE.count("[") == 2
+
+
+def test_large_batches_are_summed_and_weighed_in_parts(monkeypatch):
+    """A batch is coded a few terms at a time, with the sums and weights of the whole; a row alone may have more, and lists may be null."""
+    rng = random.Random(3)
+    rows = [[f"w{rng.randrange(30)}" for _ in range(rng.randrange(40))] for _ in range(200)] + [None, [], ["w1"] * 90]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 3 for i in range(len(rows))]), pa.array(rows, pa.list_(pa.string()))], ["group", "terms"])
+    vocab, idf = pa.array([f"w{i}" for i in range(20)]), vectorise.np.arange(1.0, 21.0)
+    batches = [batch, batch.slice(20, 50)]
+
+    def found():
+        sums, sizes, weights = defaultdict(lambda: [0, 0]), [], []
+        code, of = tm.coded_terms, tm.Places.counted
+        monkeypatch.setattr(tm, "coded_terms", lambda lists, pairs=False: sizes.append(len(lists.flatten())) or code(lists, pairs))
+        monkeypatch.setattr(tm.Places, "counted", lambda self, lists: sizes.append(len(lists.flatten())) or of(self, lists))
+        for part in tm.batch_stats(batches):
+            for r in part.to_pylist():
+                sums[r["group"], r["term"]][0] += r["df"]
+                sums[r["group"], r["term"]][1] += r["tf"]
+        for b in batches:
+            weights += tm.weigh(b.column("terms"), tm.Places(vocab), idf, True).to_pylist()
+        monkeypatch.setattr(tm, "coded_terms", code)
+        monkeypatch.setattr(tm.Places, "counted", of)
+        return dict(sums), weights, max(sizes)
+
+    whole, weights, most = found()
+    monkeypatch.setattr(tm, "TERMS", 100)
+    assert most > 1000 and found() == (whole, weights, 100)
+    assert len(weights) == 253 and tm.weigh(batch.column("terms").slice(0, 0), tm.Places(vocab), idf, True).to_pylist() == []
